@@ -116,9 +116,13 @@ def turnout_share_corr(df: DataFrame, layout: Layout, group: str, *, digits: int
     units = with_winner(with_turnout(df, layout, abstention_col=None), layout)
     share = pct(F.col("winner_votes"), _q(layout.valid))
     units = units.filter((_q(layout.census) > 0) & (_q(layout.valid) > 0))
+    # corr() divides by the product of the deviations and raises under ANSI when
+    # one side is constant; the same ratio with try_divide gives null instead.
+    x, y = F.col("turnout"), share
+    r = F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
     return units.groupBy(_q(group)).agg(
         F.count(F.lit(1)).alias("n_units"),
-        F.round(F.corr(F.col("turnout"), share), digits).alias("corr_turnout_share"),
+        F.round(r, digits).alias("corr_turnout_share"),
     )
 
 
@@ -175,9 +179,17 @@ def representativeness(df: DataFrame, layout: Layout, group: str) -> DataFrame:
     )
 
 
-def representativeness_by_band(rep: DataFrame, cut: float, *, share_col: str = "population_share") -> DataFrame:
-    """Match rate of ``coincides`` for groups whose largest unit holds at least / less than ``cut`` %."""
-    band = F.when(F.col(share_col) >= F.lit(cut), F.lit("high")).otherwise(F.lit("low"))
+def representativeness_by_band(rep: DataFrame, cut: float | None = None, *,
+                               share_col: str = "population_share") -> DataFrame:
+    """Match rate of ``coincides`` for groups whose largest unit holds at least /
+    less than ``cut`` % of the group's population.
+
+    Without ``cut`` the median share across groups is used, so both bands are
+    filled at any data size (the share of the largest unit shrinks as units
+    multiply).  It is a scalar subquery over the one-row-per-group frame.
+    """
+    threshold = F.lit(cut) if cut is not None else rep.select(F.median(share_col)).scalar()
+    band = F.when(F.col(share_col) >= threshold, F.lit("high")).otherwise(F.lit("low"))
     return rep.groupBy(band.alias("share_band")).agg(
         F.count(F.lit(1)).alias("n_groups"),
         F.count_if(F.col("coincides")).alias("n_coinciding"),

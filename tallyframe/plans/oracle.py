@@ -77,6 +77,10 @@ COHORTS = f"""coh AS (
 COHORT_COLS = f"unit_id, unit, province, community, population, turnout, {PLIST}"
 
 
+def _cut() -> str:
+    return str(BAND_CUT) if BAND_CUT is not None else "(SELECT median(population_share) FROM rep)"
+
+
 def with_ctes(*ctes: str, body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
@@ -174,7 +178,7 @@ FROM units GROUP BY community"""),
 FROM units u JOIN tot t USING (community)"""),
     "representativeness": with_ctes(BASE, UNITS, TOT, GROUP_SUMS, REP, body="SELECT * FROM rep"),
     "representativeness_by_band": with_ctes(BASE, UNITS, TOT, GROUP_SUMS, REP, body=f"""SELECT
-  CASE WHEN population_share >= {BAND_CUT} THEN 'high' ELSE 'low' END AS share_band,
+  CASE WHEN population_share >= {_cut()} THEN 'high' ELSE 'low' END AS share_band,
   count(*) AS n_groups,
   count(*) FILTER (WHERE coincides) AS n_coinciding,
   {pct('count(*) FILTER (WHERE coincides)', 'count(*)')} AS match_rate

@@ -42,7 +42,7 @@ COHORT_SIZE = 20                 # units per size cohort
 SMALL_BELOW = 1_000_000          # "small" unit: population under this
 TOP_N = 10
 TOP_PARTIES = 5
-BAND_CUT = 0.65                  # % of the group's population held by its largest unit
+BAND_CUT = None                  # share band cut in %; None = median share across groups
 
 # Province cohorts for the list filter.  One entry is written with an accent on
 # purpose: both sides are folded before they are compared.

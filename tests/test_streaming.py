@@ -1,0 +1,138 @@
+"""Live operators over staged message files with explicit modification times.
+
+The file source takes files in modification-time order; with one file per
+micro-batch the watermark advances between files, so the order matters.
+"""
+
+import datetime as dt
+import os
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
+
+from tallyframe.streaming import live
+from tallyframe.streaming.runner import run_available, source_stream
+from tests.conftest import rows
+
+SCHEMA = live.MESSAGE_SCHEMA
+T0 = dt.datetime(2024, 11, 24, 9, 0, tzinfo=dt.timezone.utc)
+
+
+def msg(minute, box, count, region="Madrid", unit="28079"):
+    return {"timestamp": T0 + dt.timedelta(minutes=minute), "mesa_id": box, "municipio_id": unit,
+            "provincia": region, "comunidad": region, "mesa_participacion": count, "total_municipio": None}
+
+
+ARROW = pa.schema([("timestamp", pa.timestamp("us", tz="UTC")), ("mesa_id", pa.string()),
+                   ("municipio_id", pa.string()), ("provincia", pa.string()), ("comunidad", pa.string()),
+                   ("mesa_participacion", pa.int64()), ("total_municipio", pa.int64())])
+
+
+def stage(folder, batches, mtimes=None):
+    """Write each batch as its own parquet file and set its modification time."""
+    os.makedirs(folder, exist_ok=True)
+    for i, batch in enumerate(batches):
+        path = os.path.join(folder, f"part-{i:03d}.parquet")
+        pq.write_table(pa.Table.from_pylist(batch, schema=ARROW), path)
+        t = (mtimes[i] if mtimes else 1_700_000_000 + 10 * i)
+        os.utime(path, (t, t))
+    return folder
+
+
+# Three hours of messages from two boxes; counters rise by one per vote.
+HOUR1 = [msg(5, "a", 1), msg(20, "a", 2), msg(40, "b", 1)]
+HOUR2 = [msg(65, "a", 3), msg(70, "b", 2), msg(110, "b", 3)]
+HOUR3 = [msg(125, "a", 4), msg(150, "b", 4), msg(179, "a", 5)]
+
+
+def stream_of(spark, folder):
+    return source_stream(spark, folder, SCHEMA, max_files_per_trigger=1)
+
+
+def hourly(spark, folder):
+    return live.tumbling_counts(live.with_event_time(stream_of(spark, folder), "timestamp"),
+                                ["comunidad"], "1 hour", "10 minutes")
+
+
+def test_tumbling_in_order_equals_batch_closed_windows(spark, scratch):
+    folder = stage(os.path.join(scratch, "in"), [HOUR1, HOUR2, HOUR3])
+    run = run_available(hourly(spark, folder), "t_inorder")
+    got = rows(run.result, "window_start", "n_events")
+    # Last event 11:59 -> watermark 11:49: the 11:00-12:00 window is still open.
+    assert [(w.hour, n) for w, n in got] == [(9, 3), (10, 3)]
+    assert run.rows_dropped_by_watermark == 0
+    assert run.input_rows == 9
+
+
+def test_tumbling_reversed_drops_late_rows(spark, scratch):
+    mt = [1_700_000_300, 1_700_000_200, 1_700_000_100]     # HOUR3 first, HOUR1 last
+    folder = stage(os.path.join(scratch, "rev"), [HOUR1, HOUR2, HOUR3], mt)
+    run = run_available(hourly(spark, folder), "t_reversed")
+    # Hour 3 moves the watermark to 11:49.  Late rows are filtered with the
+    # watermark of the previous batch, so hour 2 (next batch) is still
+    # aggregated and its window emitted at once; hour 1 (the batch after) is
+    # dropped, and the drop is reported.
+    got = [(w.hour, n) for w, n in rows(run.result, "window_start", "n_events")]
+    assert got == [(10, 3)]
+    assert run.rows_dropped_by_watermark == 1      # one group (after partial aggregation)
+
+
+def test_late_within_watermark_is_counted(spark, scratch):
+    # Batch n evicts with the watermark of batches < n and filters late rows
+    # with the watermark batch n-1 evicted with.
+    late_ok = [msg(55, "b", 2)]           # 09:55 while the watermark is 09:50 - window 9-10 open
+    late_bad = [msg(30, "c", 1)]          # the watermark is 10:40 and window 9-10 was emitted
+    folder = stage(os.path.join(scratch, "late"),
+                   [HOUR1[:2] + [msg(60, "a", 3)], late_ok, HOUR2, HOUR3, late_bad])
+    run = run_available(hourly(spark, folder), "t_late")
+    got = {w.hour: n for w, n in rows(run.result, "window_start", "n_events")}
+    assert got[9] == 3                    # 09:05, 09:20, 09:55 (09:30 from box c came too late)
+    assert run.rows_dropped_by_watermark >= 1
+
+
+def test_resent_file_double_counts_without_dedup(spark, scratch):
+    folder = stage(os.path.join(scratch, "dup"), [HOUR1, HOUR2, HOUR2])
+    s = live.with_event_time(stream_of(spark, folder), "timestamp")
+    plain = run_available(live.running_totals(s, ["comunidad"]), "t_dup_plain", output_mode="complete")
+    assert rows(plain.result, "n_events") == [(9,)]        # 6 distinct messages counted 9 times
+    dedup = live.dedup(live.with_event_time(stream_of(spark, folder), "timestamp"),
+                       ["mesa_id", "mesa_participacion"], "10 minutes")
+    fixed = run_available(live.running_totals(dedup, ["comunidad"]), "t_dup_fixed", output_mode="complete")
+    assert rows(fixed.result, "n_events") == [(6,)]
+
+
+def test_latest_counter_tolerates_order_and_resends(spark, scratch):
+    mt = [1_700_000_300, 1_700_000_200, 1_700_000_100, 1_700_000_400]
+    folder = stage(os.path.join(scratch, "latest"), [HOUR1, HOUR2, HOUR3, HOUR2], mt)
+    s = live.with_event_time(stream_of(spark, folder), "timestamp")
+    run = run_available(live.latest_counter(s, "mesa_id", "mesa_participacion"), "t_latest",
+                        output_mode="complete")
+    assert rows(run.result, "mesa_id", "counter") == [("a", 5), ("b", 4)]
+
+
+def test_group_from_counters(spark, scratch):
+    folder = stage(os.path.join(scratch, "grp"), [HOUR1, HOUR2, HOUR3])
+    s = live.with_event_time(stream_of(spark, folder), "timestamp")
+    latest = live.latest_counter(s, "mesa_id", "mesa_participacion", keys=["municipio_id"])
+    run = run_available(latest, "t_group", output_mode="complete",
+                        batch_transform=lambda b: live.group_from_counters(b, ["municipio_id"]))
+    assert rows(run.result, "municipio_id", "n_boxes", "sum_counters") == [("28079", 2, 9.0)]
+
+
+def test_sessions_find_silent_box(spark, scratch):
+    quiet = [msg(0, "q", 1), msg(10, "q", 2), msg(70, "q", 3), msg(200, "z", 1)]
+    folder = stage(os.path.join(scratch, "sess"), [quiet])
+    s = live.with_event_time(stream_of(spark, folder), "timestamp")
+    run = run_available(live.sessions(s, "mesa_id", "30 minutes", "10 minutes"), "t_sessions")
+    got = rows(run.result.filter(F.col("mesa_id") == "q"), "session_start", "n_events")
+    assert [(t.hour, t.minute, n) for t, n in got] == [(9, 0, 2), (10, 10, 1)]
+
+
+def test_sliding_windows(spark, scratch):
+    folder = stage(os.path.join(scratch, "slide"), [HOUR1, HOUR2, HOUR3])
+    s = live.with_event_time(stream_of(spark, folder), "timestamp")
+    run = run_available(live.sliding_counts(s, ["comunidad"], "2 hours", "1 hour", "10 minutes"), "t_slide")
+    got = [(w.hour, n) for w, n in rows(run.result, "window_start", "n_events")]
+    # Closed by 11:49: [08,10) has hour 1 only, [09,11) has hours 1 and 2.
+    assert got == [(8, 3), (9, 6)]
