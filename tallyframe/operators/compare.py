@@ -17,7 +17,7 @@ from tallyframe.functions.numeric import pct
 from tallyframe.functions.text import fold_accents, fold_text
 from tallyframe.model import Layout
 from tallyframe.operators.rank import first_per_group, top_n, top_n_per_group
-from tallyframe.operators.rates import population_by_group, with_turnout
+from tallyframe.operators.rates import with_turnout
 from tallyframe.operators.shape import unpivot_parties, with_winner
 
 
@@ -157,25 +157,56 @@ def max_row_per_group(df: DataFrame, layout: Layout, group: str) -> DataFrame:
     return best.select(group, layout.unit_id, layout.unit, "party", "votes")
 
 
+def unit_totals(df: DataFrame, layout: Layout, group: str, extra: Sequence[str] = ()) -> DataFrame:
+    """One row per (group, unit): population once (``max`` of the repeated
+    attribute), party votes summed over the unit's rows."""
+    keys = [group, layout.unit_id, *extra]
+    return df.groupBy(*[_q(k) for k in keys]).agg(
+        F.max(_q(layout.population)).alias(layout.population),
+        *[F.sum(_q(p)).cast("bigint").alias(p) for p in layout.parties])
+
+
+def largest_first_key(layout: Layout):
+    """Sort key whose minimum is the largest unit: known population first, then
+    larger population, then lower unit id (a total order, so no ties)."""
+    pop = _q(layout.population)
+    return F.struct(pop.isNull().alias("_missing"), (-pop).alias("_neg_population"),
+                    _q(layout.unit_id).alias("_id"))
+
+
 def representativeness(df: DataFrame, layout: Layout, group: str) -> DataFrame:
     """Does the largest unit of each group vote like the group?
 
     One row per group: the largest unit, its winner and votes, the group's
     winner (of summed votes) and votes, ``coincides``, and the unit's share of
-    the group's population.  Each input piece has one row per group, so the
-    joins are between group-sized frames.
+    the group's population.
+
+    Plan: one aggregate to unit level (votes of a unit spread over several rows
+    are summed first), then one aggregate per group that computes the group's
+    party sums, its population, and picks the largest unit with ``min_by`` on
+    a total-order key.  Both aggregates combine map-side, so a group holding a
+    third of all units sends one partial row per task; the input is read once.
     """
-    big = largest_unit_per_group(with_winner(df, layout), layout, group).select(
-        _q(group), _q(layout.unit_id), _q(layout.unit), _q(layout.population),
-        F.col("winner").alias("unit_party"), F.col("winner_votes").alias("unit_votes"))
-    gw = winner_per_group(df, layout, group).select(
-        _q(group), F.col("party").alias("group_party"), F.col("votes").alias("group_votes"))
-    totals = population_by_group(df, layout, group).drop("n_units")
-    out = big.join(gw, on=group, how="inner").join(totals, on=group, how="inner")
-    return out.select(
-        _q(group), _q(layout.unit_id), _q(layout.unit), "unit_party", "unit_votes", "group_party", "group_votes",
-        (F.col("unit_party") == F.col("group_party")).alias("coincides"),
-        pct(_q(layout.population).cast("double"), F.col("group_population").cast("double")).alias("population_share"),
+    units = with_winner(unit_totals(df, layout, group, extra=[layout.unit]), layout)
+    unit_row = F.struct(_q(layout.unit_id).alias("unit_id"), _q(layout.unit).alias("unit"),
+                        _q(layout.population).alias("population"),
+                        F.col("winner").alias("party"), F.col("winner_votes").alias("votes"))
+    groups = units.groupBy(_q(group)).agg(
+        F.sum(_q(layout.population)).alias("group_population"),
+        *[F.sum(_q(p)).cast("bigint").alias(p) for p in layout.parties],
+        F.min_by(unit_row, largest_first_key(layout)).alias("_big"),
+    )
+    groups = with_winner(groups, layout, winner_col="group_party", votes_col="group_votes")
+    return groups.select(
+        _q(group),
+        F.col("_big.unit_id").alias(layout.unit_id),
+        F.col("_big.unit").alias(layout.unit),
+        F.col("_big.party").alias("unit_party"),
+        F.col("_big.votes").alias("unit_votes"),
+        "group_party", "group_votes",
+        (F.col("_big.party") == F.col("group_party")).alias("coincides"),
+        pct(F.col("_big.population").cast("double"), F.col("group_population").cast("double"))
+        .alias("population_share"),
     )
 
 

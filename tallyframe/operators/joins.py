@@ -43,19 +43,25 @@ def join_coverage(left: DataFrame, right: DataFrame, left_key: str, right_key: s
                   left_name: str = "left", right_name: str = "right") -> DataFrame:
     """Keys an inner join would drop, per side: ``(side, n_rows, n_keys)``.
 
-    Each side is first reduced to ``(key, rows)`` with a partial aggregate,
-    so the anti-joins shuffle distinct keys, not raw rows; a key that holds a
-    third of the data is one row after the map-side combine.
+    Each side is reduced to ``(key, rows)`` with a partial aggregate, so only
+    distinct keys are shuffled (a key holding a third of the data is one row
+    per task after the map-side combine).  One full outer join of the two key
+    sets, already hash-partitioned by key, classifies every key, and a global
+    aggregate (partial per task) counts both sides, which always appear.  A
+    null key never joins and counts as unmatched on its own side.
     """
-    lk = left.groupBy(F.col(left_key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-    rk = right.groupBy(F.col(right_key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-    # A null key never joins: it counts as unmatched on its own side.
-    left_only = lk.join(rk.select("_k"), on="_k", how="left_anti")
-    right_only = rk.join(lk.select("_k"), on="_k", how="left_anti")
-
-    def summary(df: DataFrame, side: str) -> DataFrame:
-        return df.agg(F.lit(side).alias("side"),
-                      F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n_rows"),
-                      F.count(F.lit(1)).alias("n_keys"))
-
-    return summary(left_only, f"{left_name}_only").unionByName(summary(right_only, f"{right_name}_only"))
+    lk = left.groupBy(F.col(left_key).alias("_k")).agg(F.count(F.lit(1)).alias("_nl"))
+    rk = right.groupBy(F.col(right_key).alias("_k")).agg(F.count(F.lit(1)).alias("_nr"))
+    both = lk.join(rk, on=lk["_k"] == rk["_k"], how="full_outer")
+    left_only, right_only = F.col("_nr").isNull(), F.col("_nl").isNull()
+    totals = both.agg(
+        F.coalesce(F.sum(F.when(left_only, F.col("_nl"))), F.lit(0)).cast("bigint").alias("l_rows"),
+        F.count_if(left_only).alias("l_keys"),
+        F.coalesce(F.sum(F.when(right_only, F.col("_nr"))), F.lit(0)).cast("bigint").alias("r_rows"),
+        F.count_if(right_only).alias("r_keys"),
+    )
+    sides = [F.struct(F.lit(f"{left_name}_only").alias("side"), F.col("l_rows").alias("n_rows"),
+                      F.col("l_keys").alias("n_keys")),
+             F.struct(F.lit(f"{right_name}_only").alias("side"), F.col("r_rows").alias("n_rows"),
+                      F.col("r_keys").alias("n_keys"))]
+    return totals.select(F.inline(F.array(*sides)))

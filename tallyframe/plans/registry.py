@@ -197,8 +197,12 @@ def representativeness(spark, sf_dir):
 
 @query
 def representativeness_by_band(spark, sf_dir):
-    return compare.representativeness_by_band(compare.representativeness(_base(spark, sf_dir), L, L.community),
-                                              BAND_CUT)
+    rep = compare.representativeness(_base(spark, sf_dir), L, L.community)
+    if BAND_CUT is None:
+        # The median cut reads the per-group answer twice: take it from a
+        # checkpoint (one row per group) instead of recomputing the base.
+        rep = tables.checkpoint(rep)
+    return compare.representativeness_by_band(rep, BAND_CUT)
 
 
 # ----------------------------------------------------------------- cohorts by size

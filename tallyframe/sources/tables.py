@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyframe.session import shared_dir
+from tallyframe.session import checkpoint_root, shared_dir
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:
@@ -51,3 +51,10 @@ def materialize(df: DataFrame, name: str, spark: SparkSession | None = None) ->
     path = shared_dir(spark, "materialized", name, unique=True)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Eager reliable checkpoint into the shared ``spark.checkpoint.dir``:
+    the result is computed once and later reads start from the files."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
