@@ -66,20 +66,22 @@ def typed_cast(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
 def reject_report(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """One row per column: rows, blank inputs, parsed values and rejected values.
 
-    A single aggregate pass (partial aggregation per task), unpivoted to
-    ``(column_name, n_rows, n_blank, n_ok, n_rejected)``.
+    Each cell is cast once in a projection that keeps two flags per column;
+    one global aggregate (partial per task) counts them, and the single result
+    row is turned into ``(column_name, n_rows, n_blank, n_ok, n_rejected)``.
     """
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
-    for c, t in types.items():
+    flags = []
+    for i, (c, t) in enumerate(types.items()):
         raw = F.trim(_q(c).cast("string"))
+        blank = raw.isNull() | (raw == F.lit(""))
         typed = tolerant_cast(_q(c), t)
-        aggs += [
-            F.count_if(raw.isNull() | (raw == F.lit(""))).alias(f"{c}__blank"),
-            F.count_if(typed.isNotNull()).alias(f"{c}__ok"),
-            F.count_if(is_rejected(_q(c), typed)).alias(f"{c}__rejected"),
-        ]
-    wide = df.agg(*aggs)
+        flags += [blank.alias(f"_b{i}"), typed.isNotNull().alias(f"_o{i}")]
+    aggs = [F.count(F.lit(1)).alias("n_rows")]
+    for i in range(len(types)):
+        aggs += [F.count_if(F.col(f"_b{i}")).alias(f"_b{i}"), F.count_if(F.col(f"_o{i}")).alias(f"_o{i}")]
+    wide = df.select(*flags).agg(*aggs)
     rows = [F.struct(F.lit(c).alias("column_name"), F.col("n_rows"),
-                     F.col(f"`{c}__blank`").alias("n_blank"), F.col(f"`{c}__ok`").alias("n_ok"),
-                     F.col(f"`{c}__rejected`").alias("n_rejected")) for c in types]
+                     F.col(f"_b{i}").alias("n_blank"), F.col(f"_o{i}").alias("n_ok"),
+                     (F.col("n_rows") - F.col(f"_b{i}") - F.col(f"_o{i}")).alias("n_rejected"))
+            for i, c in enumerate(types)]
     return wide.select(F.inline(F.array(*rows)))

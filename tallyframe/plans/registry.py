@@ -11,10 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.functions.numeric import pct
-from tallyframe.operators import clean, compare, joins, rank, rates, shape
-from tallyframe.plans.testbed import (BAND_CUT, COHORT_SIZE, PROVINCE_COHORTS, SMALL_BELOW, TESTBED,
-                                      TOP_N, TOP_PARTIES, results_wide)
+from tallyframe.operators import clean, joins
+from tallyframe.plans import reports
+from tallyframe.plans.testbed import TESTBED, results_wide
 from tallyframe.session import shared_dir
 from tallyframe.sources import delimited, parquet, tables
 
@@ -58,204 +57,18 @@ def join_coverage(spark, sf_dir):
     return joins.join_coverage(dim, fact, "c_custkey", "o_custkey", "dimension", "fact")
 
 
-# ----------------------------------------------------------------- rankings
-def _population_list(df):
-    return df.select(*PLACE, L.population)
+# ----------------------------------------------------------------- report questions
+def _wrap(name: str, fn: reports.ReportFn) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(_base(spark, sf_dir))
+    run.__name__ = name
+    run.__doc__ = fn.__doc__
+    return run
 
 
-@query
-def population_top10(spark, sf_dir):
-    return rank.top_n(_population_list(_base(spark, sf_dir)), L.population, TOP_N, [L.unit_id])
-
-
-@query
-def population_bottom10(spark, sf_dir):
-    return rank.bottom_n(_population_list(_base(spark, sf_dir)), L.population, TOP_N, [L.unit_id])
-
-
-def _turnout_units(spark, sf_dir):
-    df = _base(spark, sf_dir).filter(F.col(L.census) > 0)
-    return rates.with_turnout(df, L).select(*PLACE, "turnout", "abstention")
-
-
-@query
-def turnout_top10(spark, sf_dir):
-    return rank.top_n(_turnout_units(spark, sf_dir), "turnout", TOP_N, [L.unit_id])
-
-
-@query
-def abstention_top10(spark, sf_dir):
-    return rank.top_n(_turnout_units(spark, sf_dir), "abstention", TOP_N, [L.unit_id])
-
-
-# ----------------------------------------------------------------- rates by group
-@query
-def turnout_by_province(spark, sf_dir):
-    return rates.turnout_by_group(_base(spark, sf_dir), L, [L.province]) \
-        .orderBy(F.col("turnout_index").desc_nulls_last(), L.province)
-
-
-@query
-def turnout_rollup(spark, sf_dir):
-    return rates.turnout_rollup(_base(spark, sf_dir), L, [L.community, L.province])
-
-
-@query
-def cohort_by_list(spark, sf_dir):
-    by_province = rates.turnout_by_group(_base(spark, sf_dir), L, [L.province])
-    return compare.tag_by_lists(by_province, L.province, PROVINCE_COHORTS)
-
-
-# ----------------------------------------------------------------- shape, concentration
-@query
-def party_share_wide(spark, sf_dir):
-    return shape.party_shares_wide(_base(spark, sf_dir), L)
-
-
-@query
-def unpivot_parties(spark, sf_dir):
-    return shape.unpivot_parties(_base(spark, sf_dir), [L.unit_id, L.unit, L.province, L.community], L.parties)
-
-
-def _concentration(df):
-    df = shape.with_winner(df.filter(F.col(L.valid) > 0), L)
-    return df.select(*PLACE, F.col("winner").alias("party"), "winner_votes", L.valid,
-                     pct("winner_votes", L.valid).alias("max_share"))
-
-
-def _concentration_out(df):
-    return df.select(*PLACE, "party", "max_share")
-
-
-@query
-def concentration_top10(spark, sf_dir):
-    return _concentration_out(rank.top_n(_concentration(_base(spark, sf_dir)), "max_share", TOP_N, [L.unit_id]))
-
-
-def _unanimous_hit():
-    return F.col("winner_votes") == F.col(L.valid)
-
-
-@query
-def unanimous_units(spark, sf_dir):
-    return _concentration_out(_concentration(_base(spark, sf_dir)).filter(_unanimous_hit()))
-
-
-@query
-def unanimous_or_top10(spark, sf_dir):
-    conc = _concentration(_base(spark, sf_dir))
-    return _concentration_out(rank.hits_or_top_n(conc, _unanimous_hit(), "max_share", TOP_N, [L.unit_id]))
-
-
-@query
-def unanimous_or_top10_contested(spark, sf_dir):
-    # The same question over units without a unanimous result: the fallback branch.
-    conc = _concentration(_base(spark, sf_dir)).filter(F.col("winner_votes") < F.col(L.valid))
-    return _concentration_out(rank.hits_or_top_n(conc, _unanimous_hit(), "max_share", TOP_N, [L.unit_id]))
-
-
-# ----------------------------------------------------------------- winners, groups
-@query
-def largest_unit_per_group(spark, sf_dir):
-    return compare.largest_unit_per_group(_base(spark, sf_dir), L, L.community) \
-        .select(L.community, L.unit_id, L.unit, L.province, L.population)
-
-
-@query
-def winner_per_unit(spark, sf_dir):
-    return compare.winner_per_unit(_base(spark, sf_dir), L)
-
-
-@query
-def winner_per_group(spark, sf_dir):
-    return compare.winner_per_group(_base(spark, sf_dir), L, L.community)
-
-
-@query
-def max_row_per_group(spark, sf_dir):
-    return compare.max_row_per_group(_base(spark, sf_dir), L, L.community)
-
-
-@query
-def population_by_group(spark, sf_dir):
-    return rates.population_by_group(_base(spark, sf_dir), L, L.community) \
-        .withColumn("group_population", F.col("group_population").cast("decimal(38,2)"))
-
-
-@query
-def share_of_group(spark, sf_dir):
-    out = rates.share_of_group(_base(spark, sf_dir), L, L.community)
-    return out.select(L.community, L.unit_id, L.unit, L.population,
-                      F.col("group_population").cast("decimal(38,2)").alias("group_population"),
-                      "population_share")
-
-
-@query
-def representativeness(spark, sf_dir):
-    return compare.representativeness(_base(spark, sf_dir), L, L.community)
-
-
-@query
-def representativeness_by_band(spark, sf_dir):
-    rep = compare.representativeness(_base(spark, sf_dir), L, L.community)
-    if BAND_CUT is None:
-        # The median cut reads the per-group answer twice: take it from a
-        # checkpoint (one row per group) instead of recomputing the base.
-        rep = tables.checkpoint(rep)
-    return compare.representativeness_by_band(rep, BAND_CUT)
-
-
-# ----------------------------------------------------------------- cohorts by size
-COHORT_COLS = [L.unit_id, L.unit, L.province, L.community, L.population, "turnout", *L.parties]
-
-
-def _cohorts(spark, sf_dir):
-    return compare.size_cohorts(_base(spark, sf_dir), L, COHORT_SIZE, SMALL_BELOW)
-
-
-@query
-def large_units_top20(spark, sf_dir):
-    return _cohorts(spark, sf_dir).filter(F.col("cohort") == "large").select(*COHORT_COLS)
-
-
-@query
-def small_units_top20(spark, sf_dir):
-    return _cohorts(spark, sf_dir).filter(F.col("cohort") == "small").select(*COHORT_COLS)
-
-
-@query
-def large_vs_small_union(spark, sf_dir):
-    return _cohorts(spark, sf_dir).select("cohort", *COHORT_COLS)
-
-
-@query
-def cohort_summary(spark, sf_dir):
-    return compare.cohort_summary(_cohorts(spark, sf_dir))
-
-
-@query
-def cohort_top_parties(spark, sf_dir):
-    return compare.cohort_top_parties(_cohorts(spark, sf_dir), L, TOP_PARTIES)
-
-
-@query
-def unit_top_parties(spark, sf_dir):
-    return compare.unit_top_parties(_base(spark, sf_dir), L, TOP_PARTIES)
-
-
-@query
-def cohort_party_wins(spark, sf_dir):
-    return compare.cohort_party_wins(_cohorts(spark, sf_dir), L)
-
-
-@query
-def turnout_by_winner(spark, sf_dir):
-    return compare.turnout_by_winner(_base(spark, sf_dir), L)
-
-
-@query
-def turnout_share_corr(spark, sf_dir):
-    return compare.turnout_share_corr(_base(spark, sf_dir), L, L.community)
+for _name, (_fn, _bounded) in reports.REPORTS.items():
+    REGISTRY[_name] = _wrap(_name, _fn)
+    globals()[_name] = REGISTRY[_name]
 
 
 # ----------------------------------------------------------------- cleaning
@@ -306,7 +119,7 @@ REPORT_SCHEMA = "unit_id BIGINT, unit STRING, community STRING, province STRING,
 @query
 def delimited_roundtrip(spark, sf_dir):
     path = shared_dir(spark, "reports", "population_top10", unique=True)
-    report = population_top10(spark, sf_dir)
+    report = reports.population_top10(_base(spark, sf_dir))
     delimited.write_report(report, path, sep=";", encoding="ISO-8859-1", single_file=True)
     return delimited.read_report(spark, path, REPORT_SCHEMA, sep=";", encoding="ISO-8859-1")
 
