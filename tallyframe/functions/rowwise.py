@@ -45,3 +45,19 @@ def row_sum(cols: Sequence[str]) -> Column:
         total = total + F.coalesce(_q(c), F.lit(0))
     any_value = F.coalesce(*[_q(c) for c in cols])
     return F.when(any_value.isNotNull(), total)
+
+
+def row_top_k(cols: Sequence[str], k: int, labels: Sequence[str] | None = None) -> Column:
+    """The k largest non-null columns of the row as ``array<struct<party, votes>>``,
+    largest first, declared order breaking ties.
+
+    A per-row sort of a bounded array: ranking the parties of every unit this
+    way needs no unpivot and no window, hence no shuffle.
+    """
+    labels = list(labels or cols)
+    items = F.array(*[F.struct((-_q(c)).alias("neg_votes"), F.lit(i).alias("position"),
+                               F.lit(lab).alias("party"), _q(c).alias("votes"))
+                      for i, (c, lab) in enumerate(zip(cols, labels))])
+    present = F.filter(items, lambda x: x["votes"].isNotNull())
+    ranked = F.slice(F.array_sort(present), 1, k)
+    return F.transform(ranked, lambda x: F.struct(x["party"].alias("party"), x["votes"].alias("votes")))

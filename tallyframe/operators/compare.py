@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions.numeric import pct
+from tallyframe.functions.rowwise import row_top_k
 from tallyframe.functions.text import fold_accents, fold_text
 from tallyframe.model import Layout
 from tallyframe.operators.rank import first_per_group, top_n, top_n_per_group
@@ -84,13 +85,16 @@ def cohort_top_parties(cohorts: DataFrame, layout: Layout, n: int = 5, *,
 def unit_top_parties(df: DataFrame, layout: Layout, n: int = 5, ids: Sequence[str] | None = None) -> DataFrame:
     """The n parties with most votes in every unit, ranked (first party wins ties).
 
-    The long form keeps the unit key's partitioning from the input, so when
-    the input is already clustered by unit the ranking needs no new shuffle.
+    Ranked inside each row (a sorted array of the unit's party counts, then
+    ``posexplode``), so the input's partitioning is kept and nothing is
+    shuffled.  Assumes one row per unit; aggregate with ``unit_totals`` first
+    when a unit spans several rows.
     """
     ids = list(ids or [layout.unit_id, layout.unit])
-    long = unpivot_parties(df, ids, layout.parties, order_col="party_order")
-    return (top_n_per_group(long, layout.unit_id, "votes", n, tiebreak=["party_order"], rank_col="party_rank")
-            .drop("party_order"))
+    ranked = df.select(*[_q(c) for c in ids],
+                       F.posexplode(row_top_k(layout.parties, n)).alias("_pos", "_p"))
+    return ranked.select(*[_q(c) for c in ids], F.col("_p.party").alias("party"),
+                         F.col("_p.votes").alias("votes"), (F.col("_pos") + 1).cast("int").alias("party_rank"))
 
 
 def cohort_party_wins(cohorts: DataFrame, layout: Layout, *, tag_col: str = "cohort") -> DataFrame:
