@@ -21,6 +21,9 @@ SESSION_GAP = "30 minutes"
 
 
 def events_stream(spark, sf_dir):
+    # Event times are timestamp_ntz; the cast to timestamp (needed by the
+    # watermark) and back is the identity only in UTC.
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     raw = source_stream(spark, sf_dir, EVENTS_SCHEMA, glob="events.parquet")
     return live.with_event_time(raw, "ts")
 
