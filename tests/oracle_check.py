@@ -97,11 +97,17 @@ def compare(spark, con, name, fn, sql, sf_dir):
 
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
-    names = [a for a in argv[1:] if not a.startswith("/")]
+    names = [a for a in argv[1:] if not a.startswith("/") and not a.startswith("--")]
     import __spark_entry__ as entry
     from tallyframe.session import get_session
 
-    spark = get_session(master="local[8]", shuffle_partitions=8)
+    if "--plain" in argv:   # a session as a caller might build it, none of our settings
+        from pyspark.sql import SparkSession
+
+        spark = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.ui.enabled", "false").getOrCreate())
+    else:
+        spark = get_session(master="local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
     qs, sqls = entry.queries(), entry.oracle_sql()
     con = duck(sf_dir)
