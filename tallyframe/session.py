@@ -30,24 +30,31 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(BROADCAST_LIMIT_BYTES),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
-    # Streaming state off the JVM heap (dedup keys, boxes, open windows), with
-    # incremental checkpoints; session windows merged inside each task before
-    # the shuffle, so a box sending a third of all messages is not shipped
-    # message by message to one task.
+    # Session windows merged inside each task before the shuffle, so a box
+    # sending a third of all messages is not shipped message by message.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+}
+
+# Streaming state off the JVM heap with incremental checkpoints: for key spaces
+# far beyond the 60,000 boxes of a national election (the default in-memory
+# store is faster for bounded state of that size).
+ROCKSDB_STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 
 def get_session(app: str = "tallyframe", master: str | None = None,
-                shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+                shuffle_partitions: int | None = None, extra: dict | None = None,
+                rocksdb_state: bool = False) -> SparkSession:
     """Create (or reuse) a session with the configuration the operators expect.
 
     On a cluster leave ``master`` unset (spark-submit decides) and size
     ``shuffle_partitions`` to the data: roughly input bytes / 128 MB for the
-    widest shuffle; AQE coalesces the small ones at runtime.
+    widest shuffle; AQE coalesces the small ones at runtime.  Stateful
+    streams keep their shuffle partition count for the life of their
+    checkpoint, so size it before the first run.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -55,6 +62,8 @@ def get_session(app: str = "tallyframe", master: str | None = None,
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if rocksdb_state:
+        conf.update(ROCKSDB_STATE_CONF)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

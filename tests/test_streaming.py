@@ -136,3 +136,19 @@ def test_sliding_windows(spark, scratch):
     got = [(w.hour, n) for w, n in rows(run.result, "window_start", "n_events")]
     # Closed by 11:49: [08,10) has hour 1 only, [09,11) has hours 1 and 2.
     assert got == [(8, 3), (9, 6)]
+
+
+def test_rocksdb_state_gives_same_answer(spark, scratch):
+    """The off-heap state store (for very large key spaces) changes nothing in the result."""
+    from tallyframe.session import ROCKSDB_STATE_CONF
+
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key)
+    folder = stage(os.path.join(scratch, "rocks"), [HOUR1, HOUR2, HOUR3])
+    try:
+        for k, v in ROCKSDB_STATE_CONF.items():
+            spark.conf.set(k, v)
+        run = run_available(hourly(spark, folder), "t_rocks")
+    finally:
+        spark.conf.set(key, old)
+    assert [(w.hour, n) for w, n in rows(run.result, "window_start", "n_events")] == [(9, 3), (10, 3)]
