@@ -20,10 +20,6 @@ def complement_pct(rate) -> Column:
     return F.lit(100.0) - _c(rate)
 
 
-def to_double(x) -> Column:
-    return _c(x).cast("double")
-
-
 # A failed text-to-number cast costs an exception inside the task, which on a
 # column of dirty text dominates the run.  These patterns accept every string
 # the cast could accept (surrounding control characters and spaces included)

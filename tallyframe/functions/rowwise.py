@@ -38,15 +38,6 @@ def row_argmax(cols: Sequence[str], labels: Sequence[str] | None = None,
     return pick
 
 
-def row_sum(cols: Sequence[str]) -> Column:
-    """Sum across columns treating null as 0 (null only when every input is null)."""
-    total = F.coalesce(_q(cols[0]), F.lit(0))
-    for c in cols[1:]:
-        total = total + F.coalesce(_q(c), F.lit(0))
-    any_value = F.coalesce(*[_q(c) for c in cols])
-    return F.when(any_value.isNotNull(), total)
-
-
 def row_top_k(cols: Sequence[str], k: int, labels: Sequence[str] | None = None) -> Column:
     """The k largest non-null columns of the row as ``array<struct<party, votes>>``,
     largest first, declared order breaking ties.

@@ -65,3 +65,17 @@ def test_election_rejects_and_coverage(spark, scratch):
     assert rej[("results", "pp")] == (1, 13, 0)
     cov = rows(election.coverage(spark, places, results, PARAMS.layout))
     assert cov == [("places_only", 1, 1), ("results_only", 1, 1)]
+
+
+def test_command_line(spark, scratch, capsys):
+    from tallyframe.__main__ import main
+
+    places, results = write_files(os.path.join(scratch, "in"))
+    out = os.path.join(scratch, "cli")
+    assert main(["coverage", places, results]) == 0
+    assert "places_only\t1\t1" in capsys.readouterr().out
+    # The Spanish configuration lists 51 parties; the fixture file has five, so
+    # run the reports that need no party columns.
+    assert main(["reports", places, results, out, "--only", "population_top10,turnout_by_province"]) == 0
+    printed = capsys.readouterr().out
+    assert "population_top10" in printed and os.path.isdir(os.path.join(out, "turnout_by_province"))
