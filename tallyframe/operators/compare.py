@@ -33,9 +33,13 @@ def tag_by_lists(df: DataFrame, column: str, cohorts: Mapping[str, Sequence[str]
 
     Both sides are accent-folded before comparing (``"Ávila"`` matches
     ``"Avila"``); the first list wins when a value is in several.  The lists
-    are literals in the plan (``In`` predicates), which Spark can push into
-    the scan of the table holding ``column``.
+    are literals in the plan (``In`` predicates); on a grouping key Catalyst
+    evaluates the filter below the aggregate and the joins.  Without folding
+    (``fold=False``) the predicate is a plain ``IN`` on the column, which
+    also reaches the parquet scan.
     """
+    if not cohorts:
+        raise ValueError("no cohort lists given")
     value = fold_accents(_q(column)) if fold else _q(column)
     tag = None
     for name, members in cohorts.items():
@@ -51,7 +55,7 @@ def size_cohorts(df: DataFrame, layout: Layout, n: int, small_below, *,
     as one frame tagged ``large`` / ``small``, each unit with its turnout.
 
     Each side is a bounded top-n (``TakeOrderedAndProject``); the union has at
-    most 2n rows.
+    most 2n rows.  Expects one row per unit (see ``unit_totals``).
     """
     tb = [layout.unit_id]
     big = top_n(df, layout.population, n, tb).withColumn(tag_col, F.lit(large))
