@@ -1,4 +1,5 @@
-"""Command line: ``spark-submit -m tallyframe ...`` or ``python -m tallyframe ...``.
+"""Command line: ``python -m tallyframe ...``, or on a cluster
+``spark-submit --py-files tallyframe.zip tallyframe/__main__.py ...``.
 
     reports   PLACES RESULTS OUT   every report for an election, as CSV folders below OUT
     rejects   PLACES RESULTS       per-column counts of values that did not parse
