@@ -42,7 +42,7 @@ def ntz(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("timestamp_ntz")
 
 
-def _value_aggs(value: str | None, digits: int = 6) -> list[Column]:
+def _value_aggs(value: str | None) -> list[Column]:
     aggs = [F.count(F.lit(1)).alias("n_events")]
     if value:
         aggs.append(F.sum(value).alias("_sum"))
@@ -83,19 +83,33 @@ def running_totals(stream: DataFrame, keys: Sequence[str], value: str | None = N
 
 
 def latest_counter(stream: DataFrame, box: str, counter: str, keys: Sequence[str] = (),
-                   ts: str = EVENT_TIME) -> DataFrame:
+                   ts: str = EVENT_TIME, reported: str | None = None) -> DataFrame:
     """Latest cumulative counter per box.  Counters only grow, so ``max`` is the
     latest value whatever order messages arrive in, and a resent message
-    changes nothing."""
-    return (stream.groupBy(*keys, box)
-                  .agg(F.max(counter).alias("counter"), ntz(F.max(ts)).alias("last_seen"),
-                       F.count(F.lit(1)).alias("n_messages")))
+    changes nothing.  ``reported`` (a cumulative total the box relays for its
+    group, such as the municipality's count) is kept the same way."""
+    aggs = [F.max(counter).alias("counter"), ntz(F.max(ts)).alias("last_seen"),
+            F.count(F.lit(1)).alias("n_messages")]
+    if reported:
+        aggs.append(F.max(reported).alias("reported"))
+    return stream.groupBy(*keys, box).agg(*aggs)
 
 
 def group_from_counters(latest: DataFrame, group: Sequence[str], digits: int = 6) -> DataFrame:
-    """Batch step over the latest-counter table: Σ of the boxes' counters per group."""
-    return latest.groupBy(*group).agg(F.count(F.lit(1)).alias("n_boxes"),
-                                      F.round(F.sum("counter"), digits).alias("sum_counters"))
+    """Batch step over the latest-counter table: Σ of the boxes' counters per group.
+
+    When the table carries ``reported`` (see :func:`latest_counter`), the
+    group's latest reported total and the gap to the summed counters are added:
+    a check that the group total relayed by the boxes agrees with the boxes.
+    """
+    aggs = [F.count(F.lit(1)).alias("n_boxes"), F.round(F.sum("counter"), digits).alias("sum_counters")]
+    has_reported = "reported" in latest.columns
+    if has_reported:
+        aggs.append(F.max("reported").alias("reported_total"))
+    out = latest.groupBy(*group).agg(*aggs)
+    if has_reported:
+        out = out.withColumn("gap", F.col("reported_total") - F.col("sum_counters"))
+    return out
 
 
 def dedup(stream: DataFrame, keys: Sequence[str], delay: str, ts: str = EVENT_TIME) -> DataFrame:
