@@ -47,11 +47,24 @@ def load_results(spark: SparkSession, path: str, layout: Layout = SPAIN_2016, **
     return clean.typed_cast(raw, _count_types(layout, raw.columns)).drop("_rejected")
 
 
+def results_per_unit(results: DataFrame, layout: Layout) -> DataFrame:
+    """One row per unit: the counts of every row of the unit (polling tables) summed.
+
+    Partial aggregation in every task shrinks the fact to units before any
+    shuffle; a unit reported on very many rows is one partial row per task.
+    Columns other than the key and the counts are dropped (the place
+    attributes come from the dimension).
+    """
+    counts = [c for c in _count_types(layout, results.columns) if c != layout.unit_id]
+    return results.groupBy(layout.unit_id).agg(*[F.sum(F.col(f"`{c}`")).alias(c) for c in counts])
+
+
 def election_base(spark: SparkSession, places_path: str, results_path: str,
                   layout: Layout = SPAIN_2016, **csv) -> DataFrame:
-    """Results joined to places on the unit code (inner; see ``coverage`` for what it drops)."""
+    """Results per unit joined to places on the unit code (inner; see ``coverage``
+    for what it drops).  One row per unit, so every report counts a unit once."""
     places = load_places(spark, places_path, layout, **csv)
-    results = load_results(spark, results_path, layout, **csv)
+    results = results_per_unit(load_results(spark, results_path, layout, **csv), layout)
     return joins.join_dimension(results, places, layout.unit_id, max_broadcast_rows=PLACES_BROADCAST_ROWS)
 
 

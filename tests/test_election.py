@@ -39,7 +39,9 @@ PARAMS = reports.ReportParams(
 def test_election_files_to_reports(spark, scratch):
     places, results = write_files(os.path.join(scratch, "in"))
     base = election.election_base(spark, places, results, PARAMS.layout)
-    assert base.count() == 13                                    # code 11 has no place
+    assert base.count() == 12          # one row per unit: 9 had two rows, 11 has no place
+    huesca = base.filter("codigo = 9").collect()[0]
+    assert (huesca.censo, huesca.votantes, huesca.pp) == (200, 110, 30)
     out = reports.run_reports(base, os.path.join(scratch, "out"), params=PARAMS)
     assert set(out) == set(reports.REPORTS)
 
