@@ -86,16 +86,22 @@ def checkpoint_root(spark: SparkSession) -> str:
     folder would not survive the loss of an executor.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a session without a local SparkContext (e.g. Spark Connect)
+        if root:
+            return root
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder")
     if not root:
-        current = spark.sparkContext.getCheckpointDir()
+        current = sc.getCheckpointDir()
         if current:
             return current.rsplit("/", 1)[0]
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="tallyframe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root
 
 

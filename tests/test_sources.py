@@ -64,3 +64,24 @@ def test_materialize_cuts_lineage(spark):
     plan = m._jdf.queryExecution().optimizedPlan().toString()
     assert "LocalRelation" not in plan and "Relation" in plan
     assert rows(m) == rows(spark.createDataFrame(dim(spark).collect(), DIM_SCHEMA))
+
+
+def test_checkpoint_root_comes_from_the_session(spark):
+    from tallyframe.session import checkpoint_root, shared_dir
+
+    root = checkpoint_root(spark)
+    assert root == spark.conf.get("spark.checkpoint.dir")
+    a, b = shared_dir(spark, "x", unique=True), shared_dir(spark, "x", unique=True)
+    assert a != b and a.startswith(root.rstrip("/"))
+
+
+def test_csv_modes(spark, scratch):
+    import pytest
+
+    path = _write_latin1(scratch, "bad.csv", "a;b\n1;2\nx;3\n4;5\n")
+    schema = "a INT, b INT"
+    assert [tuple(r) for r in read_delimited(spark, path, schema).collect()] == [(1, 2), (None, 3), (4, 5)]
+    # (count() would not parse the fields, so it would keep the bad row)
+    assert len(read_delimited(spark, path, schema, mode="DROPMALFORMED").collect()) == 2
+    with pytest.raises(Exception):
+        read_delimited(spark, path, schema, mode="FAILFAST").collect()
