@@ -55,6 +55,33 @@ def source_stream(spark: SparkSession, folder: str, schema: StructType | str, *,
     return reader.load(folder)
 
 
+def _sink(stream: DataFrame, name: str, output_mode: str,
+          batch_transform: Callable[[DataFrame], DataFrame] | None, base: str):
+    out, ckpt = f"{base}/out", f"{base}/checkpoint"
+    writer = (stream.writeStream.queryName(f"tallyframe_{name}_{base.rsplit('/', 1)[-1]}")
+              .option("checkpointLocation", ckpt).outputMode(output_mode))
+    if output_mode == "append" and batch_transform is None:
+        return writer.format("parquet").option("path", out), out
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        (batch_transform(batch) if batch_transform else batch).write.mode("overwrite").parquet(out)
+
+    return writer.foreachBatch(write_batch), out
+
+
+def start_live(stream: DataFrame, name: str, path: str, *, output_mode: str = "append",
+               trigger: str = "10 seconds",
+               batch_transform: Callable[[DataFrame], DataFrame] | None = None):
+    """Start a long-running query (processing-time trigger) writing below ``path``
+    (``path/out`` for results, ``path/checkpoint`` for offsets and state).
+
+    Restarting with the same ``path`` resumes where the query stopped.
+    Returns the ``StreamingQuery``; results are read from ``path/out``.
+    """
+    writer, _ = _sink(stream, name, output_mode, batch_transform, path.rstrip("/"))
+    return writer.trigger(processingTime=trigger).start()
+
+
 def run_available(stream: DataFrame, name: str, *, output_mode: str = "append",
                   batch_transform: Callable[[DataFrame], DataFrame] | None = None,
                   spark: SparkSession | None = None, timeout_s: int = 600) -> StreamRun:
@@ -65,23 +92,9 @@ def run_available(stream: DataFrame, name: str, *, output_mode: str = "append",
     is transformed and written over the previous one.
     """
     spark = spark or stream.sparkSession
-    base = shared_dir(spark, "streams", name, unique=True)
-    out, ckpt = f"{base}/out", f"{base}/checkpoint"
-    writer = (stream.writeStream.queryName(f"tallyframe_{name}_{base.rsplit('/', 1)[-1]}")
-              .option("checkpointLocation", ckpt).outputMode(output_mode).trigger(availableNow=True))
-    if output_mode == "append" and batch_transform is None:
-        schema = stream.schema
-        handle = writer.format("parquet").option("path", out).start()
-    else:
-        holder: dict = {}
-
-        def write_batch(batch: DataFrame, batch_id: int) -> None:
-            result = batch_transform(batch) if batch_transform else batch
-            holder["schema"] = result.schema
-            result.write.mode("overwrite").parquet(out)
-
-        schema = None
-        handle = writer.foreachBatch(write_batch).start()
+    writer, out = _sink(stream, name, output_mode, batch_transform,
+                        shared_dir(spark, "streams", name, unique=True))
+    handle = writer.trigger(availableNow=True).start()
     finished = handle.awaitTermination(timeout_s)
     if not finished:
         handle.stop()
@@ -89,8 +102,7 @@ def run_available(stream: DataFrame, name: str, *, output_mode: str = "append",
     if handle.exception() is not None:
         raise RuntimeError(f"stream {name} failed: {handle.exception()}")
     progress = list(handle.recentProgress)
-    if schema is None:
-        schema = holder.get("schema") or (batch_transform(stream).schema if batch_transform else stream.schema)
+    schema = batch_transform(stream).schema if batch_transform else stream.schema
     try:
         result = spark.read.schema(schema).parquet(out)
     except Exception:  # no batch produced output: an empty result

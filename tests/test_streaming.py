@@ -29,13 +29,13 @@ ARROW = pa.schema([("timestamp", pa.timestamp("us", tz="UTC")), ("mesa_id", pa.s
                    ("mesa_participacion", pa.int64()), ("total_municipio", pa.int64())])
 
 
-def stage(folder, batches, mtimes=None):
+def stage(folder, batches, mtimes=None, first=0):
     """Write each batch as its own parquet file and set its modification time."""
     os.makedirs(folder, exist_ok=True)
-    for i, batch in enumerate(batches):
+    for i, batch in enumerate(batches, start=first):
         path = os.path.join(folder, f"part-{i:03d}.parquet")
         pq.write_table(pa.Table.from_pylist(batch, schema=ARROW), path)
-        t = (mtimes[i] if mtimes else 1_700_000_000 + 10 * i)
+        t = (mtimes[i - first] if mtimes else 1_700_000_000 + 10 * i)
         os.utime(path, (t, t))
     return folder
 
@@ -171,3 +171,26 @@ def test_reported_group_total_is_reconciled(spark, scratch):
     # boxes a=2, b=2 -> 4 votes; the last relayed total says 5: one vote unaccounted for
     assert rows(run.result, "municipio_id", "n_boxes", "sum_counters", "reported_total", "gap") == [
         ("28079", 2, 4, 5, 1)]
+
+
+def test_live_query_resumes_from_its_checkpoint(spark, scratch):
+    """A long-running query picks up new files; restarted on the same path it resumes."""
+    from tallyframe.streaming.runner import start_live
+
+    src = os.path.join(scratch, "live_in")
+    stage(src, [HOUR1])
+    path = os.path.join(scratch, "live")
+
+    def totals():
+        s = live.with_event_time(stream_of(spark, src), "timestamp")
+        return live.running_totals(s, ["comunidad"])
+
+    q = start_live(totals(), "t_live", path, output_mode="complete", trigger="1 second")
+    q.processAllAvailable()
+    q.stop()
+    assert rows(spark.read.parquet(os.path.join(path, "out")), "n_events") == [(3,)]
+    stage(src, [HOUR2], first=1)
+    q = start_live(totals(), "t_live", path, output_mode="complete", trigger="1 second")
+    q.processAllAvailable()
+    q.stop()
+    assert rows(spark.read.parquet(os.path.join(path, "out")), "n_events") == [(6,)]
