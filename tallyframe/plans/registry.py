@@ -18,7 +18,6 @@ from tallyframe.session import shared_dir
 from tallyframe.sources import delimited, parquet, tables
 
 L = TESTBED
-PLACE = [L.unit_id, L.unit, L.community, L.province]
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
