@@ -218,17 +218,26 @@ def representativeness(df: DataFrame, layout: Layout, group: str) -> DataFrame:
     )
 
 
-def representativeness_by_band(rep: DataFrame, cut: float | None = None, *,
+def representativeness_by_band(rep: DataFrame, cut: float | Sequence[float] | None = None, *,
                                share_col: str = "population_share") -> DataFrame:
-    """Match rate of ``coincides`` for groups whose largest unit holds at least /
-    less than ``cut`` % of the group's population.
+    """Match rate of ``coincides`` by how much of its group the largest unit holds.
 
+    One ``cut`` (in %) gives the bands ``high`` (share >= cut) and ``low``.
     Without ``cut`` the median share across groups is used, so both bands are
     filled at any data size (the share of the largest unit shrinks as units
-    multiply).  It is a scalar subquery over the one-row-per-group frame.
+    multiply); it is a scalar subquery over the one-row-per-group frame.
+    Several cuts give one band per interval, labelled ``[a, b)``.
     """
-    threshold = F.lit(cut) if cut is not None else rep.select(F.median(share_col)).scalar()
-    band = F.when(F.col(share_col) >= threshold, F.lit("high")).otherwise(F.lit("low"))
+    share = F.col(share_col)
+    if cut is None or isinstance(cut, (int, float)):
+        threshold = F.lit(cut) if cut is not None else rep.select(F.median(share_col)).scalar()
+        band = F.when(share >= threshold, F.lit("high")).otherwise(F.lit("low"))
+    else:
+        edges = sorted(float(c) for c in cut)
+        labels = [f"[{lo:g}, {hi:g})" for lo, hi in zip([float("-inf"), *edges], [*edges, float("inf")])]
+        band = F.lit(labels[-1])
+        for edge, label in reversed(list(zip(edges, labels))):
+            band = F.when(share < F.lit(edge), F.lit(label)).otherwise(band)
     return rep.groupBy(band.alias("share_band")).agg(
         F.count(F.lit(1)).alias("n_groups"),
         F.count_if(F.col("coincides")).alias("n_coinciding"),

@@ -107,3 +107,10 @@ def test_unit_spread_rows_group_by_unit(spark):
     w = compare.winner_per_unit(joined(spark).groupBy("codigo", "municipio", "provincia", "comunidad").agg(
         *[F.sum(p).alias(p) for p in LAYOUT.parties]), LAYOUT)
     assert {r.codigo: r.party for r in w.collect()}[9] == "pp"
+
+
+def test_representativeness_by_several_bands(spark):
+    rep = compare.representativeness(joined(spark), LAYOUT, "comunidad")
+    out = rows(compare.representativeness_by_band(rep, [50.0, 58.0]), "share_band", "n_groups", "n_coinciding")
+    # shares: Galicia 50, Aragón 50, Andalucía 55.6, Madrid 60, CyL 100
+    assert out == [("[50, 58)", 3, 2), ("[58, inf)", 2, 1)]
