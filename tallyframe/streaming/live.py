@@ -112,6 +112,26 @@ def group_from_counters(latest: DataFrame, group: Sequence[str], digits: int = 6
     return out
 
 
+def windowed_group_from_counters(stream: DataFrame, box: str, counter: str, group: Sequence[str],
+                                 size: str, delay: str, ts: str = EVENT_TIME) -> DataFrame:
+    """Per window: the latest counter of every box active in it, summed per group.
+
+    Two chained stateful aggregates in append mode: the first keeps one row
+    per (window, group, box), the second regroups the first's output by the
+    same window (``window_time``) and group.  Both are evicted by the
+    watermark, so state stays bounded.  This counts only boxes that sent a
+    message in the window; for the running total of all boxes use
+    :func:`latest_counter` + :func:`group_from_counters`.
+    """
+    per_box = (stream.withWatermark(ts, delay)
+                     .groupBy(F.window(ts, size).alias("w"), *group, box)
+                     .agg(F.max(counter).alias("counter")))
+    per_group = (per_box.groupBy(F.window(F.window_time("w"), size).alias("w2"), *group)
+                        .agg(F.count(F.lit(1)).alias("n_boxes"), F.sum("counter").alias("sum_counters")))
+    return per_group.select(ntz("w2.start").alias("window_start"), ntz("w2.end").alias("window_end"), *group,
+                            "n_boxes", "sum_counters")
+
+
 def dedup(stream: DataFrame, keys: Sequence[str], delay: str, ts: str = EVENT_TIME) -> DataFrame:
     """Drop resent messages: the first copy of each key within the watermark
     delay passes; state for a key is dropped once the watermark passes it."""

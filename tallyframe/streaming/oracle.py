@@ -29,6 +29,12 @@ FROM events GROUP BY user_id""",
     "stream_group_from_counters": """SELECT event_type, count(*) AS n_boxes, round(sum(counter), 6) AS sum_counters
 FROM (SELECT event_type, user_id, max(value) AS counter FROM events GROUP BY event_type, user_id)
 GROUP BY event_type""",
+    "stream_windowed_group_counters": f"""SELECT window_start, window_start + INTERVAL '1 hour' AS window_end, event_type,
+  count(*) AS n_boxes, round(sum(counter), 6) AS sum_counters
+FROM (SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, event_type, user_id, max(value) AS counter
+      FROM events GROUP BY 1, 2, 3)
+WHERE window_start + INTERVAL '1 hour' <= {WM}
+GROUP BY window_start, event_type""",
     "stream_dedup": "SELECT event_id, ts, user_id, event_type, value FROM events",
     "stream_sessions": f"""WITH marked AS (
   SELECT user_id, ts,

@@ -8,6 +8,8 @@ the box counter, ``ts`` the event time.  Each entry streams the table from
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tallyframe.plans.registry import query
 from tallyframe.streaming import live
 from tallyframe.streaming.runner import run_available, source_stream
@@ -60,6 +62,14 @@ def stream_group_from_counters(spark, sf_dir):
                          batch_transform=lambda b: live.group_from_counters(b, ["event_type"])).result
 
 
+@query
+def stream_windowed_group_counters(spark, sf_dir):
+    s = live.windowed_group_from_counters(events_stream(spark, sf_dir), "user_id", "value", ["event_type"],
+                                          WINDOW, DELAY)
+    s = s.withColumn("sum_counters", F.round("sum_counters", 6))
+    return run_available(s, "windowed_counters").result
+
+
 @query
 def stream_dedup(spark, sf_dir):
     # Every message arrives twice: once on the main feed, once re-sent.

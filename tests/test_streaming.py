@@ -194,3 +194,14 @@ def test_live_query_resumes_from_its_checkpoint(spark, scratch):
     q.processAllAvailable()
     q.stop()
     assert rows(spark.read.parquet(os.path.join(path, "out")), "n_events") == [(6,)]
+
+
+def test_windowed_chained_counters(spark, scratch):
+    """Boxes active per hour: latest counter per box and window, then summed per region."""
+    folder = stage(os.path.join(scratch, "chain"), [HOUR1, HOUR2, HOUR3])
+    s = live.with_event_time(stream_of(spark, folder), "timestamp")
+    out = live.windowed_group_from_counters(s, "mesa_id", "mesa_participacion", ["comunidad"], "1 hour", "10 minutes")
+    run = run_available(out, "t_chain")
+    got = [(w.hour, n, c) for w, n, c in rows(run.result, "window_start", "n_boxes", "sum_counters")]
+    # 9h: a=2, b=1; 10h: a=3, b=3; 11h is still open.
+    assert got == [(9, 2, 3), (10, 2, 6)]
