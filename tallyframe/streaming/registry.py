@@ -20,6 +20,19 @@ WINDOW = "1 hour"
 SLIDE_SIZE, SLIDE_STEP = "2 hours", "1 hour"
 DELAY = "10 minutes"
 SESSION_GAP = "30 minutes"
+# State partitions for the live queries: sized for the key space (60,000
+# boxes at most, a few thousand keys per partition), not for the batch
+# shuffles, so a session tuned for large batch shuffles does not open
+# hundreds of state stores per micro-batch.
+MAX_STATE_PARTITIONS = 64
+
+
+def _state_partitions(spark) -> int:
+    return max(1, min(spark.sparkContext.defaultParallelism, MAX_STATE_PARTITIONS))
+
+
+def _run(stream, name, **kw):
+    return run_available(stream, name, state_partitions=_state_partitions(stream.sparkSession), **kw).result
 
 
 def events_stream(spark, sf_dir):
@@ -33,33 +46,33 @@ def events_stream(spark, sf_dir):
 @query
 def stream_tumbling_counts(spark, sf_dir):
     s = live.tumbling_counts(events_stream(spark, sf_dir), ["event_type"], WINDOW, DELAY, value="value")
-    return run_available(s, "tumbling").result
+    return _run(s, "tumbling")
 
 
 @query
 def stream_sliding_counts(spark, sf_dir):
     s = live.sliding_counts(events_stream(spark, sf_dir), ["event_type"], SLIDE_SIZE, SLIDE_STEP, DELAY,
                             value="value")
-    return run_available(s, "sliding").result
+    return _run(s, "sliding")
 
 
 @query
 def stream_running_totals(spark, sf_dir):
     s = live.running_totals(events_stream(spark, sf_dir), ["event_type"], value="value")
-    return run_available(s, "running", output_mode="complete").result
+    return _run(s, "running", output_mode="complete")
 
 
 @query
 def stream_latest_counter(spark, sf_dir):
     s = live.latest_counter(events_stream(spark, sf_dir), "user_id", "value")
-    return run_available(s, "latest", output_mode="complete").result
+    return _run(s, "latest", output_mode="complete")
 
 
 @query
 def stream_group_from_counters(spark, sf_dir):
     s = live.latest_counter(events_stream(spark, sf_dir), "user_id", "value", keys=["event_type"])
-    return run_available(s, "group_counters", output_mode="complete",
-                         batch_transform=lambda b: live.group_from_counters(b, ["event_type"])).result
+    return _run(s, "group_counters", output_mode="complete",
+                         batch_transform=lambda b: live.group_from_counters(b, ["event_type"]))
 
 
 @query
@@ -67,7 +80,7 @@ def stream_windowed_group_counters(spark, sf_dir):
     s = live.windowed_group_from_counters(events_stream(spark, sf_dir), "user_id", "value", ["event_type"],
                                           WINDOW, DELAY)
     s = s.withColumn("sum_counters", F.round("sum_counters", 6))
-    return run_available(s, "windowed_counters").result
+    return _run(s, "windowed_counters")
 
 
 @query
@@ -76,11 +89,11 @@ def stream_dedup(spark, sf_dir):
     cols = ["event_id", "ts", "user_id", "event_type", "value", live.EVENT_TIME]
     both = events_stream(spark, sf_dir).select(*cols).unionByName(events_stream(spark, sf_dir).select(*cols))
     s = live.dedup(both, ["event_id"], DELAY).drop(live.EVENT_TIME)
-    return run_available(s, "dedup").result
+    return _run(s, "dedup")
 
 
 @query
 def stream_sessions(spark, sf_dir):
     s = live.sessions(events_stream(spark, sf_dir), "user_id", SESSION_GAP, DELAY)
-    return run_available(s, "sessions").result
+    return _run(s, "sessions")
 

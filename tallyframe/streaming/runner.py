@@ -69,8 +69,26 @@ def _sink(stream: DataFrame, name: str, output_mode: str,
     return writer.foreachBatch(write_batch), out
 
 
+_PARTITIONS = "spark.sql.shuffle.partitions"
+
+
+def _start(writer, spark: SparkSession, state_partitions: int | None):
+    """Start the query; ``state_partitions`` sets the shuffle (= state store)
+    partition count of its stateful operators.  The query copies the session
+    settings when it starts, and a checkpoint keeps the count it began with,
+    so the session's own setting is restored right after."""
+    if not state_partitions:
+        return writer.start()
+    old = spark.conf.get(_PARTITIONS)
+    spark.conf.set(_PARTITIONS, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(_PARTITIONS, old)
+
+
 def start_live(stream: DataFrame, name: str, path: str, *, output_mode: str = "append",
-               trigger: str = "10 seconds",
+               trigger: str = "10 seconds", state_partitions: int | None = None,
                batch_transform: Callable[[DataFrame], DataFrame] | None = None):
     """Start a long-running query (processing-time trigger) writing below ``path``
     (``path/out`` for results, ``path/checkpoint`` for offsets and state).
@@ -79,12 +97,13 @@ def start_live(stream: DataFrame, name: str, path: str, *, output_mode: str = "a
     Returns the ``StreamingQuery``; results are read from ``path/out``.
     """
     writer, _ = _sink(stream, name, output_mode, batch_transform, path.rstrip("/"))
-    return writer.trigger(processingTime=trigger).start()
+    return _start(writer.trigger(processingTime=trigger), stream.sparkSession, state_partitions)
 
 
 def run_available(stream: DataFrame, name: str, *, output_mode: str = "append",
                   batch_transform: Callable[[DataFrame], DataFrame] | None = None,
-                  spark: SparkSession | None = None, timeout_s: int = 600) -> StreamRun:
+                  spark: SparkSession | None = None, timeout_s: int = 600,
+                  state_partitions: int | None = None) -> StreamRun:
     """Process everything available now (``availableNow`` trigger), then stop.
 
     ``append`` without ``batch_transform`` writes through the parquet sink;
@@ -94,7 +113,7 @@ def run_available(stream: DataFrame, name: str, *, output_mode: str = "append",
     spark = spark or stream.sparkSession
     writer, out = _sink(stream, name, output_mode, batch_transform,
                         shared_dir(spark, "streams", name, unique=True))
-    handle = writer.trigger(availableNow=True).start()
+    handle = _start(writer.trigger(availableNow=True), spark, state_partitions)
     finished = handle.awaitTermination(timeout_s)
     if not finished:
         handle.stop()

@@ -205,3 +205,13 @@ def test_windowed_chained_counters(spark, scratch):
     got = [(w.hour, n, c) for w, n, c in rows(run.result, "window_start", "n_boxes", "sum_counters")]
     # 9h: a=2, b=1; 10h: a=3, b=3; 11h is still open.
     assert got == [(9, 2, 3), (10, 2, 6)]
+
+
+def test_state_partitions_apply_to_the_stream_only(spark, scratch):
+    folder = stage(os.path.join(scratch, "parts"), [HOUR1, HOUR2])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    run = run_available(hourly(spark, folder), "t_parts", state_partitions=3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    ops = [op for p in run.progress for op in p.get("stateOperators", [])]
+    assert ops and all(int(op.get("numShufflePartitions", 3)) == 3 for op in ops)
+    assert all(int(op.get("numStateStoreInstances", 3)) == 3 for op in ops)
