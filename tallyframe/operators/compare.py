@@ -194,6 +194,8 @@ def representativeness(df: DataFrame, layout: Layout, group: str) -> DataFrame:
     party sums, its population, and picks the largest unit with ``min_by`` on
     a total-order key.  Both aggregates combine map-side, so a group holding a
     third of all units sends one partial row per task; the input is read once.
+    (The pick keeps a struct in its buffer, so the group step is a sort-based
+    aggregate: one map-side sort of the unit rows on a handful of keys.)
     """
     units = with_winner(unit_totals(df, layout, group, extra=[layout.unit]), layout)
     unit_row = F.struct(_q(layout.unit_id).alias("unit_id"), _q(layout.unit).alias("unit"),
