@@ -19,6 +19,14 @@ def test_fold_table_follows_rule():
     assert "ß" not in src  # no decomposition: kept as is
 
 
+def test_fold_equals_nfkd_rule_on_every_latin_character(spark):
+    chars = [chr(cp) for cp in range(0x00A0, 0x0250)]
+    df = spark.createDataFrame([(c,) for c in chars] + [("x" + "".join(chars) + "y",)], "s STRING")
+    got = [r[0] for r in df.select(fold_accents("s")).collect()]
+    assert got == [_nfkd_strip(c) for c in chars] + ["x" + "".join(_nfkd_strip(c) for c in chars) + "y"]
+    assert [fold_text(c) for c in chars] == [_nfkd_strip(c) for c in chars]
+
+
 def test_fold_accents_column(spark):
     df = spark.createDataFrame([("Ávila",), ("Málaga",), ("Ñandú",), (None,), ("straße",), ("Çà",)], "s STRING")
     out = [r[0] for r in df.select(fold_accents("s")).collect()]
