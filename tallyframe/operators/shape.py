@@ -21,9 +21,10 @@ def unpivot_parties(df: DataFrame, ids: Sequence[str], parties: Sequence[str], *
                     keep_nulls: bool = False, order_col: str | None = None) -> DataFrame:
     """Wide party columns to rows ``(ids..., party, votes)``.
 
-    A narrow ``Expand``: no shuffle, and the input partitioning is kept, so a
-    following window or aggregate on a unit key reuses it.  The party label
-    is the column name (one label source).  Null counts are dropped unless
+    A narrow ``Expand``: no shuffle.  Spark does not carry the input
+    partitioning through it, so rank per unit inside the row
+    (``functions.row_top_k``) rather than with a window after the unpivot.
+    The party label is the column name (one label source).  Null counts are dropped unless
     ``keep_nulls``.  ``order_col`` adds the declared position (0-based) of
     the party, the tie-break for "first party wins".
     """
