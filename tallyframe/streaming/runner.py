@@ -1,7 +1,8 @@
-"""Running a live operator to completion and reading its result back.
+"""Running live operators: to completion (``run_available``) or continuously
+(``start_live``).
 
-Outputs and checkpoints go to a fresh folder under the shared checkpoint
-directory, so a restarted query resumes from its offsets and state, and the
+``run_available`` writes outputs and checkpoints to a fresh folder under the
+shared checkpoint directory, so a restarted query resumes from its offsets and state, and the
 result is read from files (never collected through the driver).  Append-mode
 results use the parquet file sink (exactly once via its commit log);
 complete-mode results are rewritten whole in ``foreachBatch`` (idempotent
@@ -27,7 +28,9 @@ class StreamRun:
 
     @property
     def rows_dropped_by_watermark(self) -> int:
-        """Late rows dropped by stateful operators (counted after partial aggregation)."""
+        """Late rows dropped by stateful operators (counted after partial aggregation),
+        over the progress updates the query keeps
+        (``spark.sql.streaming.numRecentProgressUpdates``, 100 by default)."""
         total = 0
         for p in self.progress:
             for op in p.get("stateOperators", []) or []:
