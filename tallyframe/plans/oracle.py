@@ -214,7 +214,8 @@ WHERE party IS NOT NULL AND turnout IS NOT NULL GROUP BY party"""),
 FROM (SELECT community, {pct('voters', 'census')} AS turnout, {pct(MAXP, 'valid')} AS share
       FROM results_wide WHERE census > 0 AND valid > 0)
 GROUP BY community"""),
-    "clean_strings": "SELECT doc_id, trim(text) AS text, trim(lang) AS lang, trim(source) AS source, n_chars FROM documents",
+    "clean_strings": """SELECT doc_id, trim(text) AS text, trim('  ' || lang || ' ') AS lang,
+  trim(' ' || source || '   ') AS source, n_chars FROM documents""",
     "fold_accents": "SELECT doc_id, lang, strip_accents(text) AS text FROM documents",
     "clean_headers": """SELECT c_custkey AS cdigocliente, c_name AS nombrec, c_nationkey AS c_nationkey,
   c_acctbal AS saldo, c_mktsegment AS segmentomercado FROM customer""",

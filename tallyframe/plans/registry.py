@@ -73,7 +73,12 @@ for _name, (_fn, _bounded) in reports.REPORTS.items():
 # ----------------------------------------------------------------- cleaning
 @query
 def clean_strings(spark, sf_dir):
-    return clean.trim_strings(parquet.read_table(spark, sf_dir, "documents"))
+    # The documents carry no padding of their own; pad the short text columns
+    # the way a fixed-width export would, then trim every string column.
+    docs = parquet.read_table(spark, sf_dir, "documents")
+    padded = docs.withColumns({"lang": F.concat(F.lit("  "), "lang", F.lit(" ")),
+                               "source": F.concat(F.lit(" "), "source", F.lit("   "))})
+    return clean.trim_strings(padded)
 
 
 @query
