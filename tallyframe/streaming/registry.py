@@ -28,7 +28,11 @@ MAX_STATE_PARTITIONS = 64
 
 
 def _state_partitions(spark) -> int:
-    return max(1, min(spark.sparkContext.defaultParallelism, MAX_STATE_PARTITIONS))
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # a session without a local SparkContext (e.g. Spark Connect)
+        cores = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(cores, MAX_STATE_PARTITIONS))
 
 
 def _run(stream, name, **kw):
