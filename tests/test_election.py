@@ -76,6 +76,8 @@ def test_command_line(spark, scratch, capsys):
     out = os.path.join(scratch, "cli")
     assert main(["coverage", places, results]) == 0
     assert "places_only\t1\t1" in capsys.readouterr().out
+    assert main(["rejects", places, results]) == 0
+    assert "poblacion\t13\t1\t11\t1\tplaces" in capsys.readouterr().out
     # The Spanish configuration lists 51 parties; the fixture file has five, so
     # run the reports that need no party columns.
     assert main(["reports", places, results, out, "--only", "population_top10,turnout_by_province"]) == 0
