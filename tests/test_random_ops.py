@@ -52,3 +52,44 @@ def test_hits_or_top_n_matches_python(spark):
         assert got == sorted(want)
 
     check()
+
+
+def test_representativeness_matches_python(spark):
+    from tallyframe.model import Layout
+    from tallyframe.operators import compare
+
+    L = Layout(parties=("a", "b", "c"))
+    unit_st = st.tuples(st.sampled_from(["G1", "G2", "G3"]), st.one_of(st.none(), st.integers(0, 5)))
+    row_st = st.tuples(st.integers(0, 15), st.one_of(st.none(), st.integers(0, 3)),
+                       st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 3))
+
+    def winner(sums):
+        present = [v for v in sums if v is not None]
+        if not present or max(present) <= 0:
+            return None
+        return L.parties[sums.index(max(present))]
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(unit_st, min_size=16, max_size=16), st.lists(row_st, min_size=20, max_size=80))
+    def check(units, rows_):
+        # units: id -> (group, population); rows: (unit id, a, b, c), several rows per unit allowed
+        data = [(uid, f"u{uid}", units[uid][0], units[uid][1], a, b, c) for uid, a, b, c in rows_]
+        df = spark.createDataFrame(data, "unit_id INT, unit STRING, community STRING, population INT, "
+                                         "a INT, b INT, c INT")
+        got = {r.community: r for r in compare.representativeness(df, L, "community").collect()}
+        present = {uid for uid, *_ in rows_}
+        want = {}
+        for g in sorted({units[u][0] for u in present}):
+            members = sorted(u for u in present if units[u][0] == g)
+            sums = {u: [sum(x for uid, *v in rows_ if uid == u for x in [v[i]] if x is not None)
+                        if any(v[i] is not None for uid, *v in rows_ if uid == u) else None
+                        for i in range(3)] for u in members}
+            big = sorted(members, key=lambda u: (units[u][1] is None, -(units[u][1] or 0), u))[0]
+            gsum = [sum(s[i] for s in sums.values() if s[i] is not None)
+                    if any(s[i] is not None for s in sums.values()) else None for i in range(3)]
+            want[g] = (big, winner(sums[big]), winner(gsum))
+        assert set(got) == set(want)
+        for g, (big, up, gp) in want.items():
+            assert (got[g].unit_id, got[g].unit_party, got[g].group_party) == (big, up, gp), g
+
+    check()
