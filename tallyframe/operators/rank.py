@@ -52,7 +52,13 @@ def bottom_n(df: DataFrame, by, n: int, tiebreak: Sequence[str] = ()) -> DataFra
 def top_n_per_group(df: DataFrame, group: Sequence[str] | str, by, n: int,
                     tiebreak: Sequence[str] = (), ascending: bool = False,
                     rank_col: str | None = None) -> DataFrame:
-    """The first n rows of every group under the order, optionally with their rank (1 = first)."""
+    """The first n rows of every group under the order, optionally with their rank (1 = first).
+
+    Spark bounds the rows each task sends per group by n (partial
+    ``WindowGroupLimit``) only while n is at most
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1,000 by default);
+    raise that setting for larger n on skewed groups.
+    """
     w = Window.partitionBy(*[_q(g) for g in _keys(group)]).orderBy(*ordering(by, tiebreak, ascending))
     col = rank_col or "_rn"
     out = df.withColumn(col, F.row_number().over(w)).filter(F.col(col) <= n)
