@@ -16,6 +16,23 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+NOTES = """Reading the table:
+
+* **Base twice or three times** (`share_of_group`, `unanimous_or_top10*`, `large_vs_small_union`, `cohort_*`): the
+  query uses the base in two branches (a detail and its totals; hits, top n and the `NOT EXISTS` probe; the large
+  and the small cohort). With AQE off each branch shows its own exchanges. With AQE on (as `get_session` sets it),
+  identical exchanges are materialised once and reused; the final adaptive plans show `ReusedExchange`. The report
+  bundle reads the base from one materialised copy in any case.
+* **`share_of_group`** joins each unit to its group's total. Statically that is a sort-merge join on `community`.
+  At runtime the totals side is one row per group, so AQE turns it into a broadcast join, and the detail side is
+  read locally instead of being gathered by community (checked in `tests/test_skew.py`). No whole-partition
+  window is used.
+* **`representativeness`** reads the base once. Its group step is a sort-based aggregate because the largest-unit
+  pick keeps a struct in its buffer; both of its aggregates combine map-side.
+* **Windows** (`largest_unit_per_group`, `max_row_per_group`, `cohort_top_parties`) all run a partial
+  `WindowGroupLimit` before their shuffle, so a task sends at most n rows per group.
+* **Cleaning queries** are narrow (no exchange); `typed_cast` has one single-row exchange for its global counts."""
+
 MARKERS = [
     ("partial aggregate", r"partial_"),
     ("TakeOrderedAndProject", r"TakeOrderedAndProject"),
@@ -33,7 +50,7 @@ def main(argv):
     from tallyframe.plans import registry
     from tallyframe.session import get_session
 
-    spark = get_session(master="local[8]", shuffle_partitions=8)
+    spark = get_session(master="local[8]", shuffle_partitions=8, extra={"spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10240")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -62,7 +79,8 @@ def main(argv):
         print(f"| `{name}` | {len(ex)} | {', '.join(keys)} | {', '.join(notes)} |")
     print("\nNot listed: the two round trips (they write and read back files), `representativeness_by_band` (it")
     print("checkpoints `representativeness`, listed above, then reads one row per group), and the live queries")
-    print("(streaming plans; their state is bounded by watermarks and by the number of boxes).")
+    print("(streaming plans; their state is bounded by watermarks and by the number of boxes).\n")
+    print(NOTES)
 
 
 if __name__ == "__main__":
