@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+from dataclasses import replace
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -25,6 +26,10 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--encoding", default="ISO-8859-1")
     ap.add_argument("--only", default="", help="comma-separated report names")
     ap.add_argument("--local", type=int, default=0, help="run locally with N threads")
+    ap.add_argument("--top-n", type=int, default=10, help="length of the top and bottom lists")
+    ap.add_argument("--cohort-size", type=int, default=20, help="units in each size cohort")
+    ap.add_argument("--small-below", type=float, default=10_000, help="population under which a unit is small")
+    ap.add_argument("--band-cuts", default="", help="comma-separated share cuts in %% (default: the median)")
     args = ap.parse_args(argv)
 
     from tallyframe.plans import election, reports
@@ -38,7 +43,11 @@ def main(argv: list[str] | None = None) -> int:
             ap.error("reports needs an OUT folder")
         base = election.election_base(spark, args.places, args.results, **csv)
         names = [n for n in args.only.split(",") if n] or None
-        for name, path in reports.run_reports(base, args.out, names, params=election.SPAIN_2016_PARAMS).items():
+        cuts = [float(c) for c in args.band_cuts.split(",") if c]
+        params = replace(election.SPAIN_2016_PARAMS, top_n=args.top_n, cohort_size=args.cohort_size,
+                         small_below=args.small_below,
+                         band_cut=(cuts[0] if len(cuts) == 1 else cuts) if cuts else None)
+        for name, path in reports.run_reports(base, args.out, names, params=params).items():
             print(f"{name}\t{path}")
     elif args.command == "rejects":
         for r in election.rejects(spark, args.places, args.results, **csv).collect():   # a few rows per column

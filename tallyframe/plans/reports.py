@@ -30,7 +30,7 @@ class ReportParams:
     cohort_size: int = 20
     small_below: float = 10_000
     top_parties: int = 5
-    band_cut: float | None = None              # None: median share across groups
+    band_cut: float | Sequence[float] | None = None   # None: median share across groups
     province_cohorts: Mapping[str, Sequence[str]] = field(default_factory=dict)
 
     @property

@@ -80,6 +80,9 @@ def test_command_line(spark, scratch, capsys):
     assert "poblacion\t13\t1\t11\t1\tplaces" in capsys.readouterr().out
     # The Spanish configuration lists 51 parties; the fixture file has five, so
     # run the reports that need no party columns.
-    assert main(["reports", places, results, out, "--only", "population_top10,turnout_by_province"]) == 0
+    assert main(["reports", places, results, out, "--only", "population_top10,turnout_by_province",
+                 "--top-n", "3"]) == 0
     printed = capsys.readouterr().out
     assert "population_top10" in printed and os.path.isdir(os.path.join(out, "turnout_by_province"))
+    top = spark.read.option("header", "true").csv(os.path.join(out, "population_top10"))
+    assert top.count() == 3
