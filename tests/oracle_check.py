@@ -19,6 +19,11 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "benchmark labels conversations").split()
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+                 "date": "DATE"}
+
+
 def duck(sf_dir: str):
     import duckdb
 
@@ -72,11 +77,18 @@ def compare(spark, con, name, fn, sql, sf_dir):
     s_cols = list(sdf.columns)
     s_rows = [tuple(r) for r in sdf.collect()]
     t_spark = time.time() - t0
-    d = con.execute(sql)
-    d_cols = [c[0] for c in d.description]
-    d_rows = d.fetchall()
+    rel = con.sql(sql)
+    d_cols = list(rel.columns)
+    d_types = dict(zip(d_cols, (str(t) for t in rel.types)))
+    d_rows = rel.fetchall()
     res = {"name": name, "spark_rows": len(s_rows), "oracle_rows": len(d_rows), "sec": round(t_spark, 2)}
     res["cols_match"] = sorted(s_cols) == sorted(d_cols)
+    type_diff = [(f.name, f.dataType.simpleString(), d_types.get(f.name)) for f in sdf.schema.fields
+                 if SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString().upper())
+                 != d_types.get(f.name)]
+    res["types_match"] = not type_diff
+    if type_diff:
+        res["type_diff"] = type_diff
     if not res["cols_match"]:
         res["cols"] = (sorted(s_cols), sorted(d_cols))
         res["ok"] = False
@@ -86,7 +98,7 @@ def compare(spark, con, name, fn, sql, sf_dir):
     close = exact or (len(a) == len(b) and all(len(x) == len(y) and all(_close(p, q) for p, q in zip(x, y))
                                                for x, y in zip(a, b)))
     res["exact"] = exact
-    res["ok"] = close
+    res["ok"] = close and res["types_match"]
     if not close:
         for x, y in zip(a, b):
             if x != y:
