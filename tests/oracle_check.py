@@ -1,8 +1,8 @@
 """Compare registered Spark queries with their DuckDB SQL on the same parquet files.
 
 Usage: ``python tests/oracle_check.py [sf_dir] [name ...]``.  Prints one line
-per query: rows on each side, column names, and whether the sorted values
-agree (exactly, or to 1e-9 relative for doubles).
+per query: rows on each side, column names and types, and whether the
+sorted values agree (exactly, or to 1e-9 relative for doubles).
 """
 
 from __future__ import annotations
