@@ -30,6 +30,12 @@ def op4_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort_dedup(table(spark, sf_dir, "documents"), keep="max")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyframe.llm.quality import judge, trusted_ids
+
+    return judge(table(spark, sf_dir, "documents"), trusted_ids(spark, sf_dir))
+
+
 def op7_stratified(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyframe.llm.sharding import stratified_shards
 
@@ -39,5 +45,5 @@ def op7_stratified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_bpe, op4_content_sort, op7_stratified]
+    found = [op1_bpe, op4_content_sort, op5_quality, op7_stratified]
     return {f.__name__: f for f in found}
