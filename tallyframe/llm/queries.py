@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm.common import table
+from tallyframe.session import shared_dir
 
 
 def tokenizer_file(name: str) -> str:
@@ -24,6 +25,12 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyframe.llm.html_text import extract_text
+
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op4_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyframe.llm.exact_dedup import content_sort_dedup
 
@@ -36,6 +43,16 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"), trusted_ids(spark, sf_dir))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyframe.llm.warc import read_warc, write_warc
+
+    folder = shared_dir(spark, "llm", "warc", unique=True)
+    write_warc(table(spark, sf_dir, "pages"), folder)
+    return read_warc(spark, folder, payloads=False).select(
+        F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"))
+
+
 def op7_stratified(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyframe.llm.sharding import stratified_shards
 
@@ -45,5 +62,5 @@ def op7_stratified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_bpe, op4_content_sort, op5_quality, op7_stratified]
+    found = [op1_bpe, op3_html, op4_content_sort, op5_quality, op6_warc, op7_stratified]
     return {f.__name__: f for f in found}
