@@ -37,6 +37,8 @@ BOILER_WORDS = frozenset((
     "breadcrumb breadcrumbs pagination pager footer comment comments commentlist disqus respond replies reply share sharing "
     "social related recommended popular trending popup modal overlay disclaimer masthead topbar toolbar skip").split())
 HEADER_WORDS = frozenset("header masthead".split())
+#: What an article element inside or beside the main one may be instead.
+NOT_ARTICLE_WORDS = frozenset("ad ads advert comment comments reply respond related recommended promo sponsored teaser".split())
 CONTENT = frozenset(("article", "main"))
 
 DROP = re.compile(r"<!--.*?(?:-->|$)|<(" + "|".join(UNSEEN) + r")\b[^>]*>.*?(?:</\1\s*>|$)|<[!?][^>]*>", re.S | re.I)
@@ -62,9 +64,9 @@ def _verdict(tag: str, attributes: str, in_content: bool) -> tuple[bool, bool]:
                 return True, False
             elif name == "itemprop":
                 content |= value.lower() == "articlebody"
-            elif not content and tag not in ("html", "body"):
+            elif tag not in ("html", "body"):
                 words = {w.lower() for w in WORD.findall(value)}
-                if words & BOILER_WORDS or (not in_content and words & HEADER_WORDS):
+                if words & (NOT_ARTICLE_WORDS if content else BOILER_WORDS) or (not content and not in_content and words & HEADER_WORDS):
                     return True, False
     return False, content
 
@@ -110,7 +112,7 @@ def lines_of(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
                 while stack.pop()[0] != tag:
                     pass
         else:
-            if tag in CONTENT:                        # an article never lies inside a menu that somebody forgot to close
+            if tag in CONTENT and not declared:       # the article doesn't lie inside a menu that somebody forgot to close
                 while stack and stack[-1][1]:
                     stack.pop()
                 dropped, content = (stack[-1][1], stack[-1][2]) if stack else (False, False)

@@ -61,6 +61,12 @@ def op7_stratified(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyframe.llm.toxicity import score_toxicity
+
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("spans")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_bpe, op3_html, op4_content_sort, op5_quality, op6_warc, op7_stratified]
+    found = [op1_bpe, op3_html, op4_content_sort, op5_quality, op6_warc, op7_stratified, op8_toxicity]
     return {f.__name__: f for f in found}
