@@ -32,8 +32,9 @@ from pyspark.sql import functions as F
 # The suffixes that the pattern cuts off after an apostrophe.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 
-OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
-MEMO_ENTRIES = 300_000       # bounded memory of a worker; beyond it the memo starts anew
+OTHER, LETTER, NUMBER, SPACE, END = 0, 1, 2, 3, 4
+SEPARATOR = "\U0010ffff"     # a noncharacter
+MEMO_ENTRIES = 600_000       # bounded memory of a worker; beyond it the memo starts anew
 MEMO_CHARS = 64              # longer pre-tokens are not kept
 MASK = (1 << 64) - 1
 
@@ -44,58 +45,88 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-@lru_cache(maxsize=1)
-def class_table() -> bytes:
+@lru_cache(maxsize=2)
+def class_table(library: str = "tiktoken") -> bytes:
     """Class of every code point (one byte each), as the tokeniser library's pattern engine sees it."""
-    import tiktoken
-
-    single = {bytes([i]): i for i in range(256)}
     points = "".join(map(chr, (c for c in range(0x110000) if not 0xD800 <= c < 0xE000)))
     table = bytearray(0x110000)
     for pattern, kind in ((r"\p{L}", LETTER), (r"\p{N}", NUMBER), (r"\s", SPACE)):
-        enc = tiktoken.Encoding("classes", pat_str=pattern, mergeable_ranks=single, special_tokens={})
-        found = bytes(enc.encode_ordinary(points)).decode()
+        if library == "tiktoken":
+            import tiktoken
+
+            single = {bytes([i]): i for i in range(256)}
+            enc = tiktoken.Encoding("classes", pat_str=pattern, mergeable_ranks=single, special_tokens={})
+            found = bytes(enc.encode_ordinary(points)).decode()
+        else:
+            from tokenizers import Regex
+            from tokenizers.pre_tokenizers import Split
+
+            cutter = Split(Regex(pattern + "+"), "removed", invert=True)
+            found = "".join(piece for piece, _ in cutter.pre_tokenize_str(points))
         for c in map(ord, found):
             table[c] = kind
+    table[ord(SEPARATOR)] = END
     return bytes(table)
 
 
-def pretoken_bounds(text: str, classes: np.ndarray) -> list[int]:
-    """Start offsets (code points) of the pre-tokens of ``text``, and its length at the end.
+def pretokens(texts: list[str], classes: np.ndarray) -> list[list[str]]:
+    """The pre-tokens of each text.
 
     Equals repeated matching of
     ``'s|'t|'re|'ve|'m|'ll|'d| ?L+| ?N+| ?other+|\\s+(?!\\S)|\\s+``.
+    The texts are joined by a separator that has a class of its own and cut
+    together; a text that holds the separator itself is cut at it and joined anew.
     """
+    if any(SEPARATOR in t for t in texts):
+        return [_with_separator(t, classes) if SEPARATOR in t else pretokens([t], classes)[0] for t in texts]
+    text = SEPARATOR.join(texts) + SEPARATOR
     points = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
-    n = len(points)
-    if n == 0:
-        return [0]
     kind = classes[points]
+    cut = _cuts(text, points, kind)
+    at = np.flatnonzero(cut)
+    stops = np.flatnonzero(kind[at] == END)               # the separators are pre-tokens too: they end the texts
+    at = at.tolist()
+    pieces = [text[a:b] for a, b in zip(at, at[1:], strict=False)]
+    out, last = [], 0
+    for stop in stops.tolist():
+        out.append(pieces[last:stop])
+        last = stop + 1
+    return out
+
+
+def _with_separator(text: str, classes: np.ndarray) -> list[str]:
+    """A text that holds the separator: there, it is what its own class says (neither letter, number nor space)."""
+    classes = classes.copy()
+    classes[ord(SEPARATOR)] = OTHER
+    points = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
+    at = [*np.flatnonzero(_cuts(text, points, classes[points])).tolist(), len(text)]
+    return [text[a:b] for a, b in zip(at, at[1:], strict=False)]
+
+
+def _cuts(text: str, points: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """True where a pre-token starts."""
+    n = len(points)
     cut = np.ones(n, dtype=bool)
-    cut[1:] = kind[1:] != kind[:-1]
-    first = np.flatnonzero(cut)                      # runs of one class
-    space_runs = kind[first] == SPACE
+    np.not_equal(kind[1:], kind[:-1], out=cut[1:])
+    cut |= kind == END
+    first = np.flatnonzero(cut)                           # runs of one class
     ends = np.append(first[1:], n)
+    run_kind = kind[first]
+    follows = np.append(run_kind[1:], END)                # class of the next run; END at the end of a text
     # White space before something: its last character stands alone, or joins what follows if it is a blank.
-    before = space_runs & (ends < n)
-    tail = ends[before] - 1
+    tail = ends[(run_kind == SPACE) & (follows != END)] - 1
     cut[tail] = True
-    blank = points[tail] == 32
-    cut[tail[blank] + 1] = False
+    cut[tail[points[tail] == 32] + 1] = False
     # A lone apostrophe that starts a match takes s, t, re, ve, m, ll or d from the letters after it.
-    lone = first[(ends - first == 1) & (points[first] == 39) & (ends < n)]
-    for i in lone.tolist():
-        if kind[i + 1] != LETTER or not cut[i]:
-            continue
+    lone = first[(ends - first == 1) & (points[first] == 39) & (follows == LETTER)]
+    for i in lone[cut[lone]].tolist():
         for suffix in CONTRACTIONS:
             if text.startswith(suffix, i + 1):
                 cut[i + 1] = False
                 if i + 1 + len(suffix) < n:
                     cut[i + 1 + len(suffix)] = True
                 break
-    out = np.flatnonzero(cut).tolist()
-    out.append(n)
-    return out
+    return cut
 
 
 class PerfectHash:
@@ -207,9 +238,8 @@ class Codec(dict):
             self[piece] = out
         return out
 
-    def encode(self, text: str) -> bytes:
-        at = pretoken_bounds(text, self.classes)
-        return b"".join(map(self.__getitem__, [text[a:b] for a, b in zip(at, at[1:], strict=False)]))
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return [b"".join(map(self.__getitem__, pieces)) for pieces in pretokens(texts, self.classes)]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
@@ -243,7 +273,7 @@ def encode_documents(df: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
         codec = worker_codec(key, lambda: shared.value[0], lambda: shared.value[1])
         for batch in batches:
             for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
-                ids = [codec.encode(t) for t in part.column(1).to_pylist()]
+                ids = codec.encode(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(ids, pa.binary()), pa.array([codec.decode(x) for x in ids], pa.binary())],
                     ["_id", "ids", "decoded"])

@@ -25,6 +25,12 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyframe.llm.packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyframe.llm.html_text import extract_text
 
@@ -68,5 +74,5 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_bpe, op3_html, op4_content_sort, op5_quality, op6_warc, op7_stratified, op8_toxicity]
+    found = [op1_bpe, op2_packing, op3_html, op4_content_sort, op5_quality, op6_warc, op7_stratified, op8_toxicity]
     return {f.__name__: f for f in found}
