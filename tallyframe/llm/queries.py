@@ -73,6 +73,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("spans")
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyframe.llm.ngram_join import jaccard_groups
+
+    return jaccard_groups(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_bpe, op2_packing, op3_html, op4_content_sort, op5_quality, op6_warc, op7_stratified, op8_toxicity]
+    found = [op1_bpe, op2_packing, op3_html, op4_content_sort, op5_quality, op6_warc, op7_stratified, op8_toxicity, op10_ngram_join]
     return {f.__name__: f for f in found}
