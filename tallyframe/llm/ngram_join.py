@@ -23,7 +23,7 @@ members that it was to connect are compared again, pair by pair, but only
 across groups that are still apart, so no link between different groups is lost.
 
 A list of more than ``LIST_ROWS`` entries is split into blocks of rows that
-share the list's first entries (the spine); entries outside the list's largest
+share a few entries of the list (the spine); entries outside the list's largest
 group then meet all blocks in a second pass.
 """
 
@@ -43,9 +43,9 @@ from tallyframe.llm.common import written
 from tallyframe.llm.components import components
 
 ORDER_BUCKETS = 1 << 20      # of the token order: one byte each is broadcast
-NODE_BUCKETS = 1 << 23       # of the filter of nodes to verify: one bit each is broadcast
+NODE_BITS = 1 << 24          # of the filter of nodes to verify, which is broadcast
 LIST_ROWS = 20_000
-SPINE_ROWS = 64
+SPINE_ROWS = 16
 BLOCK = 256
 SIGNATURE_BITS = 256
 MEMO_ENTRIES = 300_000
@@ -359,28 +359,17 @@ class NgramJoin:
 
     def sets(self, nodes: DataFrame) -> DataFrame:
         """node, set (sorted hashes, binary) for at least the given nodes, from a scan of the texts."""
-        def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            counts = np.zeros(NODE_BUCKETS, dtype=np.int8)
-            for batch in batches:
-                counts[batch.column(0).to_numpy() & (NODE_BUCKETS - 1)] = 1
-            for number, data in sketch.sliced(counts):
-                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([data], pa.binary())], ["slice", "counts"])
-
-        wanted = self.context.broadcast(np.packbits(sketch.summed(nodes.mapInArrow(mark, sketch.SCHEMA), NODE_BUCKETS) > 0))
+        wanted = self.context.broadcast(sketch.bitmap(nodes, NODE_BITS))
         words, seed = self.words, self.seed
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            make, bits = Shingles(words), wanted.value
+            make = Shingles(words)
             for batch in batches:
                 for part in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
-                    node, found = [], []
-                    for text in part.column(0).to_pylist():
-                        s = make(text)
-                        k = (xxhash.xxh3_128_intdigest(s.tobytes(), seed=seed) & (2**64 - 1)) - 2**63
-                        at = k & (NODE_BUCKETS - 1)
-                        if len(s) and bits[at >> 3] >> (7 - (at & 7)) & 1:
-                            node.append(k)
-                            found.append(s.tobytes())
+                    found = [s for s in map(make, part.column(0).to_pylist()) if len(s)]
+                    node = np.array([(xxhash.xxh3_128_intdigest(s.tobytes(), seed=seed) & (2**64 - 1)) - 2**63 for s in found], dtype=np.int64)
+                    asked = sketch.in_bitmap(wanted.value, node)
+                    found, node = [s.tobytes() for s, yes in zip(found, asked.tolist(), strict=True) if yes], node[asked]
                     yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(found, pa.binary())], ["node", "set"])
 
         scan = self.texts.select("_text").mapInArrow(run, "node long, set binary")
@@ -402,13 +391,14 @@ class NgramJoin:
         shared = (postings.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("rows"))
                   .where("lo < hi").select("token", "rows", "lo"))
         entries = postings.join(shared, "token")
-        # Blocks of long lists; the spine (entries of the smallest hashes) goes to every block.
+        # Blocks of long lists; the spine (entries of small hashes) goes to every block.
         blocks = F.ceil(F.col("rows") / limit).cast("int")
         mix = F.xxhash64("node", "token")
         entries = entries.withColumns({"blocks": blocks, "block": F.when(blocks > 1, F.pmod(mix, blocks)).otherwise(0).cast("int")})
         entries = written(entries.drop("lo"), "entries")
         split = entries.where("blocks > 1")
-        spine = (split.groupBy("token", "blocks").agg(F.min_by(F.struct("node", "n", "pos", "sig"), mix).alias("s"))
+        spine = (split.groupBy("token", "blocks", F.pmod(F.shiftright(mix, 20), F.lit(SPINE_ROWS)).alias("place"))
+                 .agg(F.min_by(F.struct("node", "n", "pos", "sig"), mix).alias("s"))
                  .select("token", F.col("s.node"), F.col("s.n"), F.col("s.pos"), F.col("s.sig"),
                          F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")))
         cols = ["token", "node", "n", "pos", "sig", "block"]

@@ -73,6 +73,13 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("spans")
 
 
+def op9_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyframe.llm.substring_dedup import remove_repeats
+
+    cut = remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyframe.llm.ngram_join import jaccard_groups
 
@@ -80,5 +87,5 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_bpe, op2_packing, op3_html, op4_content_sort, op5_quality, op6_warc, op7_stratified, op8_toxicity, op10_ngram_join]
+    found = [op1_bpe, op2_packing, op3_html, op4_content_sort, op5_quality, op6_warc, op7_stratified, op8_toxicity, op9_suffix, op10_ngram_join]
     return {f.__name__: f for f in found}

@@ -41,3 +41,42 @@ def summed(parts: DataFrame, buckets: int) -> np.ndarray:
     for row in parts.select("slice", "counts").groupBy("slice").applyInArrow(_add, SCHEMA).toLocalIterator():
         out[row["slice"] * width:(row["slice"] + 1) * width] = np.frombuffer(zlib.decompress(row["counts"]), dtype="<i8")
     return out
+
+
+def _mark(bits: int, name: str):  # noqa: ANN202
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(bits, dtype=bool)
+        for batch in batches:
+            seen[batch.column(name).to_numpy().view(np.uint64) & np.uint64(bits - 1)] = True
+        for i, part in enumerate(np.split(np.packbits(seen), SLICES)):
+            if part.any():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([i], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], ["slice", "counts"])
+
+    return run
+
+
+def _either(key: tuple, group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = None
+    for batch in group:
+        for data in batch.column("counts"):
+            part = np.frombuffer(zlib.decompress(data.as_py()), dtype=np.uint8)
+            total = part if total is None else total | part
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([key[0].as_py()], pa.int32()), pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())], ["slice", "counts"])
+
+
+def bitmap(keys: DataFrame, bits: int) -> np.ndarray:
+    """Packed bits of the values of a one-column long table, by their lowest bits (``bits`` is a power of two)."""
+    out = np.zeros(bits // 8, dtype=np.uint8)
+    width = len(out) // SLICES
+    marks = keys.mapInArrow(_mark(bits, keys.columns[0]), SCHEMA)
+    for row in marks.groupBy("slice").applyInArrow(_either, SCHEMA).toLocalIterator():
+        out[row["slice"] * width:(row["slice"] + 1) * width] = np.frombuffer(zlib.decompress(row["counts"]), dtype=np.uint8)
+    return out
+
+
+def in_bitmap(packed: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which of the (64-bit) keys may be in the table that the bitmap was made of; never false for one that is."""
+    at = keys.view(np.uint64) & np.uint64(len(packed) * 8 - 1)
+    return (packed[(at >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & 1 > 0
