@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallyframe.llm import sketch
 from tallyframe.session import shared_dir
 
 
@@ -31,3 +33,28 @@ def free_name(df: DataFrame, base: str) -> str:
     while name.lower() in taken:
         name = "_" + name
     return name
+
+
+def without_ids(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose id isn't in ``ids`` (one column ``id_col``); rows without an id stay.
+
+    An anti join that moves few rows: a bitmap of bounded size tells for most
+    rows that their id isn't in ``ids``; only the others are joined.
+    """
+    ids = written(ids.where(F.col(id_col).isNotNull()).select(F.xxhash64(id_col).alias("_mix"), F.col(id_col).alias("_gone")).distinct(), "gone_ids")
+    bits = 1 << 20
+    while bits < 32 * ids.count() and bits < 1 << 28:
+        bits *= 2
+    hit = df.sparkSession.sparkContext.broadcast(sketch.bitmap(ids.select("_mix"), bits))
+
+    @F.pandas_udf("boolean")
+    def may_go(mix):  # noqa: ANN001, ANN202
+        import pandas as pd
+
+        return pd.Series(sketch.in_bitmap(hit.value, mix.to_numpy()))
+
+    name = free_name(df, "_may_go")
+    marked = df.withColumn(name, may_go(F.xxhash64(id_col)))
+    stay = marked.where(~F.col(name)).drop(name)
+    rest = marked.where(F.col(name)).drop(name)
+    return stay.unionByName(rest.join(ids, rest[id_col].eqNullSafe(ids["_gone"]), "left_anti"))
