@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,9 +13,19 @@ from tallyframe.session import shared_dir
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data folder (a single file or a folder of part files)."""
+    reach_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package when it is only on the driver's path (a checkout in local mode)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(p for p in (root, *paths) if p)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh folder below ``spark.checkpoint.dir`` and read it back.
 

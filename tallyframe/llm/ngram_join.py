@@ -3,15 +3,16 @@
 A document's set holds the 64-bit hashes of its distinct word shingles; equal
 sets are one node.  Two sets can only reach the similarity if they share a
 token among the first few of a fixed order of all tokens (prefix filter), so
-each set is entered in the index lists of those tokens.  The order puts tokens
-of crowded buckets last; any fixed order gives the same result.
+each set is entered in the index lists of those tokens.  Any fixed order gives
+the same result; this one goes by the number of tokens in a token's bucket,
+counted over all texts, so that tokens which many texts share come last.
 
 Index lists are joined in tasks with two kinds of skipping:
 
 * by position: a list is sorted by set size and divided into blocks; whole
   blocks are skipped by their bounds on size and on the token's position, which
   bound the possible overlap, and single entries by the same bounds and by the
-  distance of 256-bit parity signatures (never more than the sets' difference);
+  distance of 512-bit parity signatures (never more than the sets' difference);
 * by set relation: the answers of a set are taken from those computed for a
   similar set before it.  Once a set's answers are known they belong to its
   group and are not computed again for its members: only entries outside the
@@ -42,28 +43,23 @@ from tallyframe.llm import sketch
 from tallyframe.llm.common import written
 from tallyframe.llm.components import components
 
-ORDER_BUCKETS = 1 << 20      # of the token order: one byte each is broadcast
+ORDER_BITS = 21              # buckets of the token order, as a power of two: two bytes each are broadcast
 NODE_BITS = 1 << 24          # of the filter of nodes to verify, which is broadcast
 LIST_ROWS = 20_000
 SPINE_ROWS = 16
 BLOCK = 256
-SIGNATURE_BITS = 256
-MEMO_ENTRIES = 300_000
+SMALL_LIST = 24
+SIGNATURE_BITS = 512
 POSTING = "token long, node long, n int, pos int, sig binary"
 
 
 class Shingles:
-    """Shingle sets of texts; keeps a bounded memory of word hashes."""
+    """Shingle sets of texts."""
 
     def __init__(self, words: int) -> None:
         self.words = words
-        self.memo: dict[bytes, int] = {}
         self.weights = [np.uint64(xxhash.xxh3_64_intdigest(b"place %d" % i) | 1) for i in range(words)]
 
-    def _hash(self, word: bytes) -> int:
-        h = self.memo[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
     def __call__(self, text: str) -> np.ndarray:
         """Sorted distinct 64-bit shingle hashes; words are runs of bytes other than ASCII white space, A-Z lower-cased."""
         words = text.encode().lower().split()
@@ -71,10 +67,7 @@ class Shingles:
             return np.zeros(0, dtype=np.uint64)
         if len(words) < self.words:
             return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=len(words))], dtype=np.uint64)
-        if len(self.memo) > MEMO_ENTRIES:
-            self.memo.clear()
-        get, add = self.memo.get, self._hash
-        h = np.fromiter((x if (x := get(w)) is not None else add(w) for w in words), dtype=np.uint64, count=len(words))
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
         m = len(h) - self.words + 1
         s = np.zeros(m, dtype=np.uint64)
         for i, weight in enumerate(self.weights):
@@ -118,7 +111,7 @@ def signature(s: np.ndarray) -> bytes:
 
 def _nodes_and_order(shingles: int, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, counts = Shingles(shingles), np.zeros(ORDER_BUCKETS, dtype=np.int64)
+        sets, counts = Shingles(shingles), np.zeros(1 << ORDER_BITS, dtype=np.int64)
         names = ["_id", "node", "check", "n", "slice", "counts"]
         id_type = None
         for batch in batches:
@@ -132,7 +125,7 @@ def _nodes_and_order(shingles: int, seed: int) -> Callable[[Iterator[pa.RecordBa
                 check.append((h >> 64) - 2**63)
                 size.append(len(s))
             if any(size):
-                counts += np.bincount((np.concatenate(found) >> np.uint64(44)).astype(np.int64), minlength=ORDER_BUCKETS)
+                counts += np.bincount(order_bucket(np.concatenate(found)), minlength=1 << ORDER_BITS)
             none = pa.nulls(batch.num_rows, pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(node, pa.int64()), pa.array(check, pa.int64()), pa.array(size, pa.int64()),
@@ -145,36 +138,47 @@ def _nodes_and_order(shingles: int, seed: int) -> Callable[[Iterator[pa.RecordBa
     return run
 
 
+def order_bucket(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> np.uint64(64 - ORDER_BITS)).astype(np.int64)
+
+
 def crowding(counts: np.ndarray) -> np.ndarray:
-    """Class of each bucket in the token order: 0, or the power of two by which it exceeds four times the mean load."""
-    usual = 4 * counts.mean() + 64
-    return np.ceil(np.log2(np.maximum(counts / usual, 1))).astype(np.uint8)
+    """Rank of each bucket in the token order: its count, scaled so that the usual ones fit into two bytes."""
+    scale = 0
+    while counts.mean() / (1 << scale) > 4096:
+        scale += 1
+    return np.minimum(counts >> scale, 65535).astype(np.uint16)
 
 
 def _postings(shingles: int, seed: int, threshold: Threshold, order) -> Callable:  # noqa: ANN001
+    """Task function: an entry (token, node, n, pos) per prefix token, and one row (node, n, sig) per text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = Shingles(shingles)
+        names = ["token", "node", "n", "pos", "sig"]
         for batch in batches:
             for part in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
-                tokens, node, size, pos, sig = [], [], [], [], []
+                tokens, node, size, pos, sig, length = [], [], [], [], [], []
                 for text in part.column(0).to_pylist():
                     s = sets(text)
                     n = len(s)
                     if not n:
                         continue
                     k = threshold.prefix(n)
-                    crowd = order.value[(s >> np.uint64(44)).astype(np.int64)]
-                    first = s[:k] if not crowd.any() else s[np.argsort(crowd, kind="stable")[:k]]
-                    h = xxhash.xxh3_128_intdigest(s.tobytes(), seed=seed)
-                    tokens.append(first)
-                    node.append(np.full(k, (h & (2**64 - 1)) - 2**63, dtype=np.int64))
-                    size.append(np.full(k, n, dtype=np.int32))
+                    tokens.append(s[np.argsort(order.value[order_bucket(s)], kind="stable")[:k]])
+                    node.append((xxhash.xxh3_128_intdigest(s.tobytes(), seed=seed) & (2**64 - 1)) - 2**63)
+                    size.append(n)
+                    length.append(k)
                     pos.append(np.arange(k, dtype=np.int32))
-                    sig.extend([signature(s)] * k)
+                    sig.append(signature(s))
                 if tokens:
+                    rows = sum(length)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(node)), pa.array(np.concatenate(size)),
-                         pa.array(np.concatenate(pos)), pa.array(sig, pa.binary())], ["token", "node", "n", "pos", "sig"])
+                        [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.repeat(np.array(node, dtype=np.int64), length)),
+                         pa.array(np.repeat(np.array(size, dtype=np.int32), length)), pa.array(np.concatenate(pos)),
+                         pa.nulls(rows, pa.binary())], names)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.nulls(len(node), pa.int64()), pa.array(node, pa.int64()), pa.array(size, pa.int32()),
+                         pa.nulls(len(node), pa.int32()), pa.array(sig, pa.binary())], names)
 
     return run
 
@@ -237,30 +241,47 @@ class IndexList:
 
 def _lists(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[dict[str, np.ndarray]]:
     """Runs of equal ``keys`` of a sorted partition, as arrays; a run may go on over several batches."""
-    held: list[pa.Table] = []
-
-    def flush() -> dict[str, np.ndarray]:
-        t = pa.concat_tables(held).combine_chunks()
-        out = {c: t[c].to_numpy() for c in t.column_names if c != "sig"}
-        out["sig"] = np.frombuffer(b"".join(t["sig"].to_pylist()), dtype=np.uint8).reshape(t.num_rows, -1)
-        return out
-
-    last = None
+    held: dict[str, np.ndarray] = {}
     for batch in batches:
-        table = pa.Table.from_batches([batch])
-        if not table.num_rows:
+        if not batch.num_rows:
             continue
-        key = np.stack([table[c].to_numpy() for c in keys])
-        cuts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist(), table.num_rows]
+        now = {c: np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1) if c == "sig"
+               else batch.column(c).to_numpy() for c in batch.schema.names}
+        if held:
+            now = {c: np.concatenate([held[c], now[c]]) for c in now}
+        change = np.zeros(len(now[keys[0]]) - 1, dtype=bool)
+        for k in keys:
+            change |= now[k][1:] != now[k][:-1]
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist()]
         for a, z in zip(cuts, cuts[1:], strict=False):
-            now = tuple(key[:, a].tolist())
-            if held and now != last:
-                yield flush()
-                held.clear()
-            held.append(table.slice(a, z - a))
-            last = now
+            if z - a > 1:                                     # a list of one entry has no pairs
+                yield {c: x[a:z] for c, x in now.items()}
+        held = {c: x[cuts[-1]:] for c, x in now.items()}
     if held:
-        yield flush()
+        yield held
+
+
+def small_forest(n: list[int], pos: list[int], sig: list[int], threshold: Threshold) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """:meth:`IndexList.forest` for a few entries, without arrays."""
+    group, edges, free = list(range(len(n))), [], list(range(len(n)))
+    while free:
+        root = free.pop(0)
+        queue = [root]
+        while queue and free:
+            x = queue.pop()
+            rest = []
+            for y in free:
+                sizes = n[x] + n[y]
+                need = threshold.overlap(sizes)
+                if (min(n[x], n[y]) >= need and min(pos[x], pos[y]) + min(n[x] - pos[x], n[y] - pos[y]) >= need
+                        and (sig[x] ^ sig[y]).bit_count() <= sizes - 2 * need):
+                    edges.append((x, y))
+                    group[y] = root
+                    queue.append(y)
+                else:
+                    rest.append(y)
+            free = rest
+    return edges, np.array(group)
 
 
 LISTED = "kind int, a long, b long, token long, grp long, node long, n int, pos int, sig binary"
@@ -270,25 +291,47 @@ def _join_lists(threshold: Threshold) -> Callable[[Iterator[pa.RecordBatch]], It
     """Task function over sorted lists: forest edges (kind 0), and the members of groups of three or more (kind 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        members: list[tuple[np.ndarray, ...]] = []
+        held = kept = 0
         for rows in _lists(batches, ["token", "block"]):
-            _, one = np.unique(rows["node"], return_index=True)   # equal sets are one node
+            one = np.flatnonzero(np.append(True, rows["node"][1:] != rows["node"][:-1]))   # equal sets are one node
             if len(one) < 2:
                 continue
-            one.sort()
             node, n, pos, sig = rows["node"][one], rows["n"][one], rows["pos"][one], rows["sig"][one]
-            edges, group = IndexList(n, pos, sig, threshold).forest()
+            if len(one) <= SMALL_LIST:
+                edges, group = small_forest(n.tolist(), pos.tolist(), [int.from_bytes(x.tobytes(), "little") for x in sig], threshold)
+            else:
+                edges, group = IndexList(n, pos, sig, threshold).forest()
             if not edges:
                 continue
             e = np.array(edges)
-            yield _listed(0, a=node[e[:, 0]], b=node[e[:, 1]])
+            found.append((node[e[:, 0]], node[e[:, 1]]))
+            held += len(e)
+            if held > 20_000:
+                yield _listed(0, a=np.concatenate([a for a, _ in found]), b=np.concatenate([b for _, b in found]))
+                found, held = [], 0
             # A group of two is decided by its edge.  So is every group in an unsplit list whose edges all hold.
             big = np.flatnonzero(np.bincount(group, minlength=len(group))[group] >= 3)
             if len(big):
-                yield _listed(1, token=np.full(len(big), rows["token"][0]), grp=node[group[big]], node=node[big], n=n[big], pos=pos[big], sig=sig[big])
+                members.append((np.full(len(big), rows["token"][0]), node[group[big]], node[big], n[big], pos[big], sig[big]))
+                kept += len(big)
+                if kept > 20_000:
+                    yield _members(members)
+                    members, kept = [], 0
+        if found:
+            yield _listed(0, a=np.concatenate([a for a, _ in found]), b=np.concatenate([b for _, b in found]))
+        if members:
+            yield _members(members)
 
     return run
 
 
+def _members(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    token, grp, node, n, pos, sig = (np.concatenate(x) for x in zip(*parts, strict=True))
+    return _listed(1, token=token, grp=grp, node=node, n=n, pos=pos, sig=sig)
+
+
 def _listed(kind: int, **cols: np.ndarray) -> pa.RecordBatch:
     size = len(next(iter(cols.values())))
     kinds = {"kind": pa.int32(), "a": pa.int64(), "b": pa.int64(), "token": pa.int64(), "grp": pa.int64(), "node": pa.int64(),
@@ -353,7 +396,7 @@ class NgramJoin:
             if clash.isEmpty():
                 break
             self.seed += 1                                    # two different sets with the same 64 bits: name them anew
-        counts = sketch.summed(scan.where("slice is not null"), ORDER_BUCKETS)
+        counts = sketch.summed(scan.where("slice is not null"), 1 << ORDER_BITS)
         self.order = self.context.broadcast(crowding(counts))
         return rows.drop("check")
 
@@ -388,9 +431,11 @@ class NgramJoin:
         limit = self.list_rows
         postings = written(self.texts.select("_text").mapInArrow(
             _postings(self.words, self.seed, self.threshold, self.order), POSTING), "postings")
+        sigs = postings.where("token is null").groupBy("node").agg(F.first("sig").alias("sig"))
+        postings = postings.where("token is not null").drop("sig")
         shared = (postings.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("rows"))
                   .where("lo < hi").select("token", "rows", "lo"))
-        entries = postings.join(shared, "token")
+        entries = postings.join(shared.hint("merge"), "token").join(sigs, "node")      # both sides grow with the data
         # Blocks of long lists; the spine (entries of small hashes) goes to every block.
         blocks = F.ceil(F.col("rows") / limit).cast("int")
         mix = F.xxhash64("node", "token")

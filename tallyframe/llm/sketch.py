@@ -21,15 +21,15 @@ def sliced(counts: np.ndarray) -> Iterator[tuple[int, bytes]]:
     """A task's counts as (slice, compressed counts); empty slices are left out."""
     for i, part in enumerate(np.split(counts, SLICES)):
         if part.any():
-            yield i, zlib.compress(part.astype("<i8").tobytes(), 1)
+            yield i, zlib.compress(part.astype("<u4").tobytes(), 1)
 
 
 def _add(key: tuple, group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = None
     for batch in group:
         for data in batch.column("counts"):
-            part = np.frombuffer(zlib.decompress(data.as_py()), dtype="<i8")
-            total = part.copy() if total is None else total + part
+            part = np.frombuffer(zlib.decompress(data.as_py()), dtype="<u4").astype("<i8")
+            total = part if total is None else total + part
     yield pa.RecordBatch.from_arrays(
         [pa.array([key[0].as_py()], pa.int32()), pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())], ["slice", "counts"])
 
