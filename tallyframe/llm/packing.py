@@ -26,7 +26,7 @@ from tallyframe.llm.common import written
 CAPACITY = 2048
 SHARD_ROWS = 50_000
 END_ID = 0
-MEMO_ENTRIES = 600_000       # bounded memory of a worker
+MEMO_ENTRIES = 1_500_000     # bounded memory of a worker (about 350 MB)
 MEMO_CHARS = 64
 PIECES = "piece int, start long, length long, ids_crc32 long, ids binary"
 
