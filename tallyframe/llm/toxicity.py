@@ -29,8 +29,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_TOXIC = 1500
-MAX_CLEAN = 3000
+MAX_TOXIC = 700
+MAX_CLEAN = 1400
 FEATURES = 1 << 18
 TOKEN = re.compile(r"[^\W_]+")
 PREFIXES, SUFFIXES = (3, 4, 5), (3, 4)
@@ -174,7 +174,7 @@ def fit(rows: list[tuple[str, int]]) -> Model:
     hits = {w: hit(w) for words, y in train if y for w in set(words)}
     train = [(words, np.array([y and hits[w] for w in words], dtype=bool)) for words, y in train
              if words and (not y or any(hits[w] for w in words))]
-    # Distinct features of the sample, numbered densely; one row per token, padded with the bias feature 0.
+    # One column of feature numbers per kind of feature; FEATURES itself is a feature that always weighs nothing.
     numbers: dict[str, int] = {}
     own: list[list[int]] = []
     near: list[tuple[int, int]] = []
@@ -192,27 +192,25 @@ def fit(rows: list[tuple[str, int]]) -> Model:
     starts = np.zeros(len(token), dtype=bool)
     starts[np.cumsum([0, *[len(w) for w, _ in train[:-1]]])] = True
     width = max(map(len, own))
-    table = np.full((len(own), width), FEATURES)          # FEATURES is a feature that always weighs nothing
+    table = np.full((len(own), width), FEATURES, dtype=np.int32)
     for k, ids in enumerate(own):
         table[k, :len(ids)] = ids
-    nearby = np.array(near)
+    nearby = np.array(near, dtype=np.int32)
     columns = [table[token, i] for i in range(width)]
-    after, before = np.full(len(token), FEATURES), np.full(len(token), FEATURES)
+    after, before = np.full(len(token), FEATURES, dtype=np.int32), np.full(len(token), FEATURES, dtype=np.int32)
     after[1:] = np.where(starts[1:], FEATURES, nearby[token[:-1], 0])
     before[:-1] = np.where(starts[1:], FEATURES, nearby[token[1:], 1])
     columns += [after, before]
-    used, dense = np.unique(np.concatenate(columns), return_inverse=True)
-    columns = np.split(dense, len(columns))
-    w = np.zeros(len(used))
+    size = FEATURES + 1
+    w = np.zeros(size)
     shape = np.concatenate([w, [model.bias], np.zeros(4), np.zeros(2)])   # weights, bias, transitions, starts
     m1, m2 = np.zeros_like(shape), np.zeros_like(shape)
     now, past = y[1:].astype(int), y[:-1].astype(int)
     inner = ~starts[1:]
     seen_trans = np.bincount((past * 2 + now)[inner], minlength=4).astype(float)
     seen_first = np.bincount(y[starts].astype(int), minlength=2).astype(float)
-    weightless = used == FEATURES
     for step in range(1, STEPS + 1):
-        w, bias, log_trans, log_first = shape[:len(used)], shape[-7], shape[-6:-2].reshape(2, 2), shape[-2:]
+        w, bias, log_trans, log_first = shape[:size], shape[-7], shape[-6:-2].reshape(2, 2), shape[-2:]
         lift = np.full(len(token), bias)
         for c in columns:
             lift += w[c]
@@ -226,18 +224,16 @@ def fit(rows: list[tuple[str, int]]) -> Model:
         pairs = np.stack([last[:, i] * trans[i, j] * (wt if j else 1.0) * here[:, j] for i in (0, 1) for j in (0, 1)])
         expected = (pairs / pairs.sum(axis=0)).sum(axis=1)
         error = y - p
-        gw = np.zeros(len(used))
+        gw = np.zeros(size)
         for c in columns:
-            gw += np.bincount(c, weights=error, minlength=len(used))
-        gw[weightless] = 0
+            gw += np.bincount(c, weights=error, minlength=size)
+        gw[FEATURES] = 0
         grad = np.concatenate([gw, [error.sum()], seen_trans - expected,
                                seen_first - np.array([(1 - p[starts]).sum(), p[starts].sum()])]) / len(token)
         grad -= RIDGE * shape
         m1, m2 = 0.9 * m1 + 0.1 * grad, 0.99 * m2 + 0.01 * grad ** 2
         shape = shape + RATE * (m1 / (1 - 0.9 ** step)) / (np.sqrt(m2 / (1 - 0.99 ** step)) + 1e-9)
-    w = shape[:len(used)]
-    w[weightless] = 0
-    model.weights[used[~weightless]] = w[~weightless]
+    model.weights = shape[:FEATURES].copy()
     model.bias, model.log_trans, model.log_first = float(shape[-7]), shape[-6:-2].reshape(2, 2).copy(), shape[-2:].copy()
     scorer = Scorer(model)
     scorer_rows = scorer.marginals([words for words, _ in held])
