@@ -49,9 +49,11 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         return raw.map(lambda b: bytes(b).decode(errors="ignore"))
 
     others = tuple(c for c in docs.columns if c not in ("text", "n_chars"))
-    cut = remove_repeats(docs, carry=others)
-    cut = cut.withColumn("text", F.when(F.col("n_removed") > 0, decoded("kept")).otherwise(F.col("kept").cast("string")))
-    return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    renamed = docs.select("text", *[F.col(c).alias(f"own_{c}") for c in others])
+    cut = remove_repeats(renamed, carry=tuple(f"own_{c}" for c in others))
+    text = F.when(F.col("n_removed") > 0, decoded("kept")).otherwise(F.col("kept").cast("string"))
+    cut = cut.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long"))
+    return cut.select(*[c if c in ("text", "n_chars") else F.col(f"own_{c}").alias(c) for c in docs.columns])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
