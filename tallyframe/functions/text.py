@@ -63,9 +63,11 @@ def fold_accents(col: Column | str) -> Column:
     """
     src, dst, multi = _fold_maps()
     c = F.col(col) if isinstance(col, str) else col
+    folded = c
     for ch, base in multi:
-        c = F.replace(c, F.lit(ch), F.lit(base))
-    return F.translate(c, src, dst)
+        folded = F.replace(folded, F.lit(ch), F.lit(base))
+    # Pure ASCII has as many bytes as characters, and nothing to fold.
+    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(F.translate(folded, src, dst))
 
 
 def fold_text(value: str | None) -> str | None:

@@ -4,9 +4,7 @@ Broadcast policy: a side is broadcast only after its size is known to be
 below a limit.  For a file scan Spark checks that itself at plan time
 (``spark.sql.autoBroadcastJoinThreshold`` against the file sizes) and AQE
 checks again on the measured shuffle output; above the limit the join stays a
-sort-merge join, with AQE splitting skewed partitions.  For a derived
-dimension whose size Spark cannot know, ``join_dimension`` counts at most
-``max_broadcast_rows + 1`` rows before it adds the hint.
+sort-merge join, with AQE splitting skewed partitions.
 """
 
 from __future__ import annotations
@@ -15,27 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Each task stops after ``max_rows + 1`` rows (a local limit), so the check
-    reads a bounded prefix of every split instead of the whole table, and only
-    a count comes back to the driver.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner", *,
-                   max_broadcast_rows: int | None = None) -> DataFrame:
+def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
     """Equi-join a fact to a dimension, keeping one copy of the key.
 
     ``on`` is a column name or list of names (``USING`` semantics: the key
-    appears once).  With ``max_broadcast_rows`` the dimension is broadcast
-    when it has at most that many rows; otherwise the choice is left to
-    Spark's size-checked planning.
+    appears once).  Whether the dimension is broadcast is left to Spark, which
+    knows its size: from the files at plan time, or measured by AQE.
     """
-    if max_broadcast_rows is not None and has_at_most(dim, max_broadcast_rows):
-        dim = F.broadcast(dim)
     return fact.join(dim, on=on, how=how)
 
 

@@ -22,10 +22,6 @@ SPAIN_2016_PARAMS = ReportParams(
     layout=SPAIN_2016, top_n=10, cohort_size=20, small_below=10_000, top_parties=5,
     province_cohorts={"vacia": SPAIN_EMPTY_PROVINCES, "llena": SPAIN_FULL_PROVINCES})
 
-# A municipality dimension is bounded by geography (about 8,100 rows in Spain);
-# it is broadcast only after this many rows have been counted at most.
-PLACES_BROADCAST_ROWS = 100_000
-
 
 def _place_types(layout: Layout) -> dict[str, str]:
     return {layout.unit_id: "bigint", layout.population: "bigint"}
@@ -65,7 +61,7 @@ def election_base(spark: SparkSession, places_path: str, results_path: str,
     for what it drops).  One row per unit, so every report counts a unit once."""
     places = load_places(spark, places_path, layout, **csv)
     results = results_per_unit(load_results(spark, results_path, layout, **csv), layout)
-    return joins.join_dimension(results, places, layout.unit_id, max_broadcast_rows=PLACES_BROADCAST_ROWS)
+    return joins.join_dimension(results, places, layout.unit_id)
 
 
 def coverage(spark: SparkSession, places_path: str, results_path: str, layout: Layout = SPAIN_2016,

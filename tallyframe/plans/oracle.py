@@ -119,8 +119,8 @@ SQL: dict[str, str] = {
     "dim_fact_join": with_ctes(BASE, body="SELECT * FROM results_wide"),
     "view_scan": with_ctes(BASE, body="SELECT * FROM results_wide"),
     "join_coverage": """WITH
-d AS (SELECT c_custkey AS k, count(*) AS n FROM customer WHERE c_mktsegment = 'BUILDING' GROUP BY c_custkey),
-f AS (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey)
+d AS (SELECT c_custkey AS k, count(*) AS n FROM customer GROUP BY c_custkey),
+f AS (SELECT user_id AS k, count(*) AS n FROM events GROUP BY user_id)
 SELECT 'dimension_only' AS side, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_rows, count(*) AS n_keys
 FROM d WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.k = d.k)
 UNION ALL
@@ -219,7 +219,12 @@ GROUP BY community"""),
     "fold_accents": "SELECT doc_id, lang, strip_accents(text) AS text FROM documents",
     "clean_headers": """SELECT c_custkey AS cdigocliente, c_name AS nombrec, c_nationkey AS c_nationkey,
   c_acctbal AS saldo, c_mktsegment AS segmentomercado FROM customer""",
-    "typed_cast": "WITH d AS (SELECT ' ' || CAST(o_custkey AS VARCHAR) || ' ' AS custkey_text, "
+    "typed_cast": """SELECT o_orderkey, o_custkey AS custkey_text,
+  TRY_CAST(o_orderpriority AS BIGINT) AS priority_text, TRY_CAST(format('{:,.2f}', o_totalprice) AS DOUBLE) AS price_text,
+  concat_ws(',', CASE WHEN trim(o_orderpriority) <> '' AND TRY_CAST(o_orderpriority AS BIGINT) IS NULL THEN 'priority_text' END,
+            CASE WHEN TRY_CAST(format('{:,.2f}', o_totalprice) AS DOUBLE) IS NULL THEN 'price_text' END) AS rejected
+FROM orders""",
+    "reject_report": "WITH d AS (SELECT ' ' || CAST(o_custkey AS VARCHAR) || ' ' AS custkey_text, "
                   "o_orderpriority AS priority_text, format('{:,.2f}', o_totalprice) AS price_text FROM orders)\n"
                   + "\nUNION ALL\n".join([_reject_rows("custkey_text", "BIGINT"), _reject_rows("priority_text", "BIGINT"),
                                           _reject_rows("price_text", "DOUBLE")]),

@@ -6,8 +6,8 @@ input tables.  Orders end in the unit key, so results are reproducible.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,17 +28,9 @@ def query(fn: Query) -> Query:
     return fn
 
 
-@lru_cache(maxsize=8)
-def _base_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return results_wide(spark, sf_dir, L)
-
-
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # A DataFrame is a plan, not data: the base is built and analysed once per
-    # session and folder, and each action still reads the tables.  Every call
-    # gets its own Dataset on top, so physical planning (join strategy,
-    # broadcast) always follows the session's current settings.
-    return _base_plan(spark, sf_dir).select("*")
+    # Built anew each time: a plan keeps the file listing it was made with.
+    return results_wide(spark, sf_dir, L)
 
 
 # ----------------------------------------------------------------- join and scans
@@ -47,23 +39,24 @@ def dim_fact_join(spark, sf_dir):
     return _base(spark, sf_dir)
 
 
-VIEW_NAME = "tallyframe_results_wide"
+def _own_name(base: str) -> str:
+    """A name in the catalog that no other run uses."""
+    return f"{base}_{uuid.uuid4().hex[:12]}"
 
 
 @query
 def view_scan(spark, sf_dir):
-    tables.register_view(_base(spark, sf_dir), VIEW_NAME)
-    return tables.scan_view(spark, VIEW_NAME, sql=True)
+    name = _own_name("tallyframe_results_wide")
+    tables.register_view(_base(spark, sf_dir), name)
+    return tables.scan_view(spark, name, sql=True)
 
 
 @query
 def join_coverage(spark, sf_dir):
-    # Dimension: customers of one market segment; fact: finalised orders.
-    dim = parquet.read_table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment"]) \
-        .filter(F.col("c_mktsegment") == "BUILDING")
-    fact = parquet.read_table(spark, sf_dir, "orders", ["o_custkey", "o_orderstatus"]) \
-        .filter(F.col("o_orderstatus") == "F")
-    return joins.join_coverage(dim, fact, "c_custkey", "o_custkey", "dimension", "fact")
+    # All customers against all events: the users are only a part of the customers.
+    dim = parquet.read_table(spark, sf_dir, "customer", ["c_custkey"])
+    fact = parquet.read_table(spark, sf_dir, "events", ["user_id"])
+    return joins.join_coverage(dim, fact, "c_custkey", "user_id", "dimension", "fact")
 
 
 # ----------------------------------------------------------------- report questions
@@ -123,6 +116,12 @@ def _dirty_orders(spark, sf_dir):
 
 @query
 def typed_cast(spark, sf_dir):
+    typed = clean.typed_cast(_dirty_orders(spark, sf_dir), TYPED_COLUMNS)
+    return typed.withColumn("_rejected", F.array_join("_rejected", ",")).withColumnRenamed("_rejected", "rejected")
+
+
+@query
+def reject_report(spark, sf_dir):
     return clean.reject_report(_dirty_orders(spark, sf_dir), TYPED_COLUMNS)
 
 
@@ -140,7 +139,7 @@ def delimited_roundtrip(spark, sf_dir):
 
 @query
 def managed_table_roundtrip(spark, sf_dir):
-    name = "tallyframe_results_joined"
+    name = _own_name("tallyframe_results_joined")
     path = shared_dir(spark, "tables", name, unique=True)
     tables.save_table(_base(spark, sf_dir), name, path=path)
     return tables.scan_view(spark, name)

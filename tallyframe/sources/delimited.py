@@ -43,11 +43,12 @@ def write_report(df: DataFrame, path: str, *, sep: str = ",", header: bool = Tru
                  single_file: bool = False) -> str:
     """Write a report as delimited text; ``path`` becomes a folder of part files.
 
-    ``single_file`` coalesces to one task and is meant for bounded outputs
+    ``single_file`` moves the finished rows to one task and is meant for bounded outputs
     only (top-n lists, per-group summaries); a full-size report keeps one file
     per partition so the write stays parallel.
     """
-    out = df.coalesce(1) if single_file else df
+    # repartition, not coalesce: what computes the rows keeps its own parallelism
+    out = df.repartition(1) if single_file else df
     (out.write.mode(mode).option("sep", sep).option("header", str(header).lower())
         .option("encoding", encoding).csv(path))
     return path

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.plans.registry import query
 from tallyframe.streaming import live
-from tallyframe.streaming.runner import run_available, source_stream
+from tallyframe.streaming.runner import run_available, table_stream
 
 EVENTS_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
                  "value DOUBLE, props STRING")
@@ -20,19 +20,16 @@ WINDOW = "1 hour"
 SLIDE_SIZE, SLIDE_STEP = "2 hours", "1 hour"
 DELAY = "10 minutes"
 SESSION_GAP = "30 minutes"
-# State partitions for the live queries: sized for the key space (60,000
-# boxes at most, a few thousand keys per partition), not for the batch
-# shuffles, so a session tuned for large batch shuffles does not open
-# hundreds of state stores per micro-batch.
-MAX_STATE_PARTITIONS = 64
+# Part files of one micro-batch: a long history is caught up in steps of bounded size.
+MAX_FILES_PER_TRIGGER = 1000
 
 
 def _state_partitions(spark) -> int:
+    """State stores per stateful operator: one per core of the cluster, so they grow with it."""
     try:
-        cores = spark.sparkContext.defaultParallelism
+        return max(1, spark.sparkContext.defaultParallelism)
     except Exception:  # a session without a local SparkContext (e.g. Spark Connect)
-        cores = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(cores, MAX_STATE_PARTITIONS))
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _run(stream, name, **kw):
@@ -42,9 +39,10 @@ def _run(stream, name, **kw):
 def events_stream(spark, sf_dir):
     # Event times are timestamp_ntz; the cast to timestamp (needed by the
     # watermark) and back is the identity only in UTC.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    raw = source_stream(spark, sf_dir, EVENTS_SCHEMA, glob="events.parquet")
-    return live.with_event_time(raw, "ts")
+    if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "Z"):
+        spark = spark.newSession()        # the caller's session keeps its own setting
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return live.with_event_time(table_stream(spark, sf_dir, "events", EVENTS_SCHEMA, MAX_FILES_PER_TRIGGER), "ts")
 
 
 @query

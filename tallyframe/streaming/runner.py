@@ -3,10 +3,18 @@
 
 ``run_available`` writes outputs and checkpoints to a fresh folder under the
 shared checkpoint directory, so a restarted query resumes from its offsets and state, and the
-result is read from files (never collected through the driver).  Append-mode
-results use the parquet file sink (exactly once via its commit log);
-complete-mode results are rewritten whole in ``foreachBatch`` (idempotent
-when a batch is replayed).
+result is read from files (never collected through the driver).  What a
+micro-batch writes depends on the output mode:
+
+* ``append``: the parquet file sink (exactly once via its commit log), or,
+  with a ``batch_transform``, one folder per batch;
+* ``complete``: the whole result as a new version ``v=<batch>``;
+* ``update``: the last version with the batch's keys replaced, as a new
+  version; needs ``merge_keys``.
+
+Folders are named by the batch id, so a replayed batch overwrites only itself.
+A version counts from the moment Spark has put ``_SUCCESS`` into it; readers
+take the last such version and never see one that is being written.
 """
 
 from __future__ import annotations
@@ -58,8 +66,55 @@ def source_stream(spark: SparkSession, folder: str, schema: StructType | str, *,
     return reader.load(folder)
 
 
+def _files(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop's API."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def table_stream(spark: SparkSession, folder: str, name: str, schema: StructType | str,
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """A file stream over the table ``folder/name.parquet``, a folder of part files or one file.
+
+    Raises ``FileNotFoundError`` if neither is there.
+    """
+    fs, path = _files(spark, f"{folder}/{name}.parquet")
+    if not fs.exists(path):
+        raise FileNotFoundError(f"{folder}/{name}.parquet")
+    if fs.getFileStatus(path).isDirectory():
+        return source_stream(spark, f"{folder}/{name}.parquet", schema, max_files_per_trigger=max_files_per_trigger)
+    # A stream's path is a folder: watch the parent for exactly this name.
+    return source_stream(spark, folder, schema, glob=f"{name}.parquet", max_files_per_trigger=max_files_per_trigger)
+
+
+def committed(spark: SparkSession, out: str, prefix: str) -> list[str]:
+    """Folders ``<prefix>=<number>`` below ``out`` that are complete, by number."""
+    fs, path = _files(spark, out)
+    if not fs.exists(path):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(path) if f.isDirectory()]
+    numbers = sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{prefix}="))
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    return [f"{out}/{prefix}={n}" for n in numbers if fs.exists(Path(f"{out}/{prefix}={n}/_SUCCESS"))]
+
+
+def read_output(spark: SparkSession, out: str, schema: StructType, output_mode: str, transformed: bool) -> DataFrame:
+    """What a query has written so far (an empty frame before its first output)."""
+    if output_mode == "append" and not transformed:
+        fs, path = _files(spark, out)
+        return spark.read.schema(schema).parquet(out) if fs.exists(path) else spark.createDataFrame([], schema)
+    found = committed(spark, out, "b" if output_mode == "append" else "v")
+    if output_mode != "append":
+        found = found[-1:]
+    return spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)
+
+
 def _sink(stream: DataFrame, name: str, output_mode: str,
-          batch_transform: Callable[[DataFrame], DataFrame] | None, base: str):
+          batch_transform: Callable[[DataFrame], DataFrame] | None, base: str, merge_keys: list[str] | None = None):
+    if output_mode not in ("append", "complete", "update"):
+        raise ValueError(f"unknown output mode {output_mode!r}")
+    if output_mode == "update" and not merge_keys:
+        raise ValueError("update mode needs merge_keys: the columns that name a row of the result")
     out, ckpt = f"{base}/out", f"{base}/checkpoint"
     writer = (stream.writeStream.queryName(f"tallyframe_{name}_{base.rsplit('/', 1)[-1]}")
               .option("checkpointLocation", ckpt).outputMode(output_mode))
@@ -67,11 +122,26 @@ def _sink(stream: DataFrame, name: str, output_mode: str,
         return writer.format("parquet").option("path", out), out
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        (batch_transform(batch) if batch_transform else batch).write.mode("overwrite").parquet(out)
+        rows = batch_transform(batch) if batch_transform else batch
+        if output_mode == "append":
+            rows.write.mode("overwrite").parquet(f"{out}/b={batch_id}")
+            return
+        if output_mode == "update":
+            spark = batch.sparkSession
+            before = [v for v in committed(spark, out, "v") if int(v.rsplit("=", 1)[1]) < batch_id]
+            if before:
+                old = spark.read.schema(rows.schema).parquet(before[-1])
+                same = [old[k].eqNullSafe(rows[k]) for k in merge_keys]
+                rows = old.join(rows.select(*merge_keys), same, "left_anti").unionByName(rows)
+        rows.write.mode("overwrite").parquet(f"{out}/v={batch_id}")
+        fs, _ = _files(batch.sparkSession, out)
+        for old in committed(batch.sparkSession, out, "v")[:-KEPT_VERSIONS]:      # readers may still hold the one before
+            fs.delete(batch.sparkSession._jvm.org.apache.hadoop.fs.Path(old), True)
 
     return writer.foreachBatch(write_batch), out
 
 
+KEPT_VERSIONS = 3
 _PARTITIONS = "spark.sql.shuffle.partitions"
 
 
@@ -92,41 +162,37 @@ def _start(writer, spark: SparkSession, state_partitions: int | None):
 
 def start_live(stream: DataFrame, name: str, path: str, *, output_mode: str = "append",
                trigger: str = "10 seconds", state_partitions: int | None = None,
-               batch_transform: Callable[[DataFrame], DataFrame] | None = None):
+               batch_transform: Callable[[DataFrame], DataFrame] | None = None,
+               merge_keys: list[str] | None = None):
     """Start a long-running query (processing-time trigger) writing below ``path``
     (``path/out`` for results, ``path/checkpoint`` for offsets and state).
 
     Restarting with the same ``path`` resumes where the query stopped.
-    Returns the ``StreamingQuery``; results are read from ``path/out``.
+    Returns the ``StreamingQuery``; results are read with :func:`read_output`
+    from ``path/out``.
     """
-    writer, _ = _sink(stream, name, output_mode, batch_transform, path.rstrip("/"))
+    writer, _ = _sink(stream, name, output_mode, batch_transform, path.rstrip("/"), merge_keys)
     return _start(writer.trigger(processingTime=trigger), stream.sparkSession, state_partitions)
 
 
 def run_available(stream: DataFrame, name: str, *, output_mode: str = "append",
                   batch_transform: Callable[[DataFrame], DataFrame] | None = None,
-                  spark: SparkSession | None = None, timeout_s: int = 600,
-                  state_partitions: int | None = None) -> StreamRun:
+                  spark: SparkSession | None = None, timeout_s: float | None = None,
+                  state_partitions: int | None = None, merge_keys: list[str] | None = None) -> StreamRun:
     """Process everything available now (``availableNow`` trigger), then stop.
 
-    ``append`` without ``batch_transform`` writes through the parquet sink;
-    otherwise each micro-batch (the whole result table in ``complete`` mode)
-    is transformed and written over the previous one.
+    A catch-up takes as long as it takes; ``timeout_s`` sets a limit if one is wanted.
     """
     spark = spark or stream.sparkSession
     writer, out = _sink(stream, name, output_mode, batch_transform,
-                        shared_dir(spark, "streams", name, unique=True))
+                        shared_dir(spark, "streams", name, unique=True), merge_keys)
     handle = _start(writer.trigger(availableNow=True), spark, state_partitions)
-    finished = handle.awaitTermination(timeout_s)
-    if not finished:
+    finished = handle.awaitTermination() if timeout_s is None else handle.awaitTermination(timeout_s)
+    if finished is False:
         handle.stop()
         raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
     if handle.exception() is not None:
         raise RuntimeError(f"stream {name} failed: {handle.exception()}")
     progress = list(handle.recentProgress)
     schema = batch_transform(stream).schema if batch_transform else stream.schema
-    try:
-        result = spark.read.schema(schema).parquet(out)
-    except Exception:  # no batch produced output: an empty result
-        result = spark.createDataFrame([], schema)
-    return StreamRun(result, out, progress)
+    return StreamRun(read_output(spark, out, schema, output_mode, batch_transform is not None), out, progress)

@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from tallyframe.plans import oracle, registry
 from tests.conftest import SF_ORACLE
 from tests.oracle_check import compare, duck
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registry.queries()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -4,6 +4,8 @@ pushed-down scans, bounded top-n and per-group limits, no cross joins."""
 import pytest
 
 from tallyframe.plans import registry
+from tallyframe.operators import joins
+from tallyframe.sources import parquet
 from tests.conftest import SF_SMALL
 
 BATCH = [n for n in registry.REGISTRY if not n.endswith("roundtrip") and not n.startswith("stream_")]
@@ -22,8 +24,10 @@ def test_no_python_and_no_cartesian(spark, name):
 
 
 def test_scan_is_pruned_and_filtered(spark):
-    df = registry.join_coverage(spark, SF_SMALL)
-    plan = plan_of(df)
+    assert "ReadSchema: struct<user_id:bigint>" in plan_of(registry.join_coverage(spark, SF_SMALL))
+    dim = parquet.read_table(spark, SF_SMALL, "customer", ["c_custkey"])
+    fact = parquet.read_table(spark, SF_SMALL, "orders", ["o_custkey", "o_orderstatus"]).where("o_orderstatus = 'F'")
+    plan = plan_of(joins.join_coverage(dim, fact, "c_custkey", "o_custkey"))
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)]" in plan
     assert "ReadSchema: struct<o_custkey:bigint,o_orderstatus:string>" in plan
 
