@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyframe.llm import sketch
 from tallyframe.llm.common import written
 
 BUCKETS = 1 << 16
@@ -197,8 +198,23 @@ def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     carried.
     """
     good = trusted.select(F.col(id_col).alias("_trusted_id")).where("_trusted_id is not null").distinct().withColumn("_trusted", F.lit(True))
-    flagged = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-               .join(good, F.col("_id") == F.col("_trusted_id"), "left"))
+    # Most rows are told apart by a bitmap of bounded size; only those that may be trusted are joined.
+    # The join is a sort-merge join at every size: its texts grow with the data.
+    bits = 1 << 20
+    while bits < 32 * good.count() and bits < 1 << 28:
+        bits *= 2
+    marks = docs.sparkSession.sparkContext.broadcast(sketch.bitmap(good.select(F.xxhash64("_trusted_id").alias("_mix")), bits))
+
+    @F.pandas_udf("boolean")
+    def may_be(mix):  # noqa: ANN001, ANN202
+        import pandas as pd
+
+        return pd.Series(sketch.in_bitmap(marks.value, mix.to_numpy()))
+
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).withColumn("_maybe", may_be(F.xxhash64("_id")))
+    sure = rows.where("not _maybe").select("_text", F.lit(False).alias("_trusted"))
+    asked = rows.where("_maybe").join(good.hint("merge"), F.col("_id") == F.col("_trusted_id"), "left").select("_text", "_trusted")
+    flagged = sure.unionByName(asked)
     table = fit(flagged, "_text", "_trusted")
     shared = docs.sparkSession.sparkContext.broadcast(table)
     rows = docs.select(F.col(id_col).alias("_id"), *[F.col(c).alias(f"_carry{i}") for i, c in enumerate(carry)],
