@@ -44,7 +44,8 @@ from tallyframe.llm.common import written
 from tallyframe.llm.components import components
 
 ORDER_BITS = 21              # buckets of the token order, as a power of two: two bytes each are broadcast
-NODE_BITS = 1 << 24          # of the filter of nodes to verify, which is broadcast
+KEY_BITS = 1 << 24           # of the filter of texts to verify, which is broadcast
+TOKEN_BITS = 1 << 28         # at most, of the filter of shared tokens, which is broadcast
 LIST_ROWS = 20_000
 SPINE_ROWS = 16
 BLOCK = 256
@@ -112,7 +113,7 @@ def signature(s: np.ndarray) -> bytes:
 def _nodes_and_order(shingles: int, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, counts = Shingles(shingles), np.zeros(1 << ORDER_BITS, dtype=np.int64)
-        names = ["_id", "node", "check", "n", "slice", "counts"]
+        names = ["_id", "key", "node", "check", "n", "slice", "counts"]
         id_type = None
         for batch in batches:
             id_type = batch.column(0).type
@@ -128,11 +129,11 @@ def _nodes_and_order(shingles: int, seed: int) -> Callable[[Iterator[pa.RecordBa
                 counts += np.bincount(order_bucket(np.concatenate(found)), minlength=1 << ORDER_BITS)
             none = pa.nulls(batch.num_rows, pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(node, pa.int64()), pa.array(check, pa.int64()), pa.array(size, pa.int64()),
+                [batch.column(0), batch.column(2), pa.array(node, pa.int64()), pa.array(check, pa.int64()), pa.array(size, pa.int64()),
                  none, pa.nulls(batch.num_rows, pa.binary())], names)
         for number, data in sketch.sliced(counts):
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
+                [pa.nulls(1, id_type), *[pa.nulls(1, pa.int64()) for _ in range(4)],
                  pa.array([number], pa.int32()), pa.array([data], pa.binary())], names)
 
     return run
@@ -386,12 +387,13 @@ class NgramJoin:
         self.seed = 0
 
     def nodes(self) -> DataFrame:
-        """_id, node, n per row; sets the token order."""
+        """_id, key (of the text), node, n per row; sets the token order."""
         id_type = self.texts.schema["_id"].dataType.simpleString()
         while True:
-            scan = written(self.texts.mapInArrow(_nodes_and_order(self.words, self.seed),
-                                                 f"_id {id_type}, node long, check long, n long, slice int, counts binary"), "shingle_sets")
-            rows = scan.where("slice is null").select("_id", "node", "check", "n")
+            scan = written(self.texts.withColumn("key", F.xxhash64("_text")).mapInArrow(
+                _nodes_and_order(self.words, self.seed),
+                f"_id {id_type}, key long, node long, check long, n long, slice int, counts binary"), "shingle_sets")
+            rows = scan.where("slice is null").select("_id", "key", "node", "check", "n")
             clash = rows.groupBy("node").agg(F.min("check").alias("lo"), F.max("check").alias("hi")).where("lo <> hi")
             if clash.isEmpty():
                 break
@@ -400,23 +402,28 @@ class NgramJoin:
         self.order = self.context.broadcast(crowding(counts))
         return rows.drop("check")
 
-    def sets(self, nodes: DataFrame) -> DataFrame:
-        """node, set (sorted hashes, binary) for at least the given nodes, from a scan of the texts."""
-        wanted = self.context.broadcast(sketch.bitmap(nodes, NODE_BITS))
+    def sets(self, rows: DataFrame, wanted: DataFrame) -> DataFrame:
+        """node, set (sorted hashes, binary) of the ``wanted`` nodes; only texts whose key may be asked for are cut again."""
+        keys = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key")).select("key")
+        asked = self.context.broadcast(sketch.bitmap(keys, KEY_BITS))
         words, seed = self.words, self.seed
 
+        @F.pandas_udf("boolean")
+        def may_be(key):  # noqa: ANN001, ANN202
+            import pandas as pd
+
+            return pd.Series(sketch.in_bitmap(asked.value, key.to_numpy()))
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             make = Shingles(words)
             for batch in batches:
                 for part in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
-                    found = [s for s in map(make, part.column(0).to_pylist()) if len(s)]
-                    node = np.array([(xxhash.xxh3_128_intdigest(s.tobytes(), seed=seed) & (2**64 - 1)) - 2**63 for s in found], dtype=np.int64)
-                    asked = sketch.in_bitmap(wanted.value, node)
-                    found, node = [s.tobytes() for s, yes in zip(found, asked.tolist(), strict=True) if yes], node[asked]
+                    found = [s.tobytes() for s in map(make, part.column(0).to_pylist()) if len(s)]
+                    node = [(xxhash.xxh3_128_intdigest(s, seed=seed) & (2**64 - 1)) - 2**63 for s in found]
                     yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(found, pa.binary())], ["node", "set"])
 
-        scan = self.texts.select("_text").mapInArrow(run, "node long, set binary")
-        one = scan.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("set").alias("set"))
+        scan = self.texts.select("_text").where(may_be(F.xxhash64("_text"))).mapInArrow(run, "node long, set binary")
+        one = scan.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("set").alias("set"))
         return written(one, "node_sets")
 
     def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -426,21 +433,34 @@ class NgramJoin:
                      .select("a", "b", "sa", "sb"))
         return written(with_sets.mapInArrow(_verify(self.threshold), "a long, b long, ok boolean"), "verified")
 
-    def links(self, nodes: DataFrame) -> DataFrame:
+    def links(self, rows: DataFrame) -> DataFrame:
         """Enough links (a, b) between nodes to give the connected components of all links."""
         limit = self.list_rows
         postings = written(self.texts.select("_text").mapInArrow(
             _postings(self.words, self.seed, self.threshold, self.order), POSTING), "postings")
         sigs = postings.where("token is null").groupBy("node").agg(F.first("sig").alias("sig"))
         postings = postings.where("token is not null").drop("sig")
-        shared = (postings.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("rows"))
-                  .where("lo < hi").select("token", "rows", "lo"))
+        shared = written(postings.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("rows"))
+                         .where("lo < hi").select("token", "rows"), "shared_tokens")
+        # Most tokens are in one set only; a bitmap of bounded size spares their entries the shuffle of the join.
+        bits = 1 << 20
+        while bits < 16 * shared.count() and bits < TOKEN_BITS:
+            bits *= 2
+        marks = self.context.broadcast(sketch.bitmap(shared.select("token"), bits))
+
+        @F.pandas_udf("boolean")
+        def may_share(token):  # noqa: ANN001, ANN202
+            import pandas as pd
+
+            return pd.Series(sketch.in_bitmap(marks.value, token.to_numpy()))
+
+        postings = postings.where(may_share("token"))
         entries = postings.join(shared.hint("merge"), "token").join(sigs, "node")      # both sides grow with the data
         # Blocks of long lists; the spine (entries of small hashes) goes to every block.
         blocks = F.ceil(F.col("rows") / limit).cast("int")
         mix = F.xxhash64("node", "token")
         entries = entries.withColumns({"blocks": blocks, "block": F.when(blocks > 1, F.pmod(mix, blocks)).otherwise(0).cast("int")})
-        entries = written(entries.drop("lo"), "entries")
+        entries = written(entries, "entries")
         split = entries.where("blocks > 1")
         spine = (split.groupBy("token", "blocks", F.pmod(F.shiftright(mix, 20), F.lit(SPINE_ROWS)).alias("place"))
                  .agg(F.min_by(F.struct("node", "n", "pos", "sig"), mix).alias("s"))
@@ -451,7 +471,7 @@ class NgramJoin:
                   .repartition("token", "block").sortWithinPartitions("token", "block", "n", "node"))
         joined = written(listed.mapInArrow(_join_lists(self.threshold), LISTED), "lists")
         pairs = written(joined.where("kind = 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-        sets = self.sets(pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct())
+        sets = self.sets(rows, pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct())
         first = self.verified(pairs, sets)
         links = first.where("ok").select("a", "b")
         # Groups (and split lists) whose members aren't all in one component by now.
@@ -479,7 +499,7 @@ class NgramJoin:
         more = written(more.join(first, ["a", "b"], "left_anti"), "more_pairs")
         if more.isEmpty():
             return links
-        sets = self.sets(more.select(F.col("a").alias("node")).unionAll(more.select("b")).distinct())
+        sets = self.sets(rows, more.select(F.col("a").alias("node")).unionAll(more.select("b")).distinct())
         return links.unionAll(self.verified(more, sets).where("ok").select("a", "b"))
 
 
