@@ -423,11 +423,10 @@ class NgramJoin:
                     yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(found, pa.binary())], ["node", "set"])
 
         scan = self.texts.select("_text").where(may_be(F.xxhash64("_text"))).mapInArrow(run, "node long, set binary")
-        one = scan.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("set").alias("set"))
-        return written(one, "node_sets")
+        return scan.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("set").alias("set"))
 
     def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """a, b, ok of each pair."""
+        """a, b, ok of each pair; the shuffle that groups ``sets`` serves both of its joins."""
         with_sets = (pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
                      .join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
                      .select("a", "b", "sa", "sb"))
