@@ -1,26 +1,27 @@
 """String expressions: header cleaning and accent folding.
 
-Accent folding is a single ``translate`` over a character table, so it runs
-inside whole-stage codegen on the executors; there is no Python per value.
-The table is *generated* from the Unicode database by a rule (decompose with
-NFKD, drop combining marks, keep the mapping when one base character is left),
-over the Latin blocks, which covers every accented letter of the Western
-European languages.
+Accent folding is NFKD without its combining marks, as JVM expressions: one
+``translate`` for every character that becomes one other or vanishes, and a
+lookup for those that become several.  The tables are *generated* from the
+Unicode database of Python's ``unicodedata``, over all code points.
 """
 
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Latin-1 Supplement (from U+00A0), Latin Extended-A and Latin Extended-B:
-# every character a Latin-1 file can carry, and the accented letters of the
-# other Latin alphabets.
-_FOLD_RANGE = range(0x00A0, 0x0250)
+# Hangul syllables are left out of the tables: they split by arithmetic.
+_HANGUL = range(0xAC00, 0xAC00 + 11172)
+_LEAD, _VOWEL, _TAIL = 0x1100, 0x1161, 0x11A7          # before the first trailing letter
+_VOWELS, _TAILS = 21, 28
+# Between the pairs of the lookup table, and inside one.
+_PAIRS, _PAIR = "\x01", "\x02"
 
 # Fixed value: characters a header keeps (everything else is deleted).
 _HEADER_DROP = re.compile(r"[^a-zA-Z0-9_]")
@@ -31,9 +32,12 @@ def _nfkd_base(ch: str) -> str:
 
 
 @lru_cache(maxsize=1)
-def _fold_maps() -> tuple[str, str, tuple[tuple[str, str], ...]]:
-    src, dst, multi = [], [], []
-    for cp in _FOLD_RANGE:
+def _fold_maps() -> tuple[str, str, str, tuple[tuple[str, str], ...]]:
+    """(characters that become one, what they become, characters that vanish, those that become several)."""
+    src, dst, gone, multi = [], [], [], []
+    for cp in range(0x80, sys.maxunicode + 1):
+        if 0xD800 <= cp < 0xE000 or cp in _HANGUL:
+            continue
         ch = chr(cp)
         base = _nfkd_base(ch)
         if base == ch:
@@ -41,43 +45,60 @@ def _fold_maps() -> tuple[str, str, tuple[tuple[str, str], ...]]:
         if len(base) == 1:
             src.append(ch)
             dst.append(base)
-        else:                      # e.g. a fraction or a digraph letter: several characters
+        elif base:                 # e.g. a fraction or a digraph letter
             multi.append((ch, base))
-    return "".join(src), "".join(dst), tuple(multi)
+        else:                      # a combining mark
+            gone.append(ch)
+    return "".join(src), "".join(dst), "".join(gone), tuple(multi)
 
 
 def fold_table() -> tuple[str, str]:
     """(source, target) strings for ``translate``: one base character per folded character."""
-    src, dst, _ = _fold_maps()
-    return src, dst
+    return _fold_maps()[:2]
+
+
+def _jamo(first: int, number: Column) -> Column:
+    """The letter ``number`` places after ``first``."""
+    letters = "".join(chr(first + i) for i in range(_TAILS))
+    return F.substring(F.lit(letters), (number + 1).cast("int"), F.lit(1))
+
+
+def _expanded(c: Column) -> Column:
+    """The text with every character that folds to several replaced."""
+    multi = _fold_maps()[3]
+    table = F.str_to_map(F.lit(_PAIRS.join(ch + _PAIR + base for ch, base in multi)), F.lit(_PAIRS), F.lit(_PAIR))
+    # A character class this long is tried part by part; translate looks characters up.
+    several = "".join(ch for ch, _ in multi) + "".join(map(chr, _HANGUL))
+
+    def one(x: Column) -> Column:
+        place = F.ascii(x) - F.lit(_HANGUL[0])
+        tail = place % _TAILS
+        syllable = F.concat(_jamo(_LEAD, F.floor(place / (_VOWELS * _TAILS))),
+                            _jamo(_VOWEL, F.floor(place / _TAILS) % _VOWELS),
+                            F.when(tail > 0, _jamo(_TAIL, tail)).otherwise(""))
+        return (F.when(F.translate(x, several, "") == x, x)
+                 .when(place.between(0, len(_HANGUL) - 1), syllable)
+                 .otherwise(F.coalesce(F.try_element_at(table, x), x)))
+
+    return F.when(F.translate(c, several, "") != c, F.array_join(F.transform(F.split(c, ""), one), "")).otherwise(c)
 
 
 def fold_accents(col: Column | str) -> Column:
     """Remove diacritics (NFKD, combining marks dropped) from a string column; null stays null.
 
-    The few characters that expand to several (fractions, digraph letters)
-    are replaced first, with ``replace`` (a native byte search per character:
-    cheaper than a regex test, which copies every string into a Java string),
-    then one ``translate`` folds every other character.  Exact NFKD costs about
-    twice a bare ``translate`` on long texts.
+    A text with a character that folds to several (a ligature, a fraction, a
+    Hangul syllable) is first taken apart into characters; one ``translate``
+    then folds the rest.  Pure ASCII is passed through.
     """
-    src, dst, multi = _fold_maps()
+    src, dst, gone, _ = _fold_maps()
     c = F.col(col) if isinstance(col, str) else col
-    folded = c
-    for ch, base in multi:
-        folded = F.replace(folded, F.lit(ch), F.lit(base))
     # Pure ASCII has as many bytes as characters, and nothing to fold.
-    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(F.translate(folded, src, dst))
+    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(F.translate(_expanded(c), src + gone, dst))
 
 
 def fold_text(value: str | None) -> str | None:
     """The same folding for a driver-side literal (cohort lists, config)."""
-    if value is None:
-        return None
-    src, dst, multi = _fold_maps()
-    for ch, base in multi:
-        value = value.replace(ch, base)
-    return value.translate(str.maketrans(src, dst))
+    return None if value is None else _nfkd_base(value)
 
 
 def clean_header(name: str) -> str:

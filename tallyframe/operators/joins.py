@@ -23,6 +23,20 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> D
     return fact.join(dim, on=on, how=how)
 
 
+def require_unique(dim: DataFrame, key: str, shown: int = 5) -> DataFrame:
+    """``dim`` itself; raises ``ValueError`` if a key is on several of its rows.
+
+    A repeated key would multiply every fact row that joins it.  One job over
+    the dimension, aggregated before its shuffle; only ``shown`` of the
+    repeated keys reach the driver, for the message.  Null keys never join.
+    """
+    repeated = (dim.where(F.col(f"`{key}`").isNotNull()).groupBy(F.col(f"`{key}`").alias("_k"))
+                   .agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").limit(shown).collect())
+    if repeated:
+        raise ValueError(f"{key} is not unique in the dimension: {sorted(str(r['_k']) for r in repeated)}")
+    return dim
+
+
 def join_coverage(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                   left_name: str = "left", right_name: str = "right") -> DataFrame:
     """Keys an inner join would drop, per side: ``(side, n_rows, n_keys)``.

@@ -116,6 +116,8 @@ def _reject_rows(col: str, dtype: str) -> str:
 
 
 SQL: dict[str, str] = {
+    "raw_delimited_scan": with_ctes(BASE, body=f"""SELECT unit_id, unit, province, community,
+  CAST(floor(population) AS BIGINT) AS population, census, voters, valid, {PLIST} FROM results_wide"""),
     "dim_fact_join": with_ctes(BASE, body="SELECT * FROM results_wide"),
     "view_scan": with_ctes(BASE, body="SELECT * FROM results_wide"),
     "join_coverage": """WITH

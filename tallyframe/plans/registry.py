@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.operators import clean, joins
-from tallyframe.plans import reports
+from tallyframe.plans import election, reports
 from tallyframe.plans.testbed import TESTBED, results_wide
 from tallyframe.session import shared_dir
 from tallyframe.sources import delimited, parquet, tables
@@ -137,6 +137,25 @@ def delimited_roundtrip(spark, sf_dir):
     return delimited.read_report(spark, path, REPORT_SCHEMA, sep=";", encoding="ISO-8859-1")
 
 
+@query
+def raw_delimited_scan(spark, sf_dir):
+    """The base written as raw election files and loaded again: Latin-1, dirty headers, padded and
+    accented names, two results files with their columns in different orders."""
+    base = tables.materialize(_base(spark, sf_dir), "raw_scan_base")
+    folder = shared_dir(spark, "raw", "election", unique=True)
+    places = base.select(
+        F.col(L.unit_id).alias("Unit_ID "), F.concat(F.lit("  "), L.unit, F.lit(" ")).alias("Unit."),
+        F.regexp_replace(L.province, "NATION", "NATIÓN").alias("(Province)"),
+        F.col(L.community).alias("Community"), F.floor(L.population).cast("bigint").alias("Population €"))
+    delimited.write_report(places, f"{folder}/places", sep=";", encoding="ISO-8859-1")
+    counts = [L.unit_id, L.census, L.voters, L.valid, *L.parties]
+    early = F.col(L.province) < F.lit("NATION_2")
+    for part, rows, order in (("a", early, counts), ("b", ~early, counts[::-1])):
+        raw = base.where(rows).select(*[F.col(c).alias(f"{c.upper()} ") for c in order])
+        delimited.write_report(raw, f"{folder}/results/{part}", sep=";", encoding="ISO-8859-1")
+    return election.election_base(spark, f"{folder}/places", f"{folder}/results/*", L)
+
+
 @query
 def managed_table_roundtrip(spark, sf_dir):
     name = _own_name("tallyframe_results_joined")

@@ -1,17 +1,27 @@
 """Delimited-text scans and report sinks.
 
-Results files are ``;``-separated, Latin-1, with a header.  Reads always take a
-declared schema (schema inference is a full extra pass over the input and
-guesses differently per file); ``infer_schema`` exists only to profile a new
-file once.
+Results files are ``;``-separated, Latin-1, with a header.  Without a declared
+schema every column is read as text, by the names in each file's own header,
+and typed afterwards; ``infer_schema`` (a full extra pass over the input) exists
+only to profile a new file once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
 
-from tallyframe.operators.clean import clean_headers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
+
+from tallyframe.operators.clean import clean_headers, string_columns
+
+# What a quoted empty text is read as before it becomes "" again: a text no report holds.
+_EMPTY_MARK = "\x00"
+# Encodings that can't hold every character and that ``encode`` knows.
+_NARROW = ("ISO-8859-1", "US-ASCII")
 
 
 def read_delimited(spark: SparkSession, path: str, schema: StructType | str | None = None, *,
@@ -22,9 +32,11 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType | str | No
 
     With a declared ``schema`` the header row only has to be present; columns
     are taken by position and named by the schema.  Without one, header names
-    are cleaned by the results-file rule (``clean_headers``).  ``mode`` is
-    Spark's CSV mode: PERMISSIVE (bad fields become null), DROPMALFORMED or
-    FAILFAST.
+    are cleaned by the results-file rule (``clean_headers``), and files of one
+    folder may list their columns in different orders: columns go by name, and
+    files that do not have the same columns raise ``ValueError``.  That takes
+    one small read of every file's first line.  ``mode`` is Spark's CSV mode:
+    PERMISSIVE (bad fields become null), DROPMALFORMED or FAILFAST.
     """
     reader = (spark.read.option("sep", sep).option("encoding", encoding)
               .option("header", str(header).lower()).option("mode", mode))
@@ -33,9 +45,46 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType | str | No
     elif infer_schema:
         reader = reader.option("inferSchema", "true")
     df = reader.csv(path)
-    if schema is None and clean_names:
-        df = clean_headers(df)
-    return df
+    if schema is not None:
+        return df
+    named = clean_headers if clean_names else (lambda d: d)
+    parts = [named(reader.csv(files)) for files in _by_header(reader, df.inputFiles())] if header else []
+    if len(parts) < 2:
+        return named(df)
+    for other in parts[1:]:
+        odd = set(parts[0].columns) ^ set(other.columns)
+        if odd:
+            raise ValueError(f"files of {path} do not have the same columns: {sorted(odd)}")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _by_header(reader, files: list[str]) -> list[list[str]]:
+    """The files grouped by their header; only first lines are read."""
+    if len(files) < 2:
+        return [files]
+    files = [unquote(f) for f in files]
+    with ThreadPoolExecutor(16) as pool:
+        heads = list(pool.map(lambda f: tuple(reader.csv(f).columns), files))
+    groups: dict[tuple, list[str]] = {}
+    for file, head in zip(files, heads):
+        if head:                                  # an empty file has no header and no rows
+            groups.setdefault(head, []).append(file)
+    return list(groups.values())
+
+
+def _encodable(df: DataFrame, encoding: str) -> DataFrame:
+    """The same rows; running it fails on a text the encoding can't hold."""
+    if encoding.upper() not in _NARROW:
+        return df
+    texts = set(string_columns(df))
+
+    def checked(c: str) -> Column:
+        col = F.col(f"`{c}`")
+        kept = F.decode(F.encode(col, encoding), encoding) == col
+        return F.when(col.isNull() | kept, col).otherwise(
+            F.raise_error(F.concat(F.lit(f"{c}: not in {encoding}: "), col))).alias(c)
+
+    return df.select(*[checked(c) if c in texts else F.col(f"`{c}`") for c in df.columns])
 
 
 def write_report(df: DataFrame, path: str, *, sep: str = ",", header: bool = True,
@@ -45,8 +94,10 @@ def write_report(df: DataFrame, path: str, *, sep: str = ",", header: bool = Tru
 
     ``single_file`` moves the finished rows to one task and is meant for bounded outputs
     only (top-n lists, per-group summaries); a full-size report keeps one file
-    per partition so the write stays parallel.
+    per partition so the write stays parallel.  Null is written as nothing and
+    an empty text as ``""``; a character that ``encoding`` can't hold fails the write.
     """
+    df = _encodable(df, encoding)
     # repartition, not coalesce: what computes the rows keeps its own parallelism
     out = df.repartition(1) if single_file else df
     (out.write.mode(mode).option("sep", sep).option("header", str(header).lower())
@@ -57,5 +108,8 @@ def write_report(df: DataFrame, path: str, *, sep: str = ",", header: bool = Tru
 def read_report(spark: SparkSession, path: str, schema: StructType | str, *, sep: str = ",",
                 header: bool = True, encoding: str = "UTF-8") -> DataFrame:
     """Read a report written by :func:`write_report` back with the writer's schema."""
-    return (spark.read.schema(schema).option("sep", sep).option("header", str(header).lower())
-            .option("encoding", encoding).option("mode", "FAILFAST").csv(path))
+    df = (spark.read.schema(schema).option("sep", sep).option("header", str(header).lower())
+          .option("encoding", encoding).option("mode", "FAILFAST").option("emptyValue", _EMPTY_MARK).csv(path))
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    return df.select(*[F.when(F.col(f"`{c}`") == _EMPTY_MARK, "").otherwise(F.col(f"`{c}`")).alias(c)
+                       if c in texts else F.col(f"`{c}`") for c in df.columns])

@@ -13,13 +13,15 @@ must be UTC for the cast to be the identity) and :func:`ntz` casts back.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
-# The live message of a ballot box (one per vote); counters are cumulative and
+from tallyframe.functions.numeric import pct
+
+# The live message of a ballot box (one per vote); counters are cumulative and
 # never fall.
 MESSAGE_SCHEMA = StructType([
     StructField("timestamp", TimestampType()),
@@ -82,6 +84,35 @@ def running_totals(stream: DataFrame, keys: Sequence[str], value: str | None = N
     return _finish(agg, value)
 
 
+def level_totals(stream: DataFrame, levels: Mapping[str, str | None], value: str | None = None) -> DataFrame:
+    """Totals since the start at several levels at once (complete or update mode).
+
+    ``levels`` maps a level's name to its column, or to None for the grand
+    total (key ``""``).  Each message counts once at every level; the map-side
+    combine leaves one row per task and key, so the grand total is no hot key.
+    A message without a place at some level counts under a null key there.
+    """
+    entries = [F.struct(F.lit(name).alias("level"),
+                        (F.lit("") if c is None else F.col(c).cast("string")).alias("key"))
+               for name, c in levels.items()]
+    columns = ["at.level", "at.key", *([value] if value else [])]
+    return running_totals(stream.withColumn("at", F.explode(F.array(*entries))).select(*columns),
+                          ["level", "key"], value)
+
+
+def windowed_turnout(stream: DataFrame, census: DataFrame, keys: Sequence[str], size: str, delay: str,
+                     census_col: str = "census", ts: str = EVENT_TIME) -> DataFrame:
+    """Votes per fixed window and key over the key's census: the live participation rate.
+
+    ``census`` is a static table, one row per key; it is joined to the closed
+    windows, not to the messages.  Keys without a census have no rate (null).
+    """
+    votes = tumbling_counts(stream, keys, size, delay, ts=ts).withColumnRenamed("n_events", "n_votes")
+    joined = votes.join(census.select(*keys, census_col), on=list(keys), how="left")
+    return joined.select("window_start", "window_end", *keys, "n_votes", census_col,
+                         pct("n_votes", census_col).alias("turnout"))
+
+
 def latest_counter(stream: DataFrame, box: str, counter: str, keys: Sequence[str] = (),
                    ts: str = EVENT_TIME, reported: str | None = None) -> DataFrame:
     """Latest cumulative counter per box.  Counters only grow, so ``max`` is the

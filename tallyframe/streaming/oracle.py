@@ -24,6 +24,32 @@ WHERE window_start + INTERVAL '2 hours' <= {WM}
 GROUP BY window_start, event_type""",
     "stream_running_totals": """SELECT event_type, count(*) AS n_events, round(sum(value), 6) AS sum_value
 FROM events GROUP BY event_type""",
+    "stream_level_totals": """WITH placed AS (
+  SELECT e.user_id, e.value, n.n_name, r.r_name FROM events e
+  LEFT JOIN customer c ON e.user_id = c.c_custkey
+  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+  LEFT JOIN region r ON n.n_regionkey = r.r_regionkey)
+SELECT 'total' AS level, '' AS key, count(*) AS n_events, round(sum(value), 6) AS sum_value FROM placed
+UNION ALL SELECT 'community', r_name, count(*), round(sum(value), 6) FROM placed GROUP BY r_name
+UNION ALL SELECT 'province', n_name, count(*), round(sum(value), 6) FROM placed GROUP BY n_name
+UNION ALL SELECT 'box', CAST(user_id AS VARCHAR), count(*), round(sum(value), 6) FROM placed GROUP BY user_id""",
+    "stream_turnout_rate": f"""WITH places AS (
+  SELECT c_custkey, r_name AS community FROM customer
+  JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+census AS (
+  SELECT community, count(*) AS census FROM orders JOIN places ON o_custkey = c_custkey GROUP BY community),
+votes AS (
+  SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, community, count(*) AS n_votes
+  FROM events LEFT JOIN places ON user_id = c_custkey GROUP BY 1, 2)
+SELECT window_start, window_start + INTERVAL '1 hour' AS window_end, votes.community, n_votes, census,
+  n_votes / NULLIF(census, 0) * CAST(100 AS DOUBLE) AS turnout
+FROM votes LEFT JOIN census ON votes.community = census.community
+WHERE window_start + INTERVAL '1 hour' <= {WM}""",
+    "stream_reported_gap": """SELECT event_type, count(*) AS n_boxes, round(sum(counter), 6) AS sum_counters,
+  max(reported) AS reported_total, round(max(reported) - round(sum(counter), 6), 6) AS gap
+FROM (SELECT event_type, user_id, max(value) AS counter, max(event_id) AS reported FROM events
+      GROUP BY event_type, user_id)
+GROUP BY event_type""",
     "stream_latest_counter": """SELECT user_id, max(value) AS counter, max(ts) AS last_seen, count(*) AS n_messages
 FROM events GROUP BY user_id""",
     "stream_group_from_counters": """SELECT event_type, count(*) AS n_boxes, round(sum(counter), 6) AS sum_counters

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyframe.plans.registry import query
+from tallyframe.plans.testbed import TESTBED, results_wide
+from tallyframe.sources.parquet import read_table
 from tallyframe.streaming import live
 from tallyframe.streaming.runner import run_available, table_stream
 
@@ -64,6 +66,46 @@ def stream_running_totals(spark, sf_dir):
     return _run(s, "running", output_mode="complete")
 
 
+def placed_events(spark, sf_dir):
+    """Each event with its box's province and community (null for a box that is no customer)."""
+    s = events_stream(spark, sf_dir)
+    spark = s.sparkSession
+    customer = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
+    nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
+    region = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
+    places = (customer.join(nation, customer.c_nationkey == nation.n_nationkey)
+                      .join(region, nation.n_regionkey == region.r_regionkey)
+                      .select("c_custkey", F.col("n_name").alias(TESTBED.province),
+                              F.col("r_name").alias(TESTBED.community)))
+    return s.join(places, s.user_id == places.c_custkey, "left")
+
+
+@query
+def stream_level_totals(spark, sf_dir):
+    s = live.level_totals(placed_events(spark, sf_dir),
+                          {"total": None, "community": TESTBED.community, "province": TESTBED.province,
+                           "box": "user_id"}, value="value")
+    return _run(s, "levels", output_mode="complete")
+
+
+@query
+def stream_turnout_rate(spark, sf_dir):
+    s = placed_events(spark, sf_dir)
+    census = (results_wide(s.sparkSession, sf_dir).groupBy(TESTBED.community)
+              .agg(F.sum(TESTBED.census).alias(TESTBED.census)))
+    return _run(live.windowed_turnout(s, census, [TESTBED.community], WINDOW, DELAY, TESTBED.census), "turnout")
+
+
+@query
+def stream_reported_gap(spark, sf_dir):
+    # The boxes relay a running total of their group: here the event number, which only grows.
+    s = live.latest_counter(events_stream(spark, sf_dir), "user_id", "value", keys=["event_type"],
+                            reported="event_id")
+    return _run(s, "reported_gap", output_mode="complete",
+                batch_transform=lambda b: live.group_from_counters(b, ["event_type"])
+                .withColumn("gap", F.round("gap", 6)))
+
+
 @query
 def stream_latest_counter(spark, sf_dir):
     s = live.latest_counter(events_stream(spark, sf_dir), "user_id", "value")

@@ -3,6 +3,8 @@ raw headers, padded and accented names, a dirty number, a code on one side only.
 
 import os
 
+import pytest
+
 from tallyframe.plans import election, reports
 from tallyframe.sources import read_report
 from tests.conftest import rows
@@ -78,11 +80,13 @@ def test_command_line(spark, scratch, capsys):
     assert "places_only\t1\t1" in capsys.readouterr().out
     assert main(["rejects", places, results]) == 0
     assert "poblacion\t13\t1\t11\t1\tplaces" in capsys.readouterr().out
-    # The Spanish configuration lists 51 parties; the fixture file has five, so
-    # run the reports that need no party columns.
-    assert main(["reports", places, results, out, "--only", "population_top10,turnout_by_province",
-                 "--top-n", "3"]) == 0
+    # The Spanish configuration lists 51 parties; the fixture file has five of its own.
+    with pytest.raises(ValueError, match="missing columns"):
+        main(["reports", places, results, out])
+    assert main(["reports", places, results, out, "--parties", "auto", "--top-n", "3"]) == 0
     printed = capsys.readouterr().out
+    for name in [*reports.REPORTS, "rejects", "coverage"]:
+        assert os.path.exists(os.path.join(out, name, "_SUCCESS")), name
     assert "population_top10" in printed and os.path.isdir(os.path.join(out, "turnout_by_province"))
     top = spark.read.option("header", "true").csv(os.path.join(out, "population_top10"))
     assert top.count() == 3
@@ -93,14 +97,37 @@ def test_command_line_band_cuts(spark, scratch, capsys):
 
     places, results = write_files(os.path.join(scratch, "in"))
     out = os.path.join(scratch, "cli_bands")
-    # Party columns are needed here; run the report on the fixture layout through the library entry
-    # point the CLI uses, with the cuts parsed the CLI's way.
-    base = election.election_base(spark, places, results, PARAMS.layout)
-    from dataclasses import replace
-    params = replace(PARAMS, band_cut=[50.0, 58.0])
-    reports.run_reports(base, out, ["representativeness_by_band"], params=params)
+    assert main(["reports", places, results, out, "--only", "representativeness_by_band",
+                 "--parties", ",".join(PARTIES), "--band-cuts", "50,58"]) == 0
     bands = spark.read.option("header", "true").csv(os.path.join(out, "representativeness_by_band"))
     assert sorted(r.share_band for r in bands.collect()) == ["[50, 58)", "[58, inf)"]
-    assert main(["reports", places, results, os.path.join(scratch, "cli2"), "--only", "population_top10",
-                 "--band-cuts", "50,58"]) == 0
     capsys.readouterr()
+
+
+def _write(folder, name, lines):
+    path = os.path.join(folder, name)
+    os.makedirs(folder, exist_ok=True)
+    with open(path, "w", encoding="latin-1") as fh:
+        fh.write("\n".join(lines) + "\n")
+    return path
+
+
+def test_unknown_and_missing_columns_are_refused(spark, scratch):
+    places = _write(scratch, "p.csv", ["Codigo;Municipio;Provincia;Comunidad;Poblacion", "1;A;P;C;10"])
+    results = _write(scratch, "r.csv", ["Codigo;Censo;Votantes;Validos;PP;NUEVO;Blancos;Nota",
+                                        "1;90;80;78;20;48;3;x", "1;10;8;7;2;5;1;y"])
+    layout = election.SPAIN_2016.with_parties(["pp", "psoe"])
+    with pytest.raises(ValueError, match="psoe.*nuevo"):
+        election.election_base(spark, places, results, layout)
+    layout = election.file_parties(["codigo", "censo", "votantes", "validos", "pp", "nuevo", "blancos", "nota"],
+                                   layout, keep=["blancos"], ignore=["nota"])
+    assert layout.parties == ("pp", "nuevo")
+    base = election.election_base(spark, places, results, layout, keep=["blancos"], ignore=["nota"])
+    assert rows(base, "codigo", "pp", "nuevo", "blancos") == [(1, 22, 53, 4)]
+
+
+def test_repeated_place_codes_are_refused(spark, scratch):
+    places = _write(scratch, "p.csv", ["Codigo;Municipio;Provincia;Comunidad;Poblacion", "1;A;P;C;10", "1;A;P;C;10"])
+    results = _write(scratch, "r.csv", ["Codigo;Censo;Votantes;Validos;PP", "1;90;80;78;20"])
+    with pytest.raises(ValueError, match="not unique"):
+        election.election_base(spark, places, results, election.SPAIN_2016.with_parties(["pp"]))

@@ -27,6 +27,16 @@ def test_fold_equals_nfkd_rule_on_every_latin_character(spark):
     assert [fold_text(c) for c in chars] == [_nfkd_strip(c) for c in chars]
 
 
+def test_fold_equals_nfkd_rule_on_every_code_point(spark):
+    points = [cp for cp in range(1, 0x110000) if not 0xD800 <= cp < 0xE000]
+    texts = ["x" + "".join(map(chr, points[i:i + 4000])) + "y" for i in range(0, len(points), 4000)]
+    texts += ["Việt Nam", "e\u0301te\u0301", "ﬁn", "Ｍ", "Αθήνα", "한국어", "½", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "i INT, s STRING").repartition(8)
+    got = {r.i: r.f for r in df.select("i", fold_accents("s").alias("f")).collect()}
+    assert [got[i] for i in range(len(texts))] == [_nfkd_strip(t) for t in texts]
+    assert fold_text("Việt ﬁ") == "Viet fi"
+
+
 def test_fold_accents_column(spark):
     df = spark.createDataFrame([("Ávila",), ("Málaga",), ("Ñandú",), (None,), ("straße",), ("Çà",)], "s STRING")
     out = [r[0] for r in df.select(fold_accents("s")).collect()]

@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from tallyframe.operators import clean
 from tallyframe.sources import materialize, read_delimited, read_report, register_view, save_table, scan_view, write_report
 from tests.conftest import rows
@@ -43,6 +45,31 @@ def test_report_roundtrip(spark, scratch):
     write_report(src, out, sep=";", encoding="ISO-8859-1", single_file=True)
 
 
+def test_report_keeps_null_and_empty_apart(spark, scratch):
+    src = spark.createDataFrame([(1, ""), (2, None), (3, "ñ"), (4, 'a"b;c'), (5, "?")], "k INT, s STRING")
+    for encoding in ("UTF-8", "ISO-8859-1"):
+        out = write_report(src, os.path.join(scratch, encoding), encoding=encoding)
+        assert rows(read_report(spark, out, "k INT, s STRING", encoding=encoding), "k") == [(i,) for i in range(1, 6)]
+        assert {r.k: r.s for r in read_report(spark, out, "k INT, s STRING", encoding=encoding).collect()} == \
+            {r.k: r.s for r in src.collect()}
+
+
+def test_report_refuses_what_the_encoding_cannot_hold(spark, scratch):
+    src = spark.createDataFrame([("Łódź €",)], "s STRING")
+    with pytest.raises(Exception):
+        write_report(src, os.path.join(scratch, "latin"), encoding="ISO-8859-1")
+
+
+def test_files_with_other_column_orders_go_by_name(spark, scratch):
+    folder = os.path.join(scratch, "res ults")
+    _write_latin1(folder, "a.csv", "Codigo;PP;PSOE\n1;38;2\n")
+    _write_latin1(folder, "b.csv", "Codigo;PSOE;PP\n2;2;38\n")
+    assert rows(read_delimited(spark, folder)) == [("1", "38", "2"), ("2", "38", "2")]
+    _write_latin1(folder, "c.csv", "Codigo;PSOE;NUEVO\n2;2;38\n")
+    with pytest.raises(ValueError, match="nuevo"):
+        read_delimited(spark, folder)
+
+
 def test_save_table_rerun_and_joined_frame(spark, scratch):
     """The joined frame is saved, and saving again overwrites."""
     name = "test_elecciones_join"
