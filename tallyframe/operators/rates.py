@@ -9,7 +9,7 @@ sees their measured size and broadcasts them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -77,10 +77,21 @@ def population_by_group(df: DataFrame, layout: Layout, group: str, *,
 
 
 def share_of_group(df: DataFrame, layout: Layout, group: str, *,
-                   total_col: str = "group_population", share_col: str = "population_share") -> DataFrame:
-    """Each unit's population as a percentage of its group's total."""
+                   total_col: str = "group_population", share_col: str = "population_share",
+                   store: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+    """Each unit's population as a percentage of its group's total.
+
+    ``store(frame, name)`` writes a frame and reads it back.  With it the input
+    is computed once, and the planner knows the size of the totals (one row per
+    group) before it plans the join, so small totals are broadcast and the
+    units are not shuffled by group.
+    """
     units = distinct_units(df, layout, group, extra=[layout.unit])
+    if store:
+        units = store(units, "units")
     totals = units.groupBy(_q(group)).agg(F.sum(_q(layout.population)).alias(total_col))
+    if store:
+        totals = store(totals, "group_totals")
     return (units.join(totals, on=group, how="inner")
                  .withColumn(share_col, pct(_q(layout.population).cast("double"),
                                             F.col(total_col).cast("double"))))

@@ -139,14 +139,16 @@ def unanimous_units(base, p: ReportParams = TESTBED_PARAMS):
 
 @report(bounded=False)
 def unanimous_or_top10(base, p: ReportParams = TESTBED_PARAMS):
-    conc = _concentration(base, p)
+    conc = tables.materialize(_concentration(base, p), "concentration")    # read by both branches and the probe
     return _concentration_out(rank.hits_or_top_n(conc, _unanimous_hit(p), "max_share", p.top_n, [p.layout.unit_id]), p)
 
 
 @report(bounded=False)
 def unanimous_or_top10_contested(base, p: ReportParams = TESTBED_PARAMS):
     # The same question over units without a unanimous result: the fallback branch.
-    conc = _concentration(base, p).filter(F.col("winner_votes") < F.col(p.layout.valid))
+    # The filter makes this a test of that branch; it is no question of its own.
+    conc = tables.materialize(_concentration(base, p).filter(F.col("winner_votes") < F.col(p.layout.valid)),
+                              "concentration_contested")
     return _concentration_out(rank.hits_or_top_n(conc, _unanimous_hit(p), "max_share", p.top_n, [p.layout.unit_id]), p)
 
 
@@ -180,7 +182,7 @@ def population_by_group(base, p: ReportParams = TESTBED_PARAMS):
 
 @report(bounded=False)
 def share_of_group(base, p: ReportParams = TESTBED_PARAMS):
-    out = rates.share_of_group(base, p.layout, p.layout.community)
+    out = rates.share_of_group(base, p.layout, p.layout.community, store=tables.materialize)
     return out.select(p.layout.community, p.layout.unit_id, p.layout.unit, p.layout.population,
                       F.col("group_population").cast("decimal(38,2)").alias("group_population"),
                       "population_share")

@@ -18,15 +18,13 @@ sys.path.insert(0, ROOT)
 
 NOTES = """Reading the table:
 
-* **Base twice or three times** (`share_of_group`, `unanimous_or_top10*`, `large_vs_small_union`, `cohort_*`): the
-  query uses the base in two branches (a detail and its totals; hits, top n and the `NOT EXISTS` probe; the large
-  and the small cohort). With AQE off each branch shows its own exchanges. With AQE on (as `get_session` sets it),
-  identical exchanges are materialised once and reused; the final adaptive plans show `ReusedExchange`. The report
-  bundle reads the base from one materialised copy in any case.
-* **`share_of_group`** joins each unit to its group's total. Statically that is a sort-merge join on `community`.
-  At runtime the totals side is one row per group, so AQE turns it into a broadcast join, and the detail side is
-  read locally instead of being gathered by community (checked in `tests/test_skew.py`). No whole-partition
-  window is used.
+* **Base twice** (`large_vs_small_union`, `cohort_*`): the query uses the base in two branches, the large and the
+  small cohort. With AQE off each branch shows its own exchanges. With AQE on (as `get_session` sets it), identical
+  exchanges are computed once and reused. The report bundle reads the base from one materialised copy in any case.
+* **`unanimous_or_top10*`** write the winner of every unit once; the hits, the top n and the `NOT EXISTS` probe read
+  those files. The row shows what is planned after that.
+* **`share_of_group`** writes the units and the totals (one row per group) once. The planner then knows the size of
+  the totals, so small ones are broadcast and the units are not shuffled by group; the row shows that last step.
 * **`representativeness`** reads the base once. Its group step is a sort-based aggregate because the largest-unit
   pick keeps a struct in its buffer; both of its aggregates combine map-side.
 * **Windows** (`largest_unit_per_group`, `max_row_per_group`, `cohort_top_parties`) all run a partial

@@ -31,6 +31,13 @@ EXPECTED = {
     "turnout_rollup": 3,
 }
 
+# Written once and read back, so what is left to plan has no join of the base.
+STORED = {
+    "share_of_group": 0,            # totals broadcast by their known size
+    "unanimous_or_top10": 0,
+    "unanimous_or_top10_contested": 0,
+}
+
 
 @pytest.fixture
 def large_tables(spark):
@@ -56,6 +63,14 @@ def test_shuffle_count_at_scale(large_tables, name):
     assert not any("nationkey" in e or "regionkey" in e for e in ex)
 
 
+@pytest.mark.parametrize("name", sorted(STORED))
+def test_stored_steps_are_not_shuffled_again(large_tables, name):
+    ex, plan = exchanges(registry.REGISTRY[name](large_tables, SF_SMALL))
+    keyed = [e for e in ex if e.startswith("hash")]
+    assert len(keyed) == STORED[name], (name, ex)
+    assert "orders.parquet" not in plan and "SortMergeJoin" not in plan
+
+
 def test_group_limit_runs_before_the_shuffle(large_tables):
     _, plan = exchanges(registry.REGISTRY["max_row_per_group"](large_tables, SF_SMALL))
     below = plan.split("Exchange hashpartitioning(community", 1)[1]
