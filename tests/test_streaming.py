@@ -261,13 +261,33 @@ def test_update_mode_without_keys_is_refused(spark, scratch):
         table_stream(spark, scratch, "missing", "k STRING")
 
 
-@pytest.mark.parametrize("name", ["stream_tumbling_counts", "stream_running_totals", "stream_latest_counter"])
-def test_streams_over_a_folder_table_equal_the_single_file(spark, scratch, name):
-    from tallyframe.streaming import registry as live_registry
+STREAMS = ["stream_tumbling_counts", "stream_sliding_counts", "stream_running_totals", "stream_level_totals",
+           "stream_turnout_rate", "stream_reported_gap", "stream_latest_counter", "stream_group_from_counters",
+           "stream_windowed_group_counters", "stream_dedup", "stream_sessions"]
+
+
+@pytest.fixture(scope="module")
+def split_events(spark, tmp_path_factory):
+    """sf0.001 with the events in four part files by event time, oldest first."""
+    folder = str(tmp_path_factory.mktemp("split"))
+    for name in ("customer", "nation", "region", "orders"):
+        os.symlink(f"/root/testdata/sf0.001/{name}.parquet", f"{folder}/{name}.parquet")
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").repartitionByRange(4, "ts").write.parquet(
+        f"{folder}/events.parquet")
+    parts = sorted(f for f in os.listdir(f"{folder}/events.parquet") if f.startswith("part-"))
+    assert len(parts) == 4
+    for i, part in enumerate(parts):
+        os.utime(f"{folder}/events.parquet/{part}", (1_700_000_000 + i, 1_700_000_000 + i))
+    return folder
+
+
+@pytest.mark.parametrize("name", STREAMS)
+def test_streams_over_a_folder_table_in_batches_equal_the_single_file(spark, split_events, monkeypatch, name):
     from tallyframe.plans.registry import REGISTRY
+    from tallyframe.streaming import registry as live_registry
 
-    assert live_registry
-    spark.read.parquet("/root/testdata/sf0.001/events.parquet").repartition(4).write.parquet(f"{scratch}/events.parquet")
-    one, many = (REGISTRY[name](spark, d) for d in ("/root/testdata/sf0.001", scratch))
+    assert sorted(STREAMS) == sorted(n for n in REGISTRY if n.startswith("stream_"))
+    monkeypatch.setattr(live_registry, "MAX_FILES_PER_TRIGGER", 1)
+    one, many = (REGISTRY[name](spark, d) for d in ("/root/testdata/sf0.001", split_events))
     assert one.count() > 0
     assert one.exceptAll(many).isEmpty() and many.exceptAll(one).isEmpty()
