@@ -36,6 +36,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,7 +52,8 @@ SPINE_ROWS = 16
 BLOCK = 256
 SMALL_LIST = 24
 SIGNATURE_BITS = 512
-POSTING = "token long, node long, n int, pos int, sig binary"
+SEEN_NODES = 1_000_000      # bounded memory of a task
+POSTING = "token long, node long, n int, pos int, sig binary, tag long"
 
 
 class Shingles:
@@ -152,34 +154,47 @@ def crowding(counts: np.ndarray) -> np.ndarray:
 
 
 def _postings(shingles: int, seed: int, threshold: Threshold, order) -> Callable:  # noqa: ANN001
-    """Task function: an entry (token, node, n, pos) per prefix token, and one row (node, n, sig) per text."""
+    """Task function: an entry (token, node, n, pos) per prefix token, and one row (node, n, sig) per node that it meets.
+
+    ``tag`` tells apart the entries that several tasks give for one node.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = Shingles(shingles)
-        names = ["token", "node", "n", "pos", "sig"]
+        names = ["token", "node", "n", "pos", "sig", "tag"]
+        seen: set[int] = set()
+        first, given = TaskContext.get().partitionId() << 36, 0
         for batch in batches:
             for part in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
                 tokens, node, size, pos, sig, length = [], [], [], [], [], []
+                if len(seen) > SEEN_NODES:
+                    seen.clear()
                 for text in part.column(0).to_pylist():
                     s = sets(text)
                     n = len(s)
                     if not n:
                         continue
+                    name = (xxhash.xxh3_128_intdigest(s.tobytes(), seed=seed) & (2**64 - 1)) - 2**63
+                    if name in seen:
+                        continue
+                    seen.add(name)
                     k = threshold.prefix(n)
                     tokens.append(s[np.argsort(order.value[order_bucket(s)], kind="stable")[:k]])
-                    node.append((xxhash.xxh3_128_intdigest(s.tobytes(), seed=seed) & (2**64 - 1)) - 2**63)
+                    node.append(name)
                     size.append(n)
                     length.append(k)
                     pos.append(np.arange(k, dtype=np.int32))
                     sig.append(signature(s))
                 if tokens:
                     rows = sum(length)
+                    tag = np.arange(first + given, first + given + len(node), dtype=np.int64)
+                    given += len(node)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.repeat(np.array(node, dtype=np.int64), length)),
                          pa.array(np.repeat(np.array(size, dtype=np.int32), length)), pa.array(np.concatenate(pos)),
-                         pa.nulls(rows, pa.binary())], names)
+                         pa.nulls(rows, pa.binary()), pa.array(np.repeat(tag, length))], names)
                     yield pa.RecordBatch.from_arrays(
                         [pa.nulls(len(node), pa.int64()), pa.array(node, pa.int64()), pa.array(size, pa.int32()),
-                         pa.nulls(len(node), pa.int32()), pa.array(sig, pa.binary())], names)
+                         pa.nulls(len(node), pa.int32()), pa.array(sig, pa.binary()), pa.array(tag)], names)
 
     return run
 
@@ -437,7 +452,7 @@ class NgramJoin:
         limit = self.list_rows
         postings = written(self.texts.select("_text").mapInArrow(
             _postings(self.words, self.seed, self.threshold, self.order), POSTING), "postings")
-        sigs = postings.where("token is null").groupBy("node").agg(F.first("sig").alias("sig"))
+        sigs = postings.where("token is null").groupBy("node").agg(F.min_by("sig", "tag").alias("sig"), F.min("tag").alias("own"))
         postings = postings.where("token is not null").drop("sig")
         shared = written(postings.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("rows"))
                          .where("lo < hi").select("token", "rows"), "shared_tokens")
@@ -454,13 +469,18 @@ class NgramJoin:
             return pd.Series(sketch.in_bitmap(marks.value, token.to_numpy()))
 
         postings = postings.where(may_share("token"))
-        entries = postings.join(shared.hint("merge"), "token").join(sigs, "node")      # both sides grow with the data
-        # Blocks of long lists; the spine (entries of small hashes) goes to every block.
-        blocks = F.ceil(F.col("rows") / limit).cast("int")
-        mix = F.xxhash64("node", "token")
-        entries = entries.withColumns({"blocks": blocks, "block": F.when(blocks > 1, F.pmod(mix, blocks)).otherwise(0).cast("int")})
+        # Both sides grow with the data.  Of the entries that several tasks gave for a node, one task's stay.
+        entries = postings.join(shared.hint("merge"), "token").join(sigs, "node").where("tag = own").drop("tag", "own")
         entries = written(entries, "entries")
-        split = entries.where("blocks > 1")
+        # Blocks of long lists, by their nodes (``rows`` may count a node once per task); the spine (entries of
+        # small hashes) goes to every block.
+        mix = F.xxhash64("node", "token")
+        long = entries.where(F.col("rows") > limit)
+        nodes = long.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / limit).cast("int").alias("blocks"))
+        long = long.join(nodes, "token").withColumn("block", F.pmod(mix, F.col("blocks")).cast("int"))
+        short = entries.where(F.col("rows") <= limit).withColumns({"blocks": F.lit(1), "block": F.lit(0)})
+        entries = short.unionByName(long)
+        split = long.where("blocks > 1")
         spine = (split.groupBy("token", "blocks", F.pmod(F.shiftright(mix, 20), F.lit(SPINE_ROWS)).alias("place"))
                  .agg(F.min_by(F.struct("node", "n", "pos", "sig"), mix).alias("s"))
                  .select("token", F.col("s.node"), F.col("s.n"), F.col("s.pos"), F.col("s.sig"),

@@ -319,6 +319,35 @@ def test_jaccard_groups(spark, table, words, num, list_rows):
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == want
 
 
+@pytest.fixture
+def join_tables(monkeypatch):
+    """The tables that the n-gram join writes, by name."""
+    from tallyframe.llm import ngram_join
+
+    found, write = defaultdict(list), ngram_join.written
+    monkeypatch.setattr(ngram_join, "written", lambda df, name: found[name].append(write(df, name)) or found[name][-1])
+    return found
+
+
+def groups_equal_brute_force(spark, texts, words, num, **options):
+    from tallyframe.llm.ngram_join import jaccard_groups
+
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING").repartition(4)
+    _, group = brute_groups(texts, words, num)
+    found = dict(rows_of(jaccard_groups(df, words=words, num=num, **options), "doc_id", "component_id"))
+    assert found == {i: min(j for j, h in enumerate(group) if h == g) for i, g in enumerate(group)}
+
+
+def test_equal_texts_are_one_entry_of_a_list(spark, join_tables):
+    """A text in a third of all rows with one near copy: its lists hold two nodes, not a third of the rows."""
+    base = " ".join(f"word{k}" for k in range(100))
+    texts = [base] * 100 + [base + " more"] + [" ".join(f"own{d}x{k}" for k in range(40)) for d in range(200)]
+    groups_equal_brute_force(spark, texts, 3, 90, list_rows=20)
+    (entries,) = join_tables["entries"]
+    assert entries.count() == entries.select("token", "node").distinct().count() > 0
+    assert entries.groupBy("token").count().agg({"count": "max"}).first()[0] == 2
+
+
 def test_components_of_a_chain(spark):
     from tallyframe.llm.components import components
 
