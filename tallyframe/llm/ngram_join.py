@@ -9,10 +9,12 @@ counted over all texts, so that tokens which many texts share come last.
 
 Index lists are joined in tasks with two kinds of skipping:
 
-* by position: a list is sorted by set size and divided into blocks; whole
-  blocks are skipped by their bounds on size and on the token's position, which
-  bound the possible overlap, and single entries by the same bounds and by the
-  distance of 512-bit parity signatures (never more than the sets' difference);
+* by position: two sets are compared in the list of the first token that they
+  share, where nothing but this token and those after it can be common.  A list
+  is sorted by set size and divided into blocks; whole blocks are skipped by
+  their bounds on size and on the tokens left, which bound the possible overlap,
+  and single entries by the same bounds and by the distance of 512-bit parity
+  signatures (never more than the sets' difference);
 * by set relation: the answers of a set are taken from those computed for a
   similar set before it.  Once a set's answers are known they belong to its
   group and are not computed again for its members: only entries outside the
@@ -20,12 +22,15 @@ Index lists are joined in tasks with two kinds of skipping:
   its candidates, not all their pairs.
 
 The forest's edges are verified on the whole sets.  Where one fails, the
-members that it was to connect are compared again, pair by pair, but only
-across groups that are still apart, so no link between different groups is lost.
+members that it was to connect are compared again, but only across groups that
+are still apart, so no link between different groups is lost.  Where a part of a
+list has few candidates, they are written as pairs and verified; where it has
+many, the members are written instead, with their sets, into cells of bounded
+size, and a task gives only the links that it found between groups.
 
 A list of more than ``LIST_ROWS`` entries is split into blocks of rows that
 share a few entries of the list (the spine); entries outside the list's largest
-group then meet all blocks in a second pass.
+group then meet all blocks in a second pass, two blocks to a task.
 """
 
 from __future__ import annotations
@@ -51,6 +56,8 @@ LIST_ROWS = 20_000
 SPINE_ROWS = 16
 BLOCK = 256
 SMALL_LIST = 24
+PAIRS_PER_ENTRY = 8          # candidates that are written as pairs; beyond, a part of a list is compared in cells
+CELL_BYTES = 16 << 20        # of one side's sets
 SIGNATURE_BITS = 512
 SEEN_NODES = 1_000_000      # bounded memory of a task
 POSTING = "token long, node long, n int, pos int, sig binary, tag long"
@@ -206,25 +213,24 @@ class IndexList:
     """The entries of one token, sorted by size: finds the candidates of an entry, skipping blocks by their bounds."""
 
     def __init__(self, n: np.ndarray, pos: np.ndarray, sig: np.ndarray, threshold: Threshold) -> None:
-        self.n, self.pos, self.sig, self.threshold = n.astype(np.int64), pos.astype(np.int64), sig, threshold
+        self.n, self.sig, self.threshold = n.astype(np.int64), sig, threshold
         cuts = np.arange(0, len(n), BLOCK)
-        self.rest = self.n - self.pos - 1                     # tokens after this one
+        self.rest = self.n - pos - 1                          # tokens after this one
         self.low = self.n[cuts]                               # sorted: the first entry of a block is its smallest
         self.high = np.append(self.n[cuts[1:] - 1], self.n[-1])
-        self.most_pos = np.maximum.reduceat(self.pos, cuts)
         self.most_rest = np.maximum.reduceat(self.rest, cuts)
 
     def candidates(self, x: int, free: np.ndarray) -> np.ndarray:
         """Entries among ``free`` that may be linked with entry ``x``."""
-        t, n, pos, rest = self.threshold, self.n[x], self.pos[x], self.rest[x]
-        bound = np.minimum(pos, self.most_pos) + 1 + np.minimum(rest, self.most_rest)
+        t, n, rest = self.threshold, self.n[x], self.rest[x]
+        bound = 1 + np.minimum(rest, self.most_rest)          # pairs that share a token before this one are found there
         blocks = np.flatnonzero((self.high >= t.least_size(n)) & (self.low <= t.most_size(n)) & (bound >= t.overlap(n + self.low)))
         if not len(blocks):
             return blocks
         at = np.concatenate([np.arange(b * BLOCK, min(len(self.n), (b + 1) * BLOCK)) for b in blocks.tolist()])
         at = at[free[at]]
         need = t.overlap(n + self.n[at])
-        at = at[(np.minimum(pos, self.pos[at]) + 1 + np.minimum(rest, self.rest[at]) >= need)
+        at = at[(1 + np.minimum(rest, self.rest[at]) >= need)
                 & (self.n[at] >= t.least_size(n)) & (self.n[at] <= t.most_size(n))]
         if len(at):
             apart = _BITS[self.sig[at] ^ self.sig[x]].sum(axis=1)
@@ -289,7 +295,7 @@ def small_forest(n: list[int], pos: list[int], sig: list[int], threshold: Thresh
             for y in free:
                 sizes = n[x] + n[y]
                 need = threshold.overlap(sizes)
-                if (min(n[x], n[y]) >= need and min(pos[x], pos[y]) + min(n[x] - pos[x], n[y] - pos[y]) >= need
+                if (min(n[x] - pos[x], n[y] - pos[y]) >= need
                         and (sig[x] ^ sig[y]).bit_count() <= sizes - 2 * need):
                     edges.append((x, y))
                     group[y] = root
@@ -363,25 +369,112 @@ def _listed(kind: int, **cols: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(out, list(kinds))
 
 
-def _cross_pairs(threshold: Threshold) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Task function: every candidate pair of a list's block whose ends lie in different components."""
+CROSSED = "a long, b long, cell long, side int, node long, comp long"
+
+
+def _crossed(**cols: np.ndarray) -> pa.RecordBatch:
+    size = len(next(iter(cols.values())))
+    kinds = {"a": pa.int64(), "b": pa.int64(), "cell": pa.int64(), "side": pa.int32(), "node": pa.int64(), "comp": pa.int64()}
+    return pa.RecordBatch.from_arrays([pa.array(cols[c], k) if c in cols else pa.nulls(size, k) for c, k in kinds.items()], list(kinds))
+
+
+def _cross(threshold: Threshold) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Task function over pairs of blocks: candidates across components.
+
+    Side 0 is compared with side 1, or with itself where there is no other.
+    The result is candidate pairs (a, b), or members of cells where there are
+    more than ``PAIRS_PER_ENTRY`` pairs for an entry.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _lists(batches, ["token", "grp", "block"]):
-            _, one = np.unique(rows["node"], return_index=True)
-            one.sort()
-            node, comp = rows["node"][one], rows["comp"][one]
-            index = IndexList(rows["n"][one], rows["pos"][one], rows["sig"][one], threshold)
-            main = np.unique(comp, return_counts=True)
-            main = main[0][main[1].argmax()]
-            for x in np.flatnonzero(comp != main).tolist():      # pairs inside the largest component need no look
-                found = index.candidates(x, (comp != comp[x]) & ((comp == main) | (np.arange(len(comp)) < x)))
-                if len(found):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), node[x])), pa.array(node[found])], ["a", "b"])
+        keys = ["token", "grp", "block", "other"]
+        for rows in _lists(batches, keys):
+            node, comp, right, m = rows["node"], rows["comp"], rows["side"] == 1, len(rows["node"])
+            index = IndexList(rows["n"], rows["pos"], rows["sig"], threshold)
+            part = np.cumsum(index.n * 8) // CELL_BYTES          # of a cell's side: neighbours in size
+            if right.any():
+                asked = np.flatnonzero(~right)
+            else:
+                main = np.unique(comp, return_counts=True)
+                main = main[0][main[1].argmax()]
+                asked = np.flatnonzero(comp != main)             # pairs inside the largest component need no look
+            name = b"".join(int(rows[k][0]).to_bytes(8, "little", signed=True) for k in keys)
+            for own in np.unique(part[asked]).tolist():
+                mine = asked[part[asked] == own]
+                pairs, held, cells = [], 0, {}
+                for x in mine.tolist():
+                    free = comp != comp[x]
+                    free &= right if right.any() else (comp == main) | (np.arange(m) < x)
+                    found = index.candidates(x, free)
+                    if not len(found):
+                        continue
+                    held += len(found)
+                    if held <= PAIRS_PER_ENTRY * len(mine):
+                        pairs.append((x, found))
+                    for p in np.unique(part[found]).tolist():
+                        xs, ys = cells.setdefault(p, (np.zeros(m, dtype=bool), np.zeros(m, dtype=bool)))
+                        xs[x] = True
+                        ys[found[part[found] == p]] = True
+                if held <= PAIRS_PER_ENTRY * len(mine):
+                    for x, found in pairs:
+                        yield _crossed(a=np.full(len(found), node[x]), b=node[found])
+                    continue
+                for p, sides in cells.items():
+                    cell = xxhash.xxh3_64_intdigest(name + own.to_bytes(8, "little") + p.to_bytes(8, "little")) - 2**63
+                    for side, some in enumerate(sides):
+                        size = int(some.sum())
+                        yield _crossed(cell=np.full(size, cell), side=np.full(size, side, dtype=np.int32), node=node[some], comp=comp[some])
+
+    return run
+
+
+def _cell_links(threshold: Threshold) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Task function over sorted cells: links between the sides, on the whole sets, that connect components."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in batches:
+            for row in zip(*[batch.column(c).to_pylist() for c in ("cell", "side", "node", "comp", "set")], strict=True):
+                if held and held[0][0] != row[0]:
+                    yield from _one_cell(held, threshold)
+                    held = []
+                held.append(row)
+        if held:
+            yield from _one_cell(held, threshold)
 
     return run
 
 
+def _one_cell(rows: list[tuple], threshold: Threshold) -> Iterator[pa.RecordBatch]:
+    left, right = ([r for r in rows if r[1] == side] for side in (0, 1))
+    if not left or not right:
+        return
+    comps, comp = np.unique(np.array([r[3] for r in left + right]), return_inverse=True)
+    comp, others = comp[:len(left)], comp[len(left):]
+    now = np.arange(len(comps))                              # the component that each has become part of
+    sizes = np.array([len(r[4]) // 8 for r in right])
+    values, at = np.unique(np.frombuffer(b"".join(r[4] for r in right), np.uint64), return_inverse=True)
+    starts = np.append(0, np.cumsum(sizes)[:-1])
+    edges = []
+    for k, row in enumerate(left):
+        apart = now[others] != now[comp[k]]
+        if not apart.any():
+            continue
+        s = np.frombuffer(row[4], np.uint64)
+        place = np.minimum(np.searchsorted(values, s), len(values) - 1)
+        has = np.zeros(len(values), dtype=np.int64)
+        has[place[values[place] == s]] = 1
+        both = np.add.reduceat(has[at], starts)
+        linked = apart & (both > 0) & (threshold.den * both >= threshold.num * (len(s) + sizes - both))
+        for y in np.flatnonzero(linked).tolist():
+            mine, its = now[comp[k]], now[others[y]]
+            if mine != its:
+                now[now == its] = mine
+                edges.append((row[2], right[y][2]))
+    if edges:
+        yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in edges], pa.int64()), pa.array([b for _, b in edges], pa.int64())], ["a", "b"])
+
+
 def _verify(threshold: Threshold) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -505,21 +598,40 @@ class NgramJoin:
             return links
         open_rows = written(again.join(apart, ["token", "grp"]), "open_groups")
         sizes = open_rows.groupBy("token", "grp", "comp").agg(F.count(F.lit(1)).alias("k"))
-        main = sizes.groupBy("token", "grp").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"))
-        open_rows = open_rows.join(main, ["token", "grp"])
-        n_blocks = F.ceil(F.col("size") / limit).cast("int")
-        everywhere = F.sequence(F.lit(0), n_blocks - 1)
-        own = F.array(F.pmod(F.xxhash64("node"), n_blocks).cast("int"))
-        spread = (open_rows.withColumn("block", F.explode(F.when(F.col("comp") == F.col("main"), own).otherwise(everywhere)))
-                  .select("token", "grp", "node", "n", "pos", "sig", "comp", "block")
-                  .repartition("token", "grp", "block").sortWithinPartitions("token", "grp", "block", "n", "node"))
-        more = spread.mapInArrow(_cross_pairs(self.threshold), "a long, b long")
-        more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        main = sizes.groupBy("token", "grp").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.max("k").alias("in_main"))
+        open_rows = open_rows.join(main, ["token", "grp"]).withColumn("outside", F.col("size") - F.col("in_main"))
+        # A task compares a block of entries outside the largest component with itself, with a later such block, or
+        # with a block of the largest component; a group that fits is one block.
+        inside = F.col("comp") == F.col("main")
+        mains, rests = (F.ceil(F.col(c) / limit).cast("int") for c in ("in_main", "outside"))
+        mine = F.pmod(F.xxhash64("node"), F.when(inside, mains).otherwise(rests)).cast("int")
+
+        def place(side, block, other):  # noqa: ANN001, ANN202
+            return F.struct(F.lit(side).alias("side"), block.cast("int").alias("block"), other.cast("int").alias("other"))
+
+        all_rests, all_mains = F.sequence(F.lit(0), rests - 1), F.sequence(F.lit(0), mains - 1)
+        as_left = F.concat(F.transform(all_mains, lambda j: place(0, mine, j)),
+                           F.transform(F.filter(all_rests, lambda j: j >= mine), lambda j: place(0, mine, mains + j)))
+        as_right = F.transform(F.filter(all_rests, lambda j: j < mine), lambda j: place(1, j, mains + mine))
+        places = (F.when(F.col("size") <= limit, F.array(place(0, F.lit(0), F.lit(0))))
+                  .when(inside, F.transform(all_rests, lambda j: place(1, j, mine)))
+                  .otherwise(F.concat(as_left, as_right)))
+        keys = ["token", "grp", "block", "other"]
+        spread = (open_rows.withColumn("place", F.explode(places)).select("token", "grp", "node", "n", "pos", "sig", "comp", "place.*")
+                  .repartition(*keys).sortWithinPartitions(*keys, "n", "node"))
+        more = written(spread.mapInArrow(_cross(self.threshold), CROSSED), "crossed")
+        cells = more.where("cell is not null").select("cell", "side", "node", "comp")
+        more = more.where("cell is null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         more = written(more.join(first, ["a", "b"], "left_anti"), "more_pairs")
-        if more.isEmpty():
-            return links
-        sets = self.sets(rows, more.select(F.col("a").alias("node")).unionAll(more.select("b")).distinct())
-        return links.unionAll(self.verified(more, sets).where("ok").select("a", "b"))
+        if not more.isEmpty():
+            sets = self.sets(rows, more.select(F.col("a").alias("node")).unionAll(more.select("b")).distinct())
+            links = links.unionAll(self.verified(more, sets).where("ok").select("a", "b"))
+        if not cells.isEmpty():
+            sets = self.sets(rows, cells.select("node").distinct())
+            filled = cells.join(sets, "node").repartition("cell").sortWithinPartitions("cell", "side", "node")
+            links = links.unionAll(written(filled.select("cell", "side", "node", "comp", "set").mapInArrow(
+                _cell_links(self.threshold), "a long, b long"), "cell_links"))
+        return links
 
 
 def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100,

@@ -348,6 +348,33 @@ def test_equal_texts_are_one_entry_of_a_list(spark, join_tables):
     assert entries.groupBy("token").count().agg({"count": "max"}).first()[0] == 2
 
 
+def template_texts(own, template=93, docs=90):
+    shared = [f"t{k}" for k in range(template)]
+    return [" ".join(shared + [f"own{d}x{k}" for k in range(own)]) for d in range(docs)]
+
+
+def test_a_template_below_the_similarity_gives_no_pairs(spark, join_tables):
+    """The shared part reaches into the prefix of every set, and no two sets are similar enough."""
+    groups_equal_brute_force(spark, template_texts(own=8), 1, 90, list_rows=20)
+    assert sum(t.count() for name in ("pairs", "more_pairs") for t in join_tables[name]) < 90
+
+
+@pytest.mark.parametrize("list_rows", [20_000, 7])
+@pytest.mark.parametrize("cell_bytes", [1 << 24, 3000])
+def test_cells_of_a_list_with_many_candidates(spark, join_tables, monkeypatch, list_rows, cell_bytes):
+    """Long sets that pass every bound and mostly fail: links are found without a row per pair."""
+    from tallyframe.llm import ngram_join
+
+    monkeypatch.setattr(ngram_join, "PAIRS_PER_ENTRY", 2)
+    monkeypatch.setattr(ngram_join, "CELL_BYTES", cell_bytes)
+    monkeypatch.setattr(ngram_join, "signature", lambda s: bytes(64))        # so that no pair is skipped by it
+    rng = np.random.default_rng(5)
+    texts = [" ".join([f"t{k}" for k in range(85)] + [f"o{k}" for k in rng.permutation(30)[:15]]) for _ in range(60)]
+    texts += [texts[5] + " one", texts[9] + " two", texts[9] + " two three"]
+    groups_equal_brute_force(spark, texts, 1, 90, list_rows=list_rows)
+    assert sum(t.count() for t in join_tables["crossed"]) > 0 and join_tables["cell_links"]
+
+
 def test_components_of_a_chain(spark):
     from tallyframe.llm.components import components
 
