@@ -4,11 +4,12 @@ Markup is stripped into lines, one per block element, in page order.  Scripts,
 styles, comments and the containers that hold menus, site headers, footers,
 sidebars, notices, adverts, forms and reader comments (by element, role, or a
 whole word of class or id) give no lines.  Each line weighs the length of its
-text that isn't link text; where the page declares its article (``article``,
-``main``), lines inside weigh at least the surge weight and lines outside
-nothing.  The weights are summed over sliding windows of lines; the text starts
-where the sum surges over the threshold and ends where it dives to nothing, and
-all lines between such points are kept, short ones included.
+text that isn't link text.  The weights are summed over sliding windows of
+lines; the text starts where the sum surges over the threshold and ends where it
+dives to nothing, and all lines between such points are kept, short ones
+included.  Where the page declares an article (``article``, ``main``), the larger
+surge of real weights decides between its lines and those outside: lines of the
+other side weigh nothing, and the article's lines of text the surge weight more.
 """
 
 from __future__ import annotations
@@ -146,16 +147,28 @@ def main_lines(weights: list[int], window: int = WINDOW_LINES, surge: int = SURG
     return keep
 
 
+def largest(weights: list[int]) -> int:
+    """Weight of the largest stretch between a surge point and its dive point."""
+    most = now = 0
+    for w, kept in zip(weights, main_lines(weights), strict=True):
+        now = now + w if kept else 0
+        most = max(most, now)
+    return most
+
+
 def extract(html: str) -> str:
     """Main text of a page: its kept lines joined by blank lines ('' if there are none)."""
     lines, declared = lines_of(html)
-    if declared:
-        weights = [max(w, SURGE) if inside else 0 for _, w, inside in lines]
+    weights = [w for _, w, _ in lines]
+    if not declared:
+        kept = main_lines(weights)
     else:
-        weights = [w for _, w, _ in lines]
-    kept = main_lines(weights)
-    if declared:                                      # lines outside the article that a window has bridged
-        kept = [k and w > 0 for k, w in zip(kept, weights, strict=True)]
+        inside = [w if i else 0 for _, w, i in lines]
+        outside = [0 if i else w for _, w, i in lines]
+        within = largest(inside) >= largest(outside)
+        # Lines of text count more where the article is; lines of the other side that a window has bridged go.
+        kept = main_lines([w + SURGE if w else 0 for w in inside] if within else outside)
+        kept = [k and i == within for k, (_, _, i) in zip(kept, lines, strict=True)]
     return "\n\n".join(text for (text, _, _), k in zip(lines, kept, strict=True) if k)
 
 

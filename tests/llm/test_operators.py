@@ -87,6 +87,17 @@ def test_html_keeps_the_article_alone():
     assert extract(f"<div><a>Home</a></div><div><a>About</a></div>{body}<div><a>Next</a></div>").count("sentence") == 12
 
 
+def test_html_text_outside_a_declared_article():
+    from tallyframe.llm.html_text import extract
+
+    body = [f"Sentence {k} of the main text, which lies in plain paragraphs and goes on for a while." for k in range(6)]
+    cards = "".join(f"<article><p>Read this card about something else {k}</p></article>" for k in range(3))
+    text = "".join(f"<p>{t}</p>" for t in body)
+    assert extract(f"<div>{text}</div><section>{cards}</section>") == "\n\n".join(body)
+    links = "".join(f"<div><a href=x>Link {k}</a></div>" for k in range(5))
+    assert extract(f"<article>{text}{links}</article><p>Short note.</p>") == "\n\n".join(body)
+
+
 def test_html_rows(spark):
     from tallyframe.llm.html_text import extract_text
 
