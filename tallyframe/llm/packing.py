@@ -12,6 +12,7 @@ shard leaves a few open sequences, a bounded loss per ``SHARD_ROWS`` pieces.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -52,6 +53,12 @@ class Tokens(dict):
         self.merge = tiktoken.Encoding("pieces", pat_str=r"\S+|\s+", mergeable_ranks=byte_ranks(tokenizer_json),
                                        special_tokens={})._encode_single_piece
         self.classes = np.frombuffer(classes, dtype=np.uint8)
+        added = json.loads(tokenizer_json)["added_tokens"]
+        if any(t[flag] for t in added for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError("added tokens that depend on the text around them")
+        self.added = {t["content"]: array("I", [t["id"]]).tobytes() for t in added}
+        names = sorted(self.added, key=len, reverse=True)     # the longest counts where several start
+        self.split = re.compile("(" + "|".join(map(re.escape, names)) + ")").split if names else lambda text: [text]
 
     def __missing__(self, piece: str) -> bytes:
         out = array("I", self.merge(piece)).tobytes()
@@ -62,7 +69,10 @@ class Tokens(dict):
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self) > MEMO_ENTRIES:                      # only between batches
             self.clear()
-        return [b"".join(map(self.__getitem__, pieces)) for pieces in pretokens(texts, self.classes)]
+        parts = [self.split(text) if any(map(text.__contains__, self.added)) else [text] for text in texts]
+        coded = iter(pretokens([p for own in parts for p in own[::2]], self.classes))     # every other part is an added token
+        return [b"".join(self.added[p] if k % 2 else b"".join(map(self.__getitem__, next(coded))) for k, p in enumerate(own))
+                for own in parts]
 
 
 _tokens: dict[int, Tokens] = {}

@@ -73,6 +73,19 @@ def test_packing_pieces_and_places(spark, table):
     assert sum(len(r["ids"]) // 4 for r in sequences(packed).collect()) == total
 
 
+def test_packing_reads_added_tokens_as_the_tokeniser_does(spark):
+    from tokenizers import Tokenizer
+
+    from tallyframe.llm.packing import token_pieces
+
+    end = "<|endoftext|>"
+    texts = [f"{end}at the start", f"in the  {end} middle", f"at the end {end}", end, f"{end}{end} \n{end}", "<|endoftext", f"a{end}b  "]
+    tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    found = token_pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING"), P.path("byte_bpe_50k.json"), with_ids=True)
+    assert {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in found.collect()} == {
+        k: [*tok.encode(t, add_special_tokens=False).ids, 0] for k, t in enumerate(texts)}
+
+
 def test_html_keeps_the_article_alone():
     from tallyframe.llm.html_text import extract
 
