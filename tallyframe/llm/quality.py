@@ -1,15 +1,16 @@
 """Quality filter: hashed n-gram log-likelihood ratio between a trusted target and the raw corpus.
 
-Words, marks and their pairs are hashed into ``BUCKETS`` buckets.  Two
+Words, marks and their pairs are hashed into buckets, as many as the power of
+two that holds the distinct n-grams of the input (at least ``LEAST_BUCKETS``).  Two
 multinomials are counted over whole texts: the target from trusted rows, the
 raw one from every document.  A document's score is the mean, over its own
 n-grams, of log(target probability / raw probability); dividing by the number
 of n-grams keeps long texts from being judged by their length.  Every document
 is decided by the same fixed threshold.
 
-Only counts leave the tasks: each task sends one compressed array of ``BUCKETS``
-counts per multinomial, in ``SLICES`` slices, and the slices are summed in
-parallel.  The fitted table has a fixed size and is broadcast.
+Only counts of 64-bit n-gram hashes leave the tasks, each task adding up up to
+``HELD_GRAMS`` of them before it sends them; Spark sums them per hash.  The
+fitted table, four bytes a bucket, is broadcast and grows with the vocabulary.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ from pyspark.sql import functions as F
 from tallyframe.llm import sketch
 from tallyframe.llm.common import written
 
-BUCKETS = 1 << 16
-SLICES = 16
+LEAST_BUCKETS = 1 << 16
+SLICE_BITS = 14              # buckets that are fitted together, as a power of two
+HELD_GRAMS = 2_000_000       # bounded memory of a task
 #: Added to every count: half a count for each bucket keeps unseen n-grams neutral.
 SMOOTHING = 0.5
 #: Documents below this mean log ratio (nats per n-gram) are rejected.
@@ -85,13 +87,17 @@ def unit_name(unit: bytes) -> bytes:
     return b"m:" + unit
 
 
-def ngram_buckets(units: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
-    """Buckets of a text's units and pairs; every unit that repeats the one before it is one and the same pair."""
+def ngrams(units: np.ndarray) -> np.ndarray:
+    """Hashes of a text's units and pairs; every unit that repeats the one before it is one and the same pair."""
     pairs = (units[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (units[1:] + (units[:-1] >> np.uint64(31)))
     pairs[units[1:] == units[:-1]] = 1
     both = np.concatenate([units, pairs])
     both ^= both >> np.uint64(29)
-    return (both * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - buckets.bit_length() + 1)).astype(np.int64)
+    return both * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def ngram_buckets(units: np.ndarray, buckets: int) -> np.ndarray:
+    return (ngrams(units) >> np.uint64(64 - buckets.bit_length() + 1)).astype(np.int64)
 
 
 def repeated_words(ids: np.ndarray, window: int = WINDOW) -> int:
@@ -130,51 +136,65 @@ def base_signals(text: str, raw: bytes, ids: np.ndarray) -> tuple[int, int, int,
 _words = Words()
 
 
-def _count(buckets: int, slices: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, target = np.zeros(buckets, dtype=np.int64), np.zeros(buckets, dtype=np.int64)
-        for batch in batches:
-            for text, trusted in zip(batch.column(0), batch.column(1), strict=True):
-                found = ngram_buckets(_words.units(_words.number(text.as_py().encode().split())), buckets)
-                counts = np.bincount(found, minlength=buckets) if len(found) > buckets // 8 else None
-                for into in (raw, target) if trusted.as_py() else (raw,):
-                    if counts is None:
-                        np.add.at(into, found, 1)
-                    else:
-                        into += counts
-        width = buckets // slices
-        yield pa.RecordBatch.from_arrays([
-            pa.array(range(slices), pa.int32()),
-            pa.array([raw[i * width:(i + 1) * width].tobytes() for i in range(slices)], pa.binary()),
-            pa.array([target[i * width:(i + 1) * width].tobytes() for i in range(slices)], pa.binary())],
-            ["slice", "raw", "target"])
-
-    return run
-
-
-def fit(texts: DataFrame, text_col: str, trusted_col: str, buckets: int = BUCKETS) -> np.ndarray:
+def _counted(grams: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes and their summed counts (raw, target)."""
+    distinct, at = np.unique(np.concatenate(grams), return_inverse=True)
+    both = np.concatenate(counts, axis=1)
+    return distinct, np.stack([np.bincount(at, weights=c, minlength=len(distinct)).astype(np.int64) for c in both])
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sent(distinct: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(distinct), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(distinct[i:i + 50_000].view(np.int64)), pa.array(counts[0, i:i + 50_000]),
+                                              pa.array(counts[1, i:i + 50_000])], ["gram", "raw", "target"])
+
+    grams, counts, waiting = [], [], 0
+    for batch in batches:
+        for text, trusted in zip(batch.column(0), batch.column(1), strict=True):
+            found = ngrams(_words.units(_words.number(text.as_py().encode().split())))
+            grams.append(found)
+            counts.append(np.stack([np.ones(len(found), dtype=np.int64), np.full(len(found), int(trusted.as_py()), dtype=np.int64)]))
+            waiting += len(found)
+            if waiting > HELD_GRAMS:
+                distinct, sums = _counted(grams, counts)
+                if len(distinct) > HELD_GRAMS // 2:
+                    yield from sent(distinct, sums)
+                    grams, counts, waiting = [], [], 0
+                else:
+                    grams, counts, waiting = [distinct], [sums], len(distinct)
+    if waiting:
+        yield from sent(*_counted(grams, counts))
+
+
+def fit(texts: DataFrame, text_col: str, trusted_col: str, buckets: int | None = None) -> np.ndarray:
     """Log ratio per bucket, from every row of ``texts``; rows with a true ``trusted_col`` also count as target."""
     rows = texts.select(F.coalesce(F.col(text_col), F.lit("")).alias("t"), F.coalesce(F.col(trusted_col), F.lit(False)).alias("trusted"))
-    parts = written(rows.mapInArrow(_count(buckets, SLICES), "slice int, raw binary, target binary"), "quality_counts")
-
-    def add(key: tuple, group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw = target = 0
+    grams = written(rows.mapInArrow(_count, "gram long, raw long, target long").groupBy("gram")
+                    .agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")), "quality_grams")
+    n, all_raw, all_target = grams.agg(F.count(F.lit(1)), F.sum("raw"), F.sum("target")).first()
+    if buckets is None:
+        buckets = max(LEAST_BUCKETS, 1 << max(0, n - 1).bit_length())
+    if not all_target:
+        return np.zeros(buckets, dtype=np.float32)    # nothing trusted: no n-gram speaks for or against
+    bits = buckets.bit_length() - 1
+    base = np.log(all_raw + SMOOTHING * buckets) - np.log(all_target + SMOOTHING * buckets)
+
+    def ratios(key: tuple, group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        raw, target = np.zeros(1 << SLICE_BITS), np.zeros(1 << SLICE_BITS)
         for batch in group:
-            for a, b in zip(batch.column("raw").to_pylist(), batch.column("target").to_pylist(), strict=True):
-                raw = raw + np.frombuffer(a, np.int64)
-                target = target + np.frombuffer(b, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([raw.tobytes()], pa.binary()),
-                                          pa.array([target.tobytes()], pa.binary())], ["slice", "raw", "target"])
-
-    summed = parts.groupBy("slice").applyInArrow(add, "slice int, raw binary, target binary").collect()   # SLICES rows
-    if not summed:
-        return np.zeros(buckets)
-    summed.sort(key=lambda r: r["slice"])
-    raw = np.concatenate([np.frombuffer(r["raw"], np.int64) for r in summed]) + SMOOTHING
-    target = np.concatenate([np.frombuffer(r["target"], np.int64) for r in summed]) + SMOOTHING
-    if target.sum() <= SMOOTHING * buckets:
-        return np.zeros(buckets)                      # nothing trusted: no n-gram speaks for or against
-    return np.log(target / target.sum()) - np.log(raw / raw.sum())
+            at = ((batch.column("gram").to_numpy().view(np.uint64) >> np.uint64(64 - bits)) & np.uint64((1 << SLICE_BITS) - 1)).astype(np.int64)
+            raw += np.bincount(at, weights=batch.column("raw").to_numpy(), minlength=len(raw))
+            target += np.bincount(at, weights=batch.column("target").to_numpy(), minlength=len(raw))
+        ratio = (np.log(target + SMOOTHING) - np.log(raw + SMOOTHING) + base).astype("<f4")
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([ratio.tobytes()], pa.binary())],
+                                         ["slice", "ratio"])
+
+    table = np.full(buckets, base, dtype=np.float32)
+    sliced = grams.withColumn("slice", F.shiftrightunsigned("gram", 64 - bits + SLICE_BITS))
+    for row in sliced.groupBy("slice").applyInArrow(ratios, "slice long, ratio binary").toLocalIterator():
+        table[row["slice"] << SLICE_BITS:(row["slice"] + 1) << SLICE_BITS] = np.frombuffer(row["ratio"], dtype="<f4")
+    return table
 
 
 def assess(text: str, table: np.ndarray) -> tuple[tuple[int, int, int, int, int], float]:
@@ -182,7 +202,7 @@ def assess(text: str, table: np.ndarray) -> tuple[tuple[int, int, int, int, int]
     raw = text.encode()
     ids = _words.number(raw.split())
     found = ngram_buckets(_words.units(ids), len(table))
-    return base_signals(text, raw, ids), float(table[found].mean()) if len(found) else 0.0
+    return base_signals(text, raw, ids), float(table[found].mean(dtype=np.float64)) if len(found) else 0.0
 
 
 def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",

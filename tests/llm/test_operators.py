@@ -185,6 +185,28 @@ def test_quality_separates_labelled_rows(spark):
     assert share[1] > 0.99 and share[0] < 0.1
 
 
+def test_quality_table_grows_with_the_ngrams(spark):
+    from pyspark.sql import functions as F
+
+    from tallyframe.llm.quality import Words, fit, ngrams
+
+    df = docs(spark).select("text", (F.col("doc_id") % 3 == 0).alias("trusted"))
+    words, raw, target = Words(), Counter(), Counter()
+    for text, trusted in rows_of(df, "text", "trusted"):
+        found = ngrams(words.units(words.number((text or "").encode().split()))).tolist()
+        raw.update(found)
+        if trusted:
+            target.update(found)
+    table = fit(df, "text", "trusted")
+    buckets = len(table)
+    assert buckets // 2 < len(raw) <= buckets and buckets > 1 << 16
+    a, b = np.full(buckets, 0.5), np.full(buckets, 0.5)
+    for into, counts in ((a, target), (b, raw)):
+        for gram, k in counts.items():
+            into[gram * buckets >> 64] += k
+    assert np.allclose(table, np.log(a / a.sum()) - np.log(b / b.sum()), atol=1e-5)
+
+
 def test_warc_round_trip(spark, scratch):
     from tallyframe.llm.warc import read_warc, write_warc
 
