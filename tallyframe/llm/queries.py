@@ -86,6 +86,13 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
 
 
+def op11_harmonic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyframe.llm.harmonic import pack_harmonic
+
+    return pack_harmonic(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_bpe, op2_packing, op3_html, op4_content_sort, op5_quality, op6_warc, op7_stratified, op8_toxicity, op9_suffix, op10_ngram_join]
+    found = [op1_bpe, op2_packing, op3_html, op4_content_sort, op5_quality, op6_warc, op7_stratified, op8_toxicity, op9_suffix, op10_ngram_join,
+             op11_harmonic]
     return {f.__name__: f for f in found}

@@ -24,3 +24,20 @@ def odd_docs(spark):
 @pytest.fixture
 def no_docs(spark):
     return spark.createDataFrame([], DOCS)
+
+
+@pytest.fixture
+def odd_turns(spark):
+    """Nulls in every column, blank and very long texts, tied turns, repeated rows, unknown roles, clashing names."""
+    long = "word " * 40_000 + "end."
+    rows = [(1, t, r, x) for t, r, x in [(0, "system", "Be brief."), (1, "user", "Hi?"), (2, "user", "Hi there."), (3, "assistant", "Hello.")]]
+    rows += [(2, None, "user", "No turn."), (2, None, None, None), (2, 4, None, "No role."), (2, 5, "assistant", None), (2, 9, "", "Empty role.")]
+    rows += [(None, 1, "user", "No conversation."), (None, None, None, None), (None, 2, "assistant", "Fine!")]
+    rows += [(3, 0, "user", long), (3, 1, "assistant", long), (3, 2, "assistant", long), (3, 3, "user", "cut off here")]
+    rows += [(4, 0, "user", "Same."), (4, 0, "user", "Same."), (4, 0, "assistant", "Tie."), (4, 1, "assistant", " \t ")]
+    rows += [(5, k, "tool", f"Result {k}.") for k in range(30)] + [(6, k, "assistant", "Again.") for k in range(30)]
+    rows += [(7, k, ("user", "assistant")[k % 2], f"Line {k}.") for k in range(300)]
+    df = spark.createDataFrame(rows, "conv_id BIGINT, turn BIGINT, role STRING, text STRING")
+    for c in ("_conv", "_text", "cost", "audit", "blank"):
+        df = df.selectExpr("*", f"'clash' AS {c}")
+    return df
