@@ -92,7 +92,13 @@ def op11_harmonic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_harmonic(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyframe.llm.importance import importance_resample
+
+    return importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_bpe, op2_packing, op3_html, op4_content_sort, op5_quality, op6_warc, op7_stratified, op8_toxicity, op9_suffix, op10_ngram_join,
-             op11_harmonic]
+             op11_harmonic, op12_importance]
     return {f.__name__: f for f in found}

@@ -83,3 +83,96 @@ def test_harmonic_query(spark):
     out = queries()["op11_harmonic"](spark, SF)
     assert dict(out.dtypes) == {c: "bigint" for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")}
     assert out.agg({"length": "sum"}).first()[0] == out.where("start = 0").agg({"doc_tokens": "sum"}).first()[0]
+
+
+# ------------------------------------------------------------------ importance resampling
+def words_of(text):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+
+
+def brute_resample(docs, target, share=(25, 100), min_words=20, size=10_000):
+    def features(text):
+        w = words_of(text)
+        return w + [f"{a} {b}" for a, b in zip(w, w[1:])]
+
+    def count(texts):
+        return Counter(zlib.crc32(f.encode()) % size for t in texts for f in features(t))
+
+    s, t = count(x for _, x in docs), count(target)
+    s_all, t_all = sum(s.values()), sum(t.values())
+    gain = {b: math.floor(1000 * math.log((t[b] + 1.0) * (s_all + size) / ((s[b] + 1.0) * (t_all + size)))) for b in range(size)}
+    out = []
+    for i, x in docs:
+        f = features(x)
+        weight = math.floor(sum(gain[zlib.crc32(w.encode()) % size] for w in f) / len(f)) if f else 0
+        h = int(hashlib.sha256(f"7:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        out.append([i, len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), len(words_of(x))])
+    fit = sorted((r for r in out if r[4] >= min_words), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    k = share[0] * len(fit) // share[1]
+    ranks = {id(r): j + 1 for j, r in enumerate(fit[:k])}
+    return Counter((*r[:4], ranks.get(id(r))) for r in out)
+
+
+@pytest.mark.parametrize("share", [(25, 100), (1, 3), (0, 1), (1, 1)])
+def test_importance_equals_brute_force(spark, table, share):
+    from tallyframe.llm.importance import importance_resample
+
+    if share != (25, 100) and table.count() > 100:
+        table = table.limit(60)
+    target = spark.read.parquet(f"{SF}/benchmark.parquet").unionByName(
+        spark.createDataFrame([(None, None), (None, "")], "item_id BIGINT, text STRING"), allowMissingColumns=True)
+    found = importance_resample(table.repartition(3), target, share=share).collect()
+    docs = [(r["doc_id"], r["text"]) for r in table.collect()]
+    want = brute_resample(docs, [r["text"] for r in target.collect()], share)
+    assert Counter((r["doc_id"], r["n_features"], r["weight"], r["score"], r["rank"]) for r in found) == want
+
+
+def test_importance_long_texts_in_blocks(monkeypatch):
+    from tallyframe.llm import importance
+
+    text = "A-b c9 ÉÈ straße  tail_end, " * 50 + "x"
+    want = Counter(zlib.crc32(" ".join(g).encode()) for n in (1, 2, 3) for w in [words_of(text)] for g in zip(*[w[i:] for i in range(n)]))
+    for size in (1, 7, 40, 1 << 20):
+        monkeypatch.setattr(importance, "BLOCK_BYTES", size)
+        assert Counter(h for _, part in importance.feature_hashes(text, 3) for h in part.tolist()) == want
+
+
+def test_importance_bracket_widens_and_holds_ties(spark):
+    from pyspark.sql import functions as F
+
+    from tallyframe.llm.importance import bracket, ranked
+
+    rows = spark.range(3000).select(F.col("id").alias("_id"), F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id")).cast("long").alias("s"))
+    values = sorted((r["s"] for r in rows.collect()), reverse=True)
+    for k in (1, 2, 499, 1500, 2500, 2999, 3000):
+        for margin in (1e-9, 1e-3):
+            low, high, above = bracket(rows, "s", k, 3000, margin)
+            assert above == sum(v > high for v in values) < k <= sum(v >= low for v in values)
+    places = ranked(rows, [F.col("s").desc(), F.col("_id").asc()]).collect()
+    want = sorted(((r["s"], r["_id"]) for r in places), key=lambda x: (-x[0], x[1]))
+    assert [(r["s"], r["_id"]) for r in sorted(places, key=lambda r: r["_rank"])] == want
+    assert sorted(r["_rank"] for r in places) == list(range(1, 3001))
+
+
+def test_importance_draws_documents_like_the_target(spark):
+    from tallyframe.llm.importance import importance_resample
+
+    def text(i):
+        return " ".join(f"{'good' if i % 4 == 0 else 'other'}{(i * 7 + j) % 40}" for j in range(40))
+
+    docs = spark.createDataFrame([(i, text(i), "c") for i in range(400)], "doc_id BIGINT, text STRING, rank STRING")
+    target = spark.createDataFrame([(text(4 * i),) for i in range(30)], "text STRING")
+    out = importance_resample(docs, target, carry=("rank",)).toDF("doc_id", "own", "n_features", "weight", "score", "rank").collect()
+    drawn = [r["doc_id"] for r in out if r["rank"] is not None]
+    assert len(drawn) == 100 and sum(i % 4 == 0 for i in drawn) > 60
+
+
+def test_importance_query(spark):
+    from tallyframe.llm.queries import queries
+
+    out = queries()["op12_importance"](spark, SF)
+    assert dict(out.dtypes) == {c: "bigint" for c in ("doc_id", "n_features", "weight", "score", "rank")}
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    target = [r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    assert Counter(tuple(r) for r in out.collect()) == brute_resample(docs, target)
