@@ -98,7 +98,14 @@ def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyframe.llm.repair import damaged, repair_conversations
+
+    return repair_conversations(damaged(table(spark, sf_dir, "conversations"))).select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_bpe, op2_packing, op3_html, op4_content_sort, op5_quality, op6_warc, op7_stratified, op8_toxicity, op9_suffix, op10_ngram_join,
-             op11_harmonic, op12_importance]
+             op11_harmonic, op12_importance, op13_repair]
     return {f.__name__: f for f in found}

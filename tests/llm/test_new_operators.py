@@ -176,3 +176,158 @@ def test_importance_query(spark):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     target = [r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     assert Counter(tuple(r) for r in out.collect()) == brute_resample(docs, target)
+
+
+# ------------------------------------------------------------------ conversation repair
+TALK = re.compile(r"(s?(ua)+)?")
+
+
+def brute_faults(rows):
+    """(role, text, fault) of the rows (turn, role, text) of one conversation, in order."""
+    seen, out = set(), []
+    for _, role, text in rows:
+        shown = re.findall(r"[^\x20\x09-\x0D]", text)
+        fault = "blank" if not shown else "duplicate" if (role, text) in seen else "truncated" if shown[-1] not in ".!?" else ""
+        seen.add((role, text))
+        out.append((role, text, fault))
+    return out
+
+
+def brute_repair(rows):
+    """(cost, audit, result) by a cheapest-first search: (cost, audit) never falls along a path, so the first end is the answer."""
+    def step(state, initial):
+        nxt = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+        return nxt.get((state, initial))
+
+    queue, done = [(0, "", 0, "", ())], set()
+    while queue:
+        cost, audit, i, state, result = heapq.heappop(queue)
+        if (i, state) in done:
+            continue
+        done.add((i, state))
+        if i == len(rows) and state in ("", "a"):
+            return cost, audit, result
+        for role in ("user", "assistant"):
+            to = step(state, role[0])
+            if to:
+                heapq.heappush(queue, (cost + 3, audit + "I", i, to, (*result, f"{role}:")))
+        if i < len(rows):
+            own, text, fault = rows[i]
+            heapq.heappush(queue, (cost + 4, audit + "D", i + 1, state, result))
+            if fault in ("blank", "duplicate"):
+                continue
+            extra = 3 if fault else 0
+            for edit, role, price in [("K", own, 0), ("R", "user", 3), ("R", "assistant", 3)]:
+                to = step(state, role[:1])
+                if to:
+                    heapq.heappush(queue, (cost + price + extra, audit + edit, i + 1, to, (*result, f"{role}:{text}")))
+
+
+def brute_damage(table):
+    convs = defaultdict(list)
+    for conv, turn, role, text in table:
+        own = convs[conv]
+        role, text = " " if role is None else role, " " if text is None else text
+        hit = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        text = "" if hit == 1 else re.sub("[.!?]", "", text) if hit == 2 else text
+        own += [(turn, "user" if hit == 4 else role, text)] * (0 if hit == 0 else 2 if hit == 3 else 1)
+    return convs
+
+
+def brute_facts(table):
+    out = {}
+    for conv, rows in brute_damage(table).items():
+        rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+        turns = [t for t, _, _ in rows if t is not None]
+        faults = brute_faults(rows)
+        count = Counter(f for _, _, f in faults)
+        initials = [r[:1] for r, _, _ in faults]
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+        cost, audit, result = brute_repair(faults)
+        assert TALK.fullmatch("".join(r[:1] for r in result))
+        out[conv] = (max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0, count["blank"], count["duplicate"], count["truncated"],
+                     illegal, cost, audit, hashlib.sha256("\n".join(result).encode()).hexdigest(), result)
+    return out
+
+
+FACT_COLUMNS = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
+@pytest.mark.parametrize("case", ["table", "odd", "empty"])
+def test_repair_equals_brute_force(spark, odd_turns, case):
+    from tallyframe.llm.repair import damaged, repair_conversations, repaired_rows
+
+    df = {"table": spark.read.parquet(f"{SF}/conversations.parquet"), "odd": odd_turns, "empty": odd_turns.limit(0)}[case]
+    want = brute_facts([(r["conv_id"], r["turn"], r["role"], r["text"]) for r in df.collect()])
+    rows = damaged(df.repartition(3))
+    found = repair_conversations(rows)
+    assert {r["conv_id"]: tuple(r[c] for c in FACT_COLUMNS) for r in found.collect()} == {c: f[:-1] for c, f in want.items()}
+    assert found.count() == len(want)
+    after = defaultdict(list)
+    for r in repaired_rows(rows, found).collect():
+        after[r["conv_id"]].append((r["place"], f"{r['role']}:{r['text']}"))
+    assert {c: tuple(t for _, t in sorted(x)) for c, x in after.items()} == {c: f[-1] for c, f in want.items() if f[-1]}
+    assert all([p for p, _ in sorted(x)] == list(range(len(x))) for x in after.values())
+
+
+def test_repair_audits_equal_a_plain_search(monkeypatch):
+    import random
+
+    from tallyframe.llm.repair import CUT_SHORT, FINE, MUST_GO, Parse, Repairer
+
+    rng, kinds = random.Random(5), {"": FINE, "truncated": CUT_SHORT, "blank": MUST_GO}
+    repairer = Repairer()
+    for trial in range(1500):
+        monkeypatch.setattr(Parse, "CHUNK_ROWS", (1, 3, 4096)[trial % 3])
+        rows = [(rng.choice(["system", "user", "assistant", "tool"] if trial % 2 else ["user", "assistant"]), f"{i}", rng.choice(["", "", "", "truncated", "blank"]))
+                for i in range(rng.randrange(9) if trial % 50 else 60)]
+        parse = Parse(repairer)
+        for role, text, fault in rows:
+            parse.read(role, text, kinds[fault])
+        cost, audit, digest = parse.finish()
+        want = brute_repair(rows)
+        assert (cost, audit) == want[:2] and digest == hashlib.sha256("\n".join(want[2]).encode()).hexdigest()
+    assert len(repairer.steps) < 5000
+
+
+def test_repair_grammar_table():
+    import itertools
+
+    from tallyframe.llm.repair import END, GRAMMAR, START, Stacks, Table
+
+    stacks = Stacks(Table(GRAMMAR, START))
+    sizes = []
+    for n in range(7):
+        sizes.append(len(stacks.cells))
+        for word in itertools.product("sua", repeat=n):
+            cells = {0}
+            for symbol in word:
+                cells = {c for cell in cells for c in stacks.after(cell, symbol)}
+            assert any(stacks.after(c, END) for c in cells) == bool(TALK.fullmatch("".join(word)))
+    assert sizes[5] == sizes[6] == len(stacks.cells)          # however long the conversation
+
+
+def test_repair_long_conversation_in_chunks(spark):
+    from tallyframe.llm.repair import plain, repair_conversations
+
+    rows = [(1, k, ("tool", "user", "assistant")[k % 7 % 3], f"Line {k}.") for k in range(9000)] + [(2, 0, "user", "Hi."), (2, 1, "assistant", "Yes.")]
+    found = {r["conv_id"]: r for r in repair_conversations(plain(spark.createDataFrame(rows, "conv_id BIGINT, turn BIGINT, role STRING, text STRING"))).collect()}
+    cost, audit, result = brute_repair([(r, t, "") for c, _, r, t in rows if c == 1])
+    assert (found[1]["cost"], found[1]["audit"]) == (cost, audit)
+    assert found[1]["repaired_sha256"] == hashlib.sha256("\n".join(result).encode()).hexdigest()
+    assert found[2]["audit"] == "KK" and found[2]["cost"] == 0
+
+
+def test_repair_deals_rows_once(spark):
+    from tallyframe.llm.repair import damaged, repair_conversations
+
+    plan = repair_conversations(damaged(spark.read.parquet(f"{SF}/conversations.parquet")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_repair_query(spark):
+    from tallyframe.llm.queries import queries
+
+    out = queries()["op13_repair"](spark, SF)
+    want = brute_facts([tuple(r[c] for c in ("conv_id", "turn", "role", "text")) for r in spark.read.parquet(f"{SF}/conversations.parquet").collect()])
+    assert {r["conv_id"]: tuple(r[c] for c in FACT_COLUMNS) for r in out.collect()} == {c: f[:-1] for c, f in want.items()}
