@@ -46,11 +46,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.llm import sketch
-from tallyframe.llm.common import written
+from tallyframe.llm.common import reach_workers, written
 from tallyframe.llm.components import components
 
 ORDER_BITS = 21              # buckets of the token order, as a power of two: two bytes each are broadcast
-KEY_BITS = 1 << 24           # of the filter of texts to verify, which is broadcast
+KEY_BITS = 1 << 28           # at most, of the filter of texts to verify, which is broadcast
 TOKEN_BITS = 1 << 28         # at most, of the filter of shared tokens, which is broadcast
 LIST_ROWS = 20_000
 SPINE_ROWS = 16
@@ -59,7 +59,7 @@ SMALL_LIST = 24
 PAIRS_PER_ENTRY = 8          # candidates that are written as pairs; beyond, a part of a list is compared in cells
 CELL_BYTES = 16 << 20        # of one side's sets
 SIGNATURE_BITS = 512
-SEEN_NODES = 1_000_000      # bounded memory of a task
+SEEN_NODES = 200_000      # bounded memory of a task
 POSTING = "token long, node long, n int, pos int, sig binary, tag long"
 
 
@@ -121,25 +121,23 @@ def signature(s: np.ndarray) -> bytes:
 
 def _nodes_and_order(shingles: int, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, counts = Shingles(shingles), np.zeros(1 << ORDER_BITS, dtype=np.int64)
+        sets, counts = Shingles(shingles), np.zeros(1 << ORDER_BITS, dtype=np.uint32)
         names = ["_id", "key", "node", "check", "n", "slice", "counts"]
         id_type = None
         for batch in batches:
             id_type = batch.column(0).type
-            node, check, size, found = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                s = sets(text)
-                found.append(s)
-                h = xxhash.xxh3_128_intdigest(s.tobytes(), seed=seed)
-                node.append((h & (2**64 - 1)) - 2**63)
-                check.append((h >> 64) - 2**63)
-                size.append(len(s))
-            if any(size):
-                counts += np.bincount(order_bucket(np.concatenate(found)), minlength=1 << ORDER_BITS)
-            none = pa.nulls(batch.num_rows, pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(node, pa.int64()), pa.array(check, pa.int64()), pa.array(size, pa.int64()),
-                 none, pa.nulls(batch.num_rows, pa.binary())], names)
+            for part in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
+                node, check, size = [], [], []
+                for text in part.column(1).to_pylist():
+                    s = sets(text)
+                    np.add.at(counts, order_bucket(s), np.uint32(1))
+                    h = xxhash.xxh3_128_intdigest(s.tobytes(), seed=seed)
+                    node.append((h & (2**64 - 1)) - 2**63)
+                    check.append((h >> 64) - 2**63)
+                    size.append(len(s))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(2), pa.array(node, pa.int64()), pa.array(check, pa.int64()), pa.array(size, pa.int64()),
+                     pa.nulls(part.num_rows, pa.int32()), pa.nulls(part.num_rows, pa.binary())], names)
         for number, data in sketch.sliced(counts):
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(1, id_type), *[pa.nulls(1, pa.int64()) for _ in range(4)],
@@ -512,8 +510,8 @@ class NgramJoin:
 
     def sets(self, rows: DataFrame, wanted: DataFrame) -> DataFrame:
         """node, set (sorted hashes, binary) of the ``wanted`` nodes; only texts whose key may be asked for are cut again."""
-        keys = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key")).select("key")
-        asked = self.context.broadcast(sketch.bitmap(keys, KEY_BITS))
+        keys = written(rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key")).select("key"), "asked_keys")
+        asked = self.context.broadcast(sketch.bitmap(keys, sketch.bits_for(keys.count(), most=KEY_BITS)))
         words, seed = self.words, self.seed
 
         @F.pandas_udf("boolean")
@@ -550,10 +548,7 @@ class NgramJoin:
         shared = written(postings.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("rows"))
                          .where("lo < hi").select("token", "rows"), "shared_tokens")
         # Most tokens are in one set only; a bitmap of bounded size spares their entries the shuffle of the join.
-        bits = 1 << 20
-        while bits < 16 * shared.count() and bits < TOKEN_BITS:
-            bits *= 2
-        marks = self.context.broadcast(sketch.bitmap(shared.select("token"), bits))
+        marks = self.context.broadcast(sketch.bitmap(shared.select("token"), sketch.bits_for(shared.count(), most=TOKEN_BITS)))
 
         @F.pandas_udf("boolean")
         def may_share(token):  # noqa: ANN001, ANN202
@@ -635,9 +630,12 @@ class NgramJoin:
 
 
 def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100,
-                   list_rows: int = LIST_ROWS) -> DataFrame:
+                   list_rows: int = LIST_ROWS, detail: bool = False) -> DataFrame:
     """Per row: ``id_col``, ``n_shingles`` (set size), ``component_id`` (smallest id reachable by links, itself included).
 
+    With ``detail`` also ``key`` (64-bit hash of the text) and ``component`` (a
+    number that the rows of a group share, whatever their ids; null without words).
+
     Rows link when their sets of ``words``-word shingles have a Jaccard
     similarity of at least num/den.  Words are runs of bytes other than ASCII
     white space, with A-Z lower-cased; with fewer words than ``words`` the whole
@@ -648,6 +646,7 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     and gets its group's smallest other id, or null; an empty table gives an
     empty result; extra columns are ignored.
     """
+    reach_workers(df.sparkSession)
     texts = df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     join = NgramJoin(texts, words, Threshold(num // math.gcd(num, den), den // math.gcd(num, den)), list_rows)
     rows = join.nodes()
@@ -657,7 +656,8 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     comps = written(components(links), "components")
     ids = (first.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node")))
     best = ids.groupBy("component").agg(F.min("lowest").alias("component_id"))
-    named = ids.join(best, "component").select("node", "component_id")
+    named = ids.join(best, "component").select("node", "component_id", "component")
     joined = rows.join(named, "node", "left")
     return joined.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"),
-                         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("_id")).alias("component_id"))
+                         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("_id")).alias("component_id"),
+                         *(["key", "component"] if detail else []))

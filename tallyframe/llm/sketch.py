@@ -45,10 +45,11 @@ def summed(parts: DataFrame, buckets: int) -> np.ndarray:
 
 def _mark(bits: int, name: str):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(bits, dtype=bool)
+        packed = np.zeros(bits // 8, dtype=np.uint8)          # one bit a bit: bounded by ``bits / 8`` bytes a worker
         for batch in batches:
-            seen[batch.column(name).to_numpy().view(np.uint64) & np.uint64(bits - 1)] = True
-        for i, part in enumerate(np.split(np.packbits(seen), SLICES)):
+            at = np.unique(batch.column(name).to_numpy().view(np.uint64) & np.uint64(bits - 1))
+            np.bitwise_or.at(packed, (at >> np.uint64(3)).astype(np.int64), np.uint8(128) >> (at & np.uint64(7)).astype(np.uint8))
+        for i, part in enumerate(np.split(packed, SLICES)):
             if part.any():
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([i], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], ["slice", "counts"])
@@ -66,6 +67,14 @@ def _either(key: tuple, group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         [pa.array([key[0].as_py()], pa.int32()), pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())], ["slice", "counts"])
 
 
+def bits_for(count: int, per_key: int = 16, most: int = 1 << 28) -> int:
+    """Bits of a bitmap of ``count`` keys: a power of two, ``per_key`` bits a key while that stays below ``most``."""
+    bits = 1 << 20
+    while bits < per_key * count and bits < most:
+        bits *= 2
+    return bits
+
+
 def bitmap(keys: DataFrame, bits: int) -> np.ndarray:
     """Packed bits of the values of a one-column long table, by their lowest bits (``bits`` is a power of two)."""
     out = np.zeros(bits // 8, dtype=np.uint8)
