@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm import sketch
@@ -47,17 +48,16 @@ def free_name(df: DataFrame, base: str) -> str:
     return name
 
 
-def without_ids(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
-    """The rows of ``df`` whose id isn't in ``ids`` (one column ``id_col``); rows without an id stay.
+def without_rows(df: DataFrame, keys: dict[str, Column], gone: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose ``keys`` (name -> expression) aren't in ``gone`` (columns of these names); null equals null.
 
     An anti join that moves few rows: a bitmap of bounded size tells for most
-    rows that their id isn't in ``ids``; only the others are joined.
+    rows that they aren't in ``gone``; only the others are joined.
     """
-    ids = written(ids.where(F.col(id_col).isNotNull()).select(F.xxhash64(id_col).alias("_mix"), F.col(id_col).alias("_gone")).distinct(), "gone_ids")
-    bits = 1 << 20
-    while bits < 32 * ids.count() and bits < 1 << 28:
-        bits *= 2
-    hit = df.sparkSession.sparkContext.broadcast(sketch.bitmap(ids.select("_mix"), bits))
+    names = list(keys)
+    gone = written(gone.select(*[F.col(c).alias(f"_gone_{c}") for c in names]).distinct()
+                   .withColumn("_mix", F.xxhash64(*[f"_gone_{c}" for c in names])), "gone_rows")
+    hit = df.sparkSession.sparkContext.broadcast(sketch.bitmap(gone.select("_mix"), sketch.bits_for(gone.count(), 32)))
 
     @F.pandas_udf("boolean")
     def may_go(mix):  # noqa: ANN001, ANN202
@@ -65,8 +65,9 @@ def without_ids(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
 
         return pd.Series(sketch.in_bitmap(hit.value, mix.to_numpy()))
 
-    name = free_name(df, "_may_go")
-    marked = df.withColumn(name, may_go(F.xxhash64(id_col)))
-    stay = marked.where(~F.col(name)).drop(name)
-    rest = marked.where(F.col(name)).drop(name)
-    return stay.unionByName(rest.join(ids, rest[id_col].eqNullSafe(ids["_gone"]), "left_anti"))
+    flag = free_name(df, "_may_go")
+    marked = df.withColumn(flag, may_go(F.xxhash64(*keys.values())))
+    own = {c: free_name(df, f"_key_{c}") for c in names}
+    rest = marked.where(F.col(flag)).drop(flag).withColumns({own[c]: keys[c] for c in names})
+    same = reduce(lambda a, b: a & b, [rest[own[c]].eqNullSafe(gone[f"_gone_{c}"]) for c in names])
+    return marked.where(~F.col(flag)).drop(flag).unionByName(rest.join(gone, same, "left_anti").drop(*own.values()))

@@ -32,7 +32,7 @@ PREFIX_CHARS = 64
 def _mark_runs(out_schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Task function: rows of one sorted partition in, the same rows with their run's keeper and size out."""
 
-    def emit(table: pa.Table, starts: np.ndarray, sizes: np.ndarray, edge: bool) -> Iterator[pa.RecordBatch]:
+    def emit(table: pa.Table, starts: np.ndarray, sizes: np.ndarray, edge: bool, texts: pa.Array) -> Iterator[pa.RecordBatch]:
         which = np.repeat(np.arange(len(sizes)), sizes)
         head = np.zeros(table.num_rows, dtype=bool)
         head[starts] = True
@@ -40,6 +40,8 @@ def _mark_runs(out_schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], It
         cols = {c: table[c] for c in table.column_names}
         cols |= {"_keep": keep, "_size": pa.array(sizes[which].astype("int64")), "_head": pa.array(head),
                  "_edge": pa.array(np.full(table.num_rows, edge))}
+        if "_own" in out_schema.names:       # one text per run, at its head
+            cols["_own"] = texts.take(pa.array(which, mask=~head))
         yield from pa.table([cols[f.name] for f in out_schema], schema=out_schema).to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,7 +58,7 @@ def _mark_runs(out_schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], It
             if batch.num_rows > 1:
                 new[1:] = pc.not_equal(texts.slice(1), texts.slice(0, batch.num_rows - 1)).to_numpy(zero_copy_only=False)
             starts = np.flatnonzero(new)
-            last = texts[batch.num_rows - 1].as_py()
+            held, last = pa.array([last], texts.type), texts[batch.num_rows - 1].as_py()
             if not len(starts):
                 pending.append(rows)
                 continue
@@ -64,30 +66,34 @@ def _mark_runs(out_schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], It
                 pending.append(rows.slice(0, int(starts[0])))
             if pending:
                 done = pa.concat_tables(pending)
-                yield from emit(done, np.array([0]), np.array([done.num_rows]), first_run)
+                yield from emit(done, np.array([0]), np.array([done.num_rows]), first_run, held)
                 first_run = False
             a, z = int(starts[0]), int(starts[-1])
             if z > a:
                 own = starts[:-1] - a
                 sizes = np.diff(starts)
+                heads = texts.take(pa.array(starts[:-1]))
                 if first_run:            # the partition's first run ends inside this batch
-                    yield from emit(rows.slice(a, int(sizes[0])), np.array([0]), sizes[:1], True)
-                    a, own, sizes, first_run = a + int(sizes[0]), own[1:] - sizes[0], sizes[1:], False
+                    yield from emit(rows.slice(a, int(sizes[0])), np.array([0]), sizes[:1], True, heads[:1])
+                    a, own, sizes, heads, first_run = a + int(sizes[0]), own[1:] - sizes[0], sizes[1:], heads[1:], False
                 if len(sizes):
-                    yield from emit(rows.slice(a, z - a), own, sizes, False)
+                    yield from emit(rows.slice(a, z - a), own, sizes, False, heads)
             pending = [rows.slice(z)]
         if pending:
             done = pa.concat_tables(pending)
-            yield from emit(done, np.array([0]), np.array([done.num_rows]), True)
+            yield from emit(done, np.array([0]), np.array([done.num_rows]), True, pa.array([last], pa.string()))
 
     return run
 
 
 def content_sort_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min",
                        normalise: Callable[[Column], Column] | None = None,
-                       carry: tuple[str, ...] = ()) -> DataFrame:
+                       carry: tuple[str, ...] = (), text_as: str | None = None) -> DataFrame:
     """One row per input row: ``id_col``, the ``carry`` columns, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
 
+    With ``text_as``, kept rows also have their normalised text under that name
+    (null in others): the copies' texts are not carried through the sort twice.
+
     ``normalise`` maps the text column before comparing (default: no change).
     ``keep`` is ``min`` or ``max``: which id of equal texts stays.
 
@@ -110,7 +116,8 @@ def content_sort_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
                .drop("_prefix", "_hash")
                .withColumn("_sha", F.sha2("_text", 256)))
     marked_schema = ordered.drop("_text").withColumns({
-        "_keep": F.col("_id"), "_size": F.lit(0).cast("long"), "_head": F.lit(True), "_edge": F.lit(True)}).schema
+        "_keep": F.col("_id"), "_size": F.lit(0).cast("long"), "_head": F.lit(True), "_edge": F.lit(True),
+        **({"_own": F.lit(None).cast("string")} if text_as else {})}).schema
     from pyspark.sql.pandas.types import to_arrow_schema
 
     marked = written(ordered.mapInArrow(_mark_runs(to_arrow_schema(marked_schema)), marked_schema), "content_sort")
@@ -124,7 +131,8 @@ def content_sort_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         keep_id.alias("keep_id"),
         F.when(F.col("_edge"), F.col("_edge_size")).otherwise(F.col("_size")).alias("group_size"),
         (F.col("_head") & F.col("_id").eqNullSafe(keep_id)).alias("kept"),
-        F.col("_sha").alias("text_sha256"))
+        F.col("_sha").alias("text_sha256"),
+        *([F.when(F.col("_head") & F.col("_id").eqNullSafe(keep_id), F.col("_own")).alias(text_as)] if text_as else []))
 
 
 def dedup_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:

@@ -331,3 +331,43 @@ def test_repair_query(spark):
     out = queries()["op13_repair"](spark, SF)
     want = brute_facts([tuple(r[c] for c in ("conv_id", "turn", "role", "text")) for r in spark.read.parquet(f"{SF}/conversations.parquet").collect()])
     assert {r["conv_id"]: tuple(r[c] for c in FACT_COLUMNS) for r in out.collect()} == {c: f[:-1] for c, f in want.items()}
+
+
+# ------------------------------------------------------------------ stages
+def test_near_dedup_keeps_every_unlinked_text(spark):
+    """Rows of one id: a text that is linked with nothing stays, whatever else has its id."""
+    from tallyframe.llm import stages
+
+    a = " ".join(f"a{i}" for i in range(40))
+    b, c = " ".join(f"b{i}" for i in range(40)), " ".join(f"c{i}" for i in range(40))
+    rows = [(1, a, "x"), (5, a + " more", "x"), (5, b, "x"), (None, c, "x"), (None, c + " end", "y"), (7, c + " last", "z"),
+            (9, "short", "x"), (9, "short", "w"), (8, None, "x"), (8, "", "x"), (8, None, "x"), (6, b + " tail", "x"), (6, b + " tail two", "x")]
+    for cols in ("doc_id BIGINT, text STRING, _others STRING", "doc_id BIGINT, text STRING, key STRING"):
+        docs = spark.createDataFrame(rows, cols).repartition(3)
+        kept = stages.near_dedup(spark, docs, SF)
+        assert kept.columns == docs.columns
+        got = Counter((r[0], r[1]) for r in kept.collect())
+        assert got == Counter([(1, a), (5, b), (7, c + " last"), (9, "short"), (8, None), (8, ""), (8, None)])
+        assert [r[2] for r in kept.where("doc_id = 9").collect()] == ["w"]
+
+
+def test_exact_dedup_stage_keeps_texts_of_kept_rows(spark, table):
+    from tallyframe.llm import stages
+
+    kept = stages.exact_dedup(spark, table.repartition(5), SF)
+    assert kept.columns == table.columns
+    best = {}
+    for r in table.collect():
+        t = r["text"] or ""
+        best[t] = max((x for x in (best.get(t), r["doc_id"]) if x is not None), default=None)
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter((i, t) for t, i in best.items())
+
+
+def test_bitmap_holds_every_key_in_a_bit_each(spark):
+    from tallyframe.llm import sketch
+
+    keys = spark.range(5000).selectExpr("xxhash64(id) AS k")
+    packed = sketch.bitmap(keys, 1 << 20)
+    own = np.array([r["k"] for r in keys.collect()], np.int64)
+    assert len(packed) == 1 << 17 and sketch.in_bitmap(packed, own).all()
+    assert np.unpackbits(packed).sum() == len({int(k) & ((1 << 20) - 1) for k in own.tolist()})
