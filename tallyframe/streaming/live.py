@@ -14,8 +14,9 @@ must be UTC for the cast to be the identity) and :func:`ntz` casts back.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
@@ -92,12 +93,112 @@ def level_totals(stream: DataFrame, levels: Mapping[str, str | None], value: str
     combine leaves one row per task and key, so the grand total is no hot key.
     A message without a place at some level counts under a null key there.
     """
-    entries = [F.struct(F.lit(name).alias("level"),
-                        (F.lit("") if c is None else F.col(c).cast("string")).alias("key"))
+    return running_totals(at_levels(stream, levels).select("level", "key", *([value] if value else [])), ["level", "key"], value)
+
+
+def at_levels(stream: DataFrame, levels: Mapping[str, str | None]) -> DataFrame:
+    """Each message once per level, with ``level`` and ``key`` (``""`` for a level without a column)."""
+    entries = [F.struct(F.lit(name).alias("level"), (F.lit("") if c is None else F.col(c).cast("string")).alias("key"))
                for name, c in levels.items()]
-    columns = ["at.level", "at.key", *([value] if value else [])]
-    return running_totals(stream.withColumn("at", F.explode(F.array(*entries))).select(*columns),
-                          ["level", "key"], value)
+    return stream.withColumn("at", F.explode(F.array(*entries))).select("*", "at.level", "at.key").drop("at")
+
+
+def dedup_totals(stream: DataFrame, ids: Sequence[str], levels: Mapping[str, str | None], size: str, delay: str,
+                 value: str | None = None, ts: str = EVENT_TIME) -> DataFrame:
+    """Totals per fixed window at several levels that survive resends (append mode).
+
+    Two chained stateful operators under one watermark: the first copy of every
+    message (by ``ids``) passes, later copies within ``delay`` are dropped as
+    duplicates and those beyond it as late; what passes is counted per window,
+    level and key.  Both states are evicted by the watermark.
+    """
+    once = dedup(stream.select(*dict.fromkeys([*ids, ts, *[c for c in levels.values() if c], *([value] if value else [])])), ids, delay, ts)
+    agg = at_levels(once, levels).groupBy(F.window(ts, size).alias("w"), "level", "key").agg(*_value_aggs(value))
+    out = agg.select(ntz("w.start").alias("window_start"), ntz("w.end").alias("window_end"), "level", "key",
+                     "n_events", *(["_sum"] if value else []))
+    return _finish(out, value)
+
+
+def silent_boxes(latest: DataFrame, boxes: DataFrame, box: str, gap: str, delay: str) -> DataFrame:
+    """Batch step over the latest-counter table: the state of every box of the static list ``boxes`` (column ``box``).
+
+    ``as_of`` is the watermark, the latest message of all boxes less ``delay``.
+    A box is ``silent`` if it sent nothing in the ``gap`` before ``as_of``,
+    ``never`` if it was never heard of, ``unlisted`` if it sends without being
+    on the list, else ``active``.  Before any message every box is ``never``.
+    """
+    newest = latest.agg(F.max("last_seen")).first()[0]            # one row of an aggregate with one row per box
+    as_of = F.lit(newest).cast("timestamp_ntz") - F.expr(f"INTERVAL {delay}")
+    listed = boxes.select(F.col(box).alias("_listed")).distinct()
+    known = latest.select(F.col(box).alias("_seen"), "last_seen", "n_messages")
+    both = listed.join(known, F.col("_listed") == F.col("_seen"), "full")
+    status = (F.when(F.col("_listed").isNull(), "unlisted").when(F.col("_seen").isNull(), "never")
+              .when(F.col("last_seen") + F.expr(f"INTERVAL {gap}") <= as_of, "silent").otherwise("active"))
+    return both.select(F.coalesce("_listed", "_seen").alias(box), "last_seen",
+                       F.coalesce("n_messages", F.lit(0)).alias("n_messages"), as_of.alias("as_of"), status.alias("status"))
+
+
+def windowed_level_counts(stream: DataFrame, levels: Mapping[str, str | None], size: str, delay: str, ts: str = EVENT_TIME) -> DataFrame:
+    """Messages per fixed window, level and key, once the window is closed (append mode)."""
+    return tumbling_counts(at_levels(stream, levels).select(ts, "level", "key"), ["level", "key"], size, delay, ts=ts)
+
+
+def turnout_so_far(census: DataFrame):
+    """Fold for ``run_available``: votes up to the end of every closed window over the census (``level``, ``key``, ``census``).
+
+    The carry holds the votes of all earlier batches, one row per level and
+    key.  Windows close in order, so a batch's windows come after those of the
+    carry; inside a batch a running sum per key goes over its few windows.
+    """
+    def fold(batch: DataFrame, carry: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        if carry is None:
+            carry = batch.select("level", "key", F.lit(0).cast("long").alias("votes")).limit(0)
+        same = lambda a, b: a["level"].eqNullSafe(b["level"]) & a["key"].eqNullSafe(b["key"])      # noqa: E731
+        running = F.sum("n_events").over(Window.partitionBy("level", "key").orderBy("window_end"))
+        closed = batch.select("window_start", "window_end", "level", "key", F.col("n_events").alias("n_votes"), running.alias("_in_batch"))
+        sofar = closed.join(carry, same(closed, carry), "left").select(
+            closed["*"], (F.col("_in_batch") + F.coalesce("votes", F.lit(0))).alias("votes_so_far"))
+        rows = sofar.join(census, same(sofar, census), "left").select(
+            "window_start", "window_end", sofar["level"], sofar["key"], "n_votes", "votes_so_far", "census",
+            pct("votes_so_far", "census").alias("turnout"))
+        added = batch.select("level", "key", F.col("n_events").alias("votes")).unionByName(carry)
+        return rows, added.groupBy("level", "key").agg(F.sum("votes").alias("votes"))
+
+    return fold
+
+
+CURVE_SCHEMA = ("window_start TIMESTAMP_NTZ, window_end TIMESTAMP_NTZ, level STRING, key STRING, n_votes BIGINT, "
+                "votes_so_far BIGINT, census BIGINT, turnout DOUBLE")
+
+
+def parse_messages(lines: DataFrame, line: str = "line") -> DataFrame:
+    """Typed messages of :data:`MESSAGE_SCHEMA` from JSON text, each row ``good`` or ``bad`` (``status``) with the ``reason``.
+
+    A line that is no JSON object, lacks its time, box or counter, has one that
+    does not parse, or a counter below zero is bad: it keeps its text in ``raw``
+    and has no fields.  The first reason in this order counts: malformed,
+    missing, bad time, bad number, negative.  Other fields may be missing.  Written with
+    ``partition_by=["status"]``, both branches are one commit of the file sink.
+    """
+    names = [f.name for f in MESSAGE_SCHEMA]
+    texts = StructType([StructField(n, StringType()) for n in [*names, "_corrupt"]])
+    parsed = lines.withColumn("_m", F.from_json(line, texts, {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"}))
+    typed = {f.name: (F.col(f"_m.{f.name}").try_cast(f.dataType)) for f in MESSAGE_SCHEMA}
+    required, counters = ("timestamp", "mesa_id", "mesa_participacion"), ("mesa_participacion", "total_municipio")
+
+    def any_of(conditions: list[Column]) -> Column:
+        return reduce(lambda a, b: a | b, conditions)
+
+    unread = lambda c: F.col(f"_m.{c}").isNotNull() & typed[c].isNull()      # noqa: E731
+    reason = (F.when(F.col(line).isNull() | F.col("_m").isNull() | F.col("_m._corrupt").isNotNull(), "malformed")
+              .when(any_of([F.col(f"_m.{c}").isNull() for c in required]), "missing")
+              .when(unread("timestamp"), "bad time")
+              .when(any_of([unread(c) for c in counters]), "bad number")
+              .when(any_of([F.coalesce(typed[c] < 0, F.lit(False)) for c in counters]), "negative"))
+    return parsed.withColumn("reason", reason).select(
+        *[F.when(F.col("reason").isNull(), typed[n]).alias(n) for n in names],
+        F.when(F.col("reason").isNull(), "good").otherwise("bad").alias("status"), "reason",
+        F.when(F.col("reason").isNotNull(), F.col(line)).alias("raw"))
 
 
 def windowed_turnout(stream: DataFrame, census: DataFrame, keys: Sequence[str], size: str, delay: str,

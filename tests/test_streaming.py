@@ -263,7 +263,8 @@ def test_update_mode_without_keys_is_refused(spark, scratch):
 
 STREAMS = ["stream_tumbling_counts", "stream_sliding_counts", "stream_running_totals", "stream_level_totals",
            "stream_turnout_rate", "stream_reported_gap", "stream_latest_counter", "stream_group_from_counters",
-           "stream_windowed_group_counters", "stream_dedup", "stream_sessions"]
+           "stream_windowed_group_counters", "stream_dedup", "stream_sessions", "stream_dedup_totals",
+           "stream_late_rows", "stream_silent_boxes", "stream_message_intake", "stream_turnout_curve"]
 
 
 @pytest.fixture(scope="module")
