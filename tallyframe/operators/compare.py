@@ -49,6 +49,24 @@ def tag_by_lists(df: DataFrame, column: str, cohorts: Mapping[str, Sequence[str]
     return df.withColumn(tag_col, tag).filter(F.col(tag_col).isNotNull())
 
 
+def tag_by_table(df: DataFrame, column: str, members: DataFrame, member_col: str, cohort_col: str, *,
+                 tag_col: str = "cohort", fold: bool = True) -> DataFrame:
+    """Keep rows whose ``column`` is listed in the table ``members``, tagged with the listed cohort.
+
+    Both sides are trimmed and accent-folded before comparing; a name listed in several
+    cohorts belongs to the smallest by name, so no row is doubled, and
+    rows of ``members`` without a name or a cohort list nothing.  The table may
+    have any size: Spark broadcasts it below its threshold and otherwise
+    shuffles both sides by the name, with a Bloom filter of the listed names on
+    the larger side's scan (``spark.sql.optimizer.runtime.bloomFilter.enabled``).
+    """
+    name = (lambda c: F.trim(fold_accents(c))) if fold else F.trim
+    listed = (members.select(name(_q(member_col)).alias("_listed"), _q(cohort_col).alias(tag_col))
+              .where(F.col("_listed").isNotNull() & _q(tag_col).isNotNull())
+              .groupBy("_listed").agg(F.min(_q(tag_col)).alias(tag_col)))
+    return df.withColumn("_name", name(_q(column))).join(listed, F.col("_name") == F.col("_listed")).drop("_name", "_listed")
+
+
 def size_cohorts(df: DataFrame, layout: Layout, n: int, small_below, *,
                  tag_col: str = "cohort", large: str = "large", small: str = "small") -> DataFrame:
     """The n most populous units, and the n most populous under ``small_below``,
@@ -245,3 +263,30 @@ def representativeness_by_band(rep: DataFrame, cut: float | Sequence[float] | No
         F.count_if(F.col("coincides")).alias("n_coinciding"),
         pct(F.count_if(F.col("coincides")), F.count(F.lit(1))).alias("match_rate"),
     )
+
+
+# --------------------------------------------------------------------------- what explains a value
+# Differences of two sums of squares below this part of them are rounding.
+ROUNDING = 1e-12
+
+
+def variance_explained(df: DataFrame, value: str, factors: Mapping[str, str], digits: int = 6) -> DataFrame:
+    """Per factor: how much of the variance of ``value`` lies between its levels (eta squared, 0 to 1).
+
+    ``factors`` maps a name to a column.  Every row counts once per factor;
+    count, mean and squared deviations per level are merged in the map-side
+    combine, so a shuffled row is a task's level, and the factors follow from
+    the levels.  A null level is a level of its own; rows without a value are
+    left out; a value without variance has no share (null).
+    """
+    entries = [F.struct(F.lit(name).alias("factor"), _q(c).cast("string").alias("level")) for name, c in factors.items()]
+    rows = df.filter(_q(value).isNotNull()).select(F.explode(F.array(*entries)).alias("_at"), _q(value).cast("double").alias("_v"))
+    levels = rows.groupBy("_at.factor", "_at.level").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("_v").alias("mean"), (F.var_pop("_v") * F.count(F.lit(1))).alias("within"))
+    # Between the levels: the means' squared distances from the mean of all rows, each as often as its level has rows.
+    sums = levels.groupBy("factor").agg(
+        F.sum("n").alias("n_units"), F.count(F.lit(1)).alias("n_levels"), F.sum("within").alias("_within"),
+        F.sum(F.col("n") * F.col("mean")).alias("_s1"), F.sum(F.col("n") * F.col("mean") * F.col("mean")).alias("_s2"))
+    between = F.col("_s2") - F.col("_s1") * F.col("_s1") / F.col("n_units")
+    between = F.when(between > ROUNDING * F.col("_s2"), between).otherwise(F.lit(0.0))
+    return sums.select("factor", "n_units", "n_levels", F.round(F.try_divide(between, between + F.col("_within")), digits).alias("explained"))

@@ -49,6 +49,24 @@ def bottom_n(df: DataFrame, by, n: int, tiebreak: Sequence[str] = ()) -> DataFra
     return top_n(df, by, n, tiebreak, ascending=True)
 
 
+def top_n_with_ties(df: DataFrame, by: str, n: int, ascending: bool = False, rank_col: str = "rank") -> DataFrame:
+    """Every row whose ``by`` is among the n largest, ties at the cut included, with its SQL ``rank()``.
+
+    The n largest values come from a bounded top-n over the one column; their
+    ranks are counted among these at most n values, and the rows are found by an
+    equality join with them, in place.  So no task sorts or ranks the rows, however many
+    tie at the cut.  Rows without a value have no rank and are left out.  ``by``
+    is read twice: store an expensive input first.
+    """
+    valued = df.filter(_q(by).isNotNull())
+    top = top_n(valued.select(_q(by).alias("_value")), "_value", n, ascending=ascending)
+    order = _asc("_value") if ascending else _desc("_value")
+    before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)       # over at most n values
+    ranks = (top.groupBy("_value").agg(F.count(F.lit(1)).alias("_n"))
+             .select("_value", (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).cast("long").alias(rank_col)))
+    return valued.join(F.broadcast(ranks), _q(by) == F.col("_value")).drop("_value")     # n rows at most
+
+
 def top_n_per_group(df: DataFrame, group: Sequence[str] | str, by, n: int,
                     tiebreak: Sequence[str] = (), ascending: bool = False,
                     rank_col: str | None = None) -> DataFrame:

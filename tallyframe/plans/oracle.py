@@ -115,6 +115,33 @@ def _reject_rows(col: str, dtype: str) -> str:
             f"count(*) FILTER (WHERE {raw} IS NOT NULL AND {raw} <> '' AND {typed} IS NULL) AS n_rejected FROM d")
 
 
+def _profile_sql() -> str:
+    """Each text column of the orders with the kind of its values, and its type from them."""
+    texts = {
+        "order_key": "CAST(o_orderkey AS VARCHAR)", "customer": "' ' || CAST(o_custkey AS VARCHAR)", "status": "o_orderstatus",
+        "price": "price", "number_or_none": "CASE o_orderkey % 3 WHEN 0 THEN CAST(o_orderkey AS VARCHAR) WHEN 1 THEN price END",
+        "ordered": "day", "seen": "CASE o_orderkey % 3 WHEN 0 THEN day ELSE day || ' 10:30:00' END",
+        "day_or_blank": "CASE o_orderkey % 3 WHEN 0 THEN '' ELSE day END",
+        "mixed": "CASE o_orderkey % 3 WHEN 0 THEN CAST(o_orderkey AS VARCHAR) ELSE o_orderpriority END",
+        "final": "CASE WHEN o_orderstatus = 'F' THEN 'true' ELSE 'false' END", "blank": "''"}
+    values = " UNION ALL ".join(f"SELECT {i} AS position, '{c}' AS \"column\", {e} AS value FROM o" for i, (c, e) in enumerate(texts.items()))
+    return f"""WITH o AS (SELECT *, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS price,
+  CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders),
+k AS (SELECT *, CASE WHEN trim(value) = '' THEN NULL WHEN TRY_CAST(value AS BIGINT) IS NOT NULL AND value NOT LIKE '%.%' THEN 'bigint'
+  WHEN TRY_CAST(value AS DOUBLE) IS NOT NULL THEN 'double' WHEN value IN ('true', 'false') THEN 'boolean'
+  WHEN length(value) = 10 AND TRY_CAST(value AS DATE) IS NOT NULL THEN 'date'
+  WHEN TRY_CAST(value AS TIMESTAMP) IS NOT NULL THEN 'timestamp' WHEN value IS NOT NULL THEN 'string' END AS kind FROM ({values}))
+SELECT position, "column", n_rows, n_null, n_blank, n_bigint, n_double, n_boolean, n_date, n_timestamp, n_string, min_chars, max_chars,
+  CASE WHEN filled = 0 THEN 'string' WHEN n_bigint = filled THEN 'bigint' WHEN n_bigint + n_double = filled THEN 'double'
+       WHEN n_boolean = filled THEN 'boolean' WHEN n_date = filled THEN 'date' WHEN n_date + n_timestamp = filled THEN 'timestamp'
+       ELSE 'string' END AS type
+FROM (SELECT position, "column", count(*) AS n_rows, count(*) FILTER (WHERE value IS NULL) AS n_null,
+  count(*) FILTER (WHERE trim(value) = '') AS n_blank, {', '.join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}"
+  for k in ('bigint', 'double', 'boolean', 'date', 'timestamp', 'string'))}, CAST(min(length(value)) AS INTEGER) AS min_chars,
+  CAST(max(length(value)) AS INTEGER) AS max_chars, count(kind) AS filled
+  FROM k GROUP BY position, "column")"""
+
+
 SQL: dict[str, str] = {
     "raw_delimited_scan": with_ctes(BASE, body=f"""SELECT unit_id, unit, province, community,
   CAST(floor(population) AS BIGINT) AS population, census, voters, valid, {PLIST} FROM results_wide"""),
@@ -134,6 +161,8 @@ ORDER BY population DESC NULLS LAST, unit_id LIMIT {TOP_N}"""),
 ORDER BY population ASC NULLS LAST, unit_id LIMIT {TOP_N}"""),
     "turnout_top10": with_ctes(BASE, _turnout_units(), body=f"""SELECT * FROM tu
 ORDER BY turnout DESC NULLS LAST, unit_id LIMIT {TOP_N}"""),
+    "turnout_top10_ties": with_ctes(BASE, _turnout_units(), body=f"""SELECT * FROM (
+  SELECT *, rank() OVER (ORDER BY turnout DESC) AS rank FROM tu WHERE turnout IS NOT NULL) WHERE rank <= {TOP_N}"""),
     "abstention_top10": with_ctes(BASE, _turnout_units(), body=f"""SELECT * FROM tu
 ORDER BY abstention DESC NULLS LAST, unit_id LIMIT {TOP_N}"""),
     "turnout_by_province": with_ctes(BASE, _by_province(), body="SELECT * FROM bp ORDER BY turnout_index DESC, province"),
@@ -149,6 +178,15 @@ FROM (SELECT community, province, CAST(sum(voters) AS BIGINT) AS total_voters,
                  WHEN strip_accents(province) IN ('NATION_0', 'NATION_5', 'NATION_8', 'NATION_14')
                  THEN 'dense' END AS cohort
   FROM bp) WHERE cohort IS NOT NULL"""),
+    "cohort_by_table": with_ctes(BASE, _by_province(), """members AS (
+  SELECT n_name AS place, min(cohort) AS cohort FROM (
+    SELECT n_name, CASE n_nationkey % 4 WHEN 0 THEN 'coast' WHEN 1 THEN 'inland' END AS cohort FROM nation
+    UNION ALL SELECT n_name, 'island' FROM nation WHERE n_nationkey % 8 = 0)
+  WHERE cohort IS NOT NULL GROUP BY n_name)""", body="SELECT bp.*, cohort FROM bp JOIN members ON province = place"),
+    "profile_columns": _profile_sql(),
+    "bucketed_join": f"""SELECT c_custkey AS unit_id, c_name AS unit, census, voters, {pct('voters', 'census')} AS turnout
+FROM customer JOIN (SELECT o_custkey, count(*) AS census, count(*) FILTER (WHERE o_orderstatus IN ('F', 'O')) AS voters
+                    FROM orders GROUP BY o_custkey) ON o_custkey = c_custkey""",
     "party_share_wide": with_ctes(BASE, body="SELECT unit_id, unit, valid, "
                                   + ", ".join(f"{pct(p, 'valid')} AS {p}_pct" for p in P)
                                   + " FROM results_wide WHERE valid > 0"),
@@ -211,6 +249,13 @@ FROM (SELECT cohort, {ARGMAX} AS party FROM coh) WHERE party IS NOT NULL GROUP B
 FROM (SELECT {ARGMAX} AS party, {pct('voters', 'census')} AS turnout, {pct(MAXP, 'valid')} AS share
       FROM results_wide)
 WHERE party IS NOT NULL AND turnout IS NOT NULL GROUP BY party"""),
+    "turnout_explained": with_ctes(BASE, f"""u AS (
+  SELECT {ARGMAX} AS winner, province, community, {pct('voters', 'census')} AS v FROM results_wide WHERE census > 0)""", """f AS (
+  SELECT 'winner' AS factor, winner AS level, v FROM u UNION ALL SELECT 'province', province, v FROM u
+  UNION ALL SELECT 'community', community, v FROM u)""", """m AS (
+  SELECT factor, level, v, avg(v) OVER (PARTITION BY factor, level) AS lm, avg(v) OVER (PARTITION BY factor) AS gm FROM f)""",
+        body="""SELECT factor, count(*) AS n_units, count(DISTINCT level) + max(CASE WHEN level IS NULL THEN 1 ELSE 0 END) AS n_levels,
+  round(sum((lm - gm) * (lm - gm)) / sum((v - gm) * (v - gm)), 6) AS explained FROM m GROUP BY factor"""),
     "turnout_share_corr": with_ctes(BASE, body=f"""SELECT community, count(*) AS n_units,
   round(corr(turnout, share), 6) AS corr_turnout_share
 FROM (SELECT community, {pct('voters', 'census')} AS turnout, {pct(MAXP, 'valid')} AS share

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.operators import clean, joins
+from tallyframe.operators import clean, compare, joins, profile, rates
 from tallyframe.plans import election, reports
 from tallyframe.plans.testbed import TESTBED, results_wide
 from tallyframe.session import shared_dir
@@ -73,6 +73,59 @@ for _name, (_fn, _bounded) in reports.REPORTS.items():
     globals()[_name] = REGISTRY[_name]
 
 
+def cohort_members(spark, sf_dir):
+    """A cohort list kept as a table: written in capitals or not, padded, some names accented, some listed twice."""
+    nation = parquet.read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
+    kind = F.col("n_nationkey") % 4
+    listed = nation.where(kind < 3).select(
+        F.concat(F.lit(" "), F.regexp_replace("n_name", "NATION_1", "NATIÓN_1"), F.lit("  ")).alias("place"),
+        F.when(kind == 0, "coast").when(kind == 1, "inland").alias("cohort"))
+    again = nation.where(F.col("n_nationkey") % 8 == 0).select(F.col("n_name").alias("place"), F.lit("island").alias("cohort"))
+    return listed.unionByName(again)
+
+
+@query
+def cohort_by_table(spark, sf_dir):
+    by_province = rates.turnout_by_group(_base(spark, sf_dir), L, [L.province])
+    return compare.tag_by_table(by_province, L.province, cohort_members(spark, sf_dir), "place", "cohort")
+
+
+# ----------------------------------------------------------------- text columns profiled
+def orders_as_text(spark, sf_dir):
+    """Orders as a raw file holds them: every column is text, some are padded, empty or mixed."""
+    orders = parquet.read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])
+    key, price, day = F.col("o_orderkey").cast("string"), F.col("o_totalprice").cast("decimal(18,2)").cast("string"), F.col("o_orderdate").cast("date").cast("string")
+    third = F.col("o_orderkey") % 3
+    return orders.select(
+        key.alias("order_key"), F.concat(F.lit(" "), F.col("o_custkey").cast("string")).alias("customer"), F.col("o_orderstatus").alias("status"),
+        price.alias("price"), F.when(third == 0, key).when(third == 1, price).alias("number_or_none"), day.alias("ordered"),
+        F.when(third == 0, day).otherwise(F.concat(day, F.lit(" 10:30:00"))).alias("seen"), F.when(third == 0, "").otherwise(day).alias("day_or_blank"),
+        F.when(third == 0, key).otherwise(F.col("o_orderpriority")).alias("mixed"), (F.col("o_orderstatus") == "F").cast("string").alias("final"),
+        F.lit("").alias("blank"))
+
+
+@query
+def profile_columns(spark, sf_dir):
+    # The distinct counts are estimates, without an exact counterpart in SQL.
+    return profile.profile_columns(orders_as_text(spark, sf_dir)).drop("approx_distinct")
+
+
+# ----------------------------------------------------------------- tables stored by the join key
+BUCKETS = 16
+
+
+@query
+def bucketed_join(spark, sf_dir):
+    units = parquet.read_table(spark, sf_dir, "customer", ["c_custkey", "c_name"]).select(F.col("c_custkey").alias(L.unit_id), F.col("c_name").alias(L.unit))
+    tallies = (parquet.read_table(spark, sf_dir, "orders", ["o_custkey", "o_orderstatus"]).groupBy(F.col("o_custkey").alias(L.unit_id))
+               .agg(F.count(F.lit(1)).alias(L.census), F.count_if(F.col("o_orderstatus").isin("F", "O")).alias(L.voters)))
+    names = []
+    for part, rows in (("units", units), ("tallies", tallies)):
+        names.append(_own_name(f"tallyframe_bucketed_{part}"))
+        tables.save_bucketed(rows, names[-1], BUCKETS, [L.unit_id], path=shared_dir(spark, "tables", names[-1], unique=True))
+    return rates.with_turnout(tables.join_bucketed(spark, *names, [L.unit_id]), L, abstention_col=None)
+
+
 # ----------------------------------------------------------------- cleaning
 @query
 def clean_strings(spark, sf_dir):

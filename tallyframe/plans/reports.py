@@ -80,6 +80,14 @@ def turnout_top10(base, p: ReportParams = TESTBED_PARAMS):
     return rank.top_n(_turnout_units(base, p), "turnout", p.top_n, [p.layout.unit_id])
 
 
+@report(bounded=False)
+def turnout_top10_ties(base, p: ReportParams = TESTBED_PARAMS):
+    """All units tied with the tenth are listed."""
+    # Read twice: once for the ten largest rates, once for the units that have them.
+    units = tables.materialize(_turnout_units(base, p), "turnout_units")
+    return rank.top_n_with_ties(units, "turnout", p.top_n)
+
+
 @report(bounded=True)
 def abstention_top10(base, p: ReportParams = TESTBED_PARAMS):
     return rank.top_n(_turnout_units(base, p), "abstention", p.top_n, [p.layout.unit_id])
@@ -255,6 +263,14 @@ def turnout_share_corr(base, p: ReportParams = TESTBED_PARAMS):
     return compare.turnout_share_corr(base, p.layout, p.layout.community)
 
 
+@report(bounded=True)
+def turnout_explained(base, p: ReportParams = TESTBED_PARAMS):
+    """How much of the units' turnout the winner, the province and the community explain."""
+    L = p.layout
+    units = rates.with_turnout(shape.with_winner(base, L), L)
+    return compare.variance_explained(units, "turnout", {"winner": "winner", "province": L.province, "community": L.community})
+
+
 # ----------------------------------------------------------------- the bundle
 def run_reports(base: DataFrame, out_dir: str, names: list[str] | None = None, *,
                 params: ReportParams = TESTBED_PARAMS, materialize_base: bool = True,

@@ -41,6 +41,25 @@ def save_table(df: DataFrame, name: str, *, path: str | None = None, fmt: str =
     return name
 
 
+def save_bucketed(df: DataFrame, name: str, buckets: int, keys: list[str], *, path: str | None = None) -> str:
+    """Save as a catalog table of ``buckets`` buckets by ``keys``, one sorted file each.
+
+    Tables stored with the same number of buckets are joined and grouped by
+    ``keys`` without a shuffle.  A bucket is read by one task, so choose their
+    number for the larger table (its bytes / 128 MB, a power of two).
+    """
+    return save_table(df.repartition(buckets, *keys), name, path=path, bucket_by=(buckets, keys))
+
+
+def join_bucketed(spark: SparkSession, left: str, right: str, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join of two bucketed tables by their common ``keys``, bucket by bucket.
+
+    The merge hint keeps the join in place whatever the sizes: neither side is
+    broadcast, hashed into memory or shuffled.
+    """
+    return spark.table(left).join(spark.table(right).hint("merge"), keys, how)
+
+
 def materialize(df: DataFrame, name: str, spark: SparkSession | None = None) -> DataFrame:
     """Write ``df`` once as parquet in the shared checkpoint folder and read it back.
 

@@ -1,0 +1,196 @@
+"""Ties kept in top lists, cohorts from a table, explained variance, profiled text columns, bucketed joins, headers of many files."""
+
+import random
+import statistics
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyframe.operators import compare, profile, rank
+from tallyframe.plans import registry
+from tallyframe.sources import delimited, tables
+from tests.conftest import SF_SMALL, rows
+from tests.test_scale_plans import exchanges, large_tables  # noqa: F401  (fixture)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+# ------------------------------------------------------------------ ties
+def brute_rank(values, n, ascending=False):
+    known = sorted((v for v in values if v is not None), reverse=not ascending)
+    first = {v: known.index(v) + 1 for v in known}
+    return sorted((v, first[v]) for v in known if first[v] <= n)
+
+
+@pytest.mark.parametrize("ascending", [False, True])
+def test_top_n_with_ties_equals_rank(spark, ascending):
+    rng = random.Random(3)
+    for n in (1, 3, 10, 50):
+        values = [rng.choice([None, -0.5, *range(6)]) for _ in range(40)]
+        df = spark.createDataFrame([(k, None if v is None else float(v), 0) for k, v in enumerate(values)], "id INT, v DOUBLE, _n INT")
+        got = rank.top_n_with_ties(df, "v", n, ascending=ascending)
+        assert got.columns == ["id", "v", "_n", "rank"]
+        assert rows(got, "v", "rank") == brute_rank([None if v is None else float(v) for v in values], n, ascending)
+    assert rank.top_n_with_ties(df.limit(0), "v", 3).count() == 0
+
+
+def test_a_third_of_all_rows_tied_at_the_cut(spark):
+    df = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, 50).when(F.col("id") < 20, 60).otherwise(F.col("id") % 40).alias("v"))
+    got = rank.top_n_with_ties(df, "v", 18)
+    above = sum(1 for k in range(20) if k % 3)
+    assert got.where("v = 50").count() == 10_000 and rows(got.where("v = 50").select("rank").distinct()) == [(above + 1,)]
+    assert got.count() == 10_000 + above
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = plan_of(got)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # The rows are never sorted or moved: only the n largest values go to one task.
+    assert "TakeOrderedAndProject" in plan and "BroadcastHashJoin" in plan and "rangepartitioning" not in plan
+    below = plan.split("BroadcastHashJoin", 1)[1]
+    assert below.count("TakeOrderedAndProject") == 1 and below.index("BroadcastExchange") < below.index("TakeOrderedAndProject")
+
+
+# ------------------------------------------------------------------ cohorts from a table
+def test_tag_by_table_folds_and_never_doubles(spark):
+    places = spark.createDataFrame([(1, "Ávila"), (2, "Malaga "), (3, "León"), (4, None), (5, "Madrid")], "id INT, place STRING")
+    members = spark.createDataFrame([("Avila", "north"), ("ÁVILA", "x"), (" Málaga", "south"), ("Malaga", "east"), ("León", None), (None, "none"), ("Ávila", "west")],
+                                    "name STRING, kind STRING")
+    got = compare.tag_by_table(places, "place", members, "name", "kind")
+    assert got.columns == ["id", "place", "cohort"]
+    assert rows(got, "id", "cohort") == [(1, "north"), (2, "east")]
+    assert compare.tag_by_table(places, "place", members.limit(0), "name", "kind").count() == 0
+
+
+def test_cohort_by_table_has_no_literals_and_joins_by_size(spark, large_tables):  # noqa: F811
+    df = registry.REGISTRY["cohort_by_table"](spark, SF_SMALL)
+    plan = plan_of(df)
+    assert not any(" IN (" in line and "name" in line for line in plan.splitlines())          # no list of names in the plan
+    big = spark.range(200_000).select(F.concat(F.lit("place"), F.col("id") % 5000).alias("place"), "id")
+    listed = spark.range(50).select(F.concat(F.lit("place"), "id").alias("name"), F.lit("a").alias("kind"))
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+            "spark.sql.optimizer.runtime.bloomFilter.enabled": "true"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        big.write.mode("overwrite").parquet(path := f"{spark.conf.get('spark.checkpoint.dir')}/cohort_big")
+        joined = compare.tag_by_table(spark.read.parquet(path), "place", listed.where("id >= 0"), "name", "kind", fold=False)
+        plan = plan_of(joined)
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan          # no size, no broadcast
+        assert joined.count() == 50 * 40
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+# ------------------------------------------------------------------ explained variance
+def test_variance_explained_equals_brute_force(spark):
+    rng = random.Random(8)
+    data = [(rng.choice(["a", "b", "c", None]), rng.randrange(3), rng.choice([None, *[rng.gauss(50, 9) for _ in range(9)]])) for _ in range(400)]
+    data += [("hot", 0, 50 + rng.gauss(0, 1)) for _ in range(200)]
+    df = spark.createDataFrame(data, "g STRING, h INT, v DOUBLE").repartition(7)
+    got = {r["factor"]: (r["n_units"], r["n_levels"], r["explained"]) for r in compare.variance_explained(df, "v", {"g": "g", "h": "h"}).collect()}
+    for i, name in ((0, "g"), (1, "h")):
+        kept = [(r[i], r[2]) for r in data if r[2] is not None]
+        grand = statistics.fmean(v for _, v in kept)
+        mean = {lv: statistics.fmean(v for x, v in kept if x == lv) for lv in {x for x, _ in kept}}
+        share = sum((mean[x] - grand) ** 2 for x, _ in kept) / sum((v - grand) ** 2 for _, v in kept)
+        assert got[name][:2] == (len(kept), len(mean)) and got[name][2] == pytest.approx(share, abs=2e-6)
+    same = spark.createDataFrame([("a", 33.3), ("b", 33.3), ("b", 33.3)], "g STRING, v DOUBLE")
+    assert rows(compare.variance_explained(same, "v", {"g": "g"}), "n_levels", "explained") == [(2, None)]
+    assert compare.variance_explained(same.limit(0), "v", {"g": "g"}).count() == 0
+
+
+def test_variance_explained_reads_once(spark, large_tables):  # noqa: F811
+    df = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    out = compare.variance_explained(df, "o_totalprice", {"status": "o_orderstatus", "priority": "o_orderpriority"})
+    ex, plan = exchanges(out)
+    assert len(ex) == 2 and plan.count("FileScan") == 1 and plan.count("Join") == 0
+
+
+# ------------------------------------------------------------------ profile
+def test_profile_finds_the_narrowest_type(spark):
+    columns = {
+        "whole": (["1", " -2 ", "+30", "007", None, ""], "bigint"), "long": (["1" * 19, "2"], "double"), "number": (["1", "2.5", "1e3", ".5"], "double"),
+        "flag": (["true", "FALSE", None], "boolean"), "day": (["2024-02-29", "2023-01-01"], "date"), "no_day": (["2023-02-29"], "string"),
+        "time": (["2024-02-29", "2024-02-29 10:00", "2024-02-29T10:00:01.5Z"], "timestamp"), "mixed": (["1", "true"], "string"),
+        "text": (["1.234,5"], "string"), "none": ([None, "  "], "string"), "a b": (["x"], "string")}
+    n = max(len(v) for v, _ in columns.values())
+    df = spark.createDataFrame([tuple((v + [None] * n)[k] for v, _ in columns.values()) for k in range(n)],
+                               ", ".join(f"`{c}` STRING" for c in columns))
+    found = profile.profile_columns(df.repartition(4))
+    got = {r["column"]: r for r in found.collect()}
+    assert {c: r["type"] for c, r in got.items()} == {c: t for c, (_, t) in columns.items()}
+    assert (got["whole"]["n_null"], got["whole"]["n_blank"], got["whole"]["n_bigint"], got["whole"]["n_rows"]) == (1, 1, 4, 6)
+    assert (got["whole"]["min_chars"], got["whole"]["max_chars"], got["whole"]["approx_distinct"]) == (0, 4, 5)
+    schema = profile.declared_schema(found)
+    assert [f.name for f in schema] == list(columns) and schema["time"].dataType.typeName() == "timestamp"
+
+
+def test_profile_is_one_scan_with_partial_counts(spark, large_tables):  # noqa: F811
+    ex, plan = exchanges(registry.REGISTRY["profile_columns"](spark, SF_SMALL))
+    assert len(ex) == 1 and plan.count("FileScan") == 1
+    many = spark.range(50_000).select(F.col("id").cast("string").alias("k"), (F.col("id") % 100).cast("string").alias("m"))
+    estimate = {r["column"]: r["approx_distinct"] for r in profile.profile_columns(many).collect()}
+    assert abs(estimate["k"] - 50_000) < 5_000 and abs(estimate["m"] - 100) <= 5
+
+
+def test_profile_declares_the_schema_of_a_raw_file(spark, scratch):
+    delimited.write_report(spark.createDataFrame([(1, "1.5", "2024-01-01"), (2, "3", "2024-01-02")], "code INT, rate STRING, day STRING"), f"{scratch}/raw", sep=";")
+    text = delimited.read_delimited(spark, f"{scratch}/raw")
+    schema = profile.declared_schema(profile.profile_columns(text))
+    typed = delimited.read_delimited(spark, f"{scratch}/raw", schema)
+    assert [f.dataType.simpleString() for f in typed.schema] == ["bigint", "double", "date"] and typed.where("rate > 1").count() == 2
+
+
+# ------------------------------------------------------------------ bucketed tables
+def test_bucketed_tables_join_and_group_without_a_shuffle(spark, large_tables):  # noqa: F811
+    df = registry.REGISTRY["bucketed_join"](spark, SF_SMALL)
+    ex, plan = exchanges(df)
+    assert ex == [] and "Broadcast" not in plan and "SortMergeJoin" in plan and plan.count("SelectedBucketsCount: 16 out of 16") == 2
+    grouped, plan = exchanges(df.groupBy("unit_id").agg(F.sum("census")))
+    assert grouped == []
+
+
+def test_bucketed_join_odd_keys(spark):
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (3, "d")], "k INT, x STRING")
+    right = spark.createDataFrame([(1, "p"), (None, "q"), (4, "r")], "k INT, y STRING")
+    for name, df in (("tallyframe_t_left", left), ("tallyframe_t_right", right)):
+        tables.save_bucketed(df, name, 4, ["k"], path=f"{spark.conf.get('spark.checkpoint.dir')}/{name}")
+        tables.save_bucketed(df, name, 4, ["k"], path=f"{spark.conf.get('spark.checkpoint.dir')}/{name}")      # again: overwrites
+    got = tables.join_bucketed(spark, "tallyframe_t_left", "tallyframe_t_right", ["k"])
+    assert rows(got, "k", "x", "y") == [(1, "a", "p"), (1, "b", "p")]
+    left_join = tables.join_bucketed(spark, "tallyframe_t_left", "tallyframe_t_right", ["k"], "left")
+    assert left_join.count() == 4
+
+
+# ------------------------------------------------------------------ headers of many files
+def test_headers_of_a_thousand_files_take_three_jobs(spark, scratch):
+    import gzip
+    import os
+
+    os.makedirs(f"{scratch}/in")
+    for k in range(1000):
+        head, line = (("Año;B x", f"{k};y") if k % 2 else ("B x;Año", f"y;{k}"))
+        body = f"{head}\n{line}\n".encode("ISO-8859-1")
+        if k == 10:
+            body = b""
+        if k == 11:
+            body = b"\n  \n" + body
+        if k % 100 == 7:
+            open(f"{scratch}/in/p{k:04d}.csv.gz", "wb").write(gzip.compress(body))
+        else:
+            open(f"{scratch}/in/p{k:04d}.csv", "wb").write(body)
+    sc = spark.sparkContext
+    sc.setJobGroup("headers", "headers")
+    try:
+        df = delimited.read_delimited(spark, f"{scratch}/in")
+        jobs = len(sc.statusTracker().getJobIdsForGroup("headers"))
+    finally:
+        sc._jsc.clearJobGroup()
+    assert jobs <= 3          # the distinct headers, and Spark's listing of the files of each of two layouts
+    assert df.columns == ["ao", "bx"] or df.columns == ["bx", "ao"]
+    assert df.where("bx = 'y'").count() == 999 and df.agg(F.sum(F.col("ao").cast("int"))).first()[0] == sum(range(1000)) - 10
