@@ -3,13 +3,18 @@
 Markup is stripped into lines, one per block element, in page order.  Scripts,
 styles, comments and the containers that hold menus, site headers, footers,
 sidebars, notices, adverts, forms and reader comments (by element, role, or a
-whole word of class or id) give no lines.  Each line weighs the length of its
+name in class or id) give no lines.  Each line weighs the length of its
 text that isn't link text.  The weights are summed over sliding windows of
 lines; the text starts where the sum surges over the threshold and ends where it
 dives to nothing, and all lines between such points are kept, short ones
-included.  Where the page declares an article (``article``, ``main``), the larger
-surge of real weights decides between its lines and those outside: lines of the
-other side weigh nothing, and the article's lines of text the surge weight more.
+included.  The threshold is the same on all pages, but at most half of the page's
+largest window, so that a short article is found as well.
+
+Where the page declares an article (``article``, ``main``), the larger surge
+decides between its lines and those outside: lines of the other side weigh
+nothing.  A surge inside the article reaches back to the lines of text before it,
+as the article's start is known.  The text of a form counts only on a page that
+has no other text: then the form wraps the page.
 """
 
 from __future__ import annotations
@@ -46,52 +51,85 @@ DROP = re.compile(r"<!--.*?(?:-->|$)|<(" + "|".join(UNSEEN) + r")\b[^>]*>.*?(?:<
 TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>")
 MARKED = re.compile(r"""\b(class|id|role|hidden|aria-hidden|itemprop)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: Words that say where or what kind of box a name means; with them a name of boilerplate stays one.
+BOX_WORDS = frozenset((
+    "area bar block body bottom box btn button card cell col column container content div feed field fixed footer form group "
+    "header inner item items left link links list main module page panel position posts primary right row secondary section "
+    "site slot small sticky strip text top unit wrap wrapper zone").split())
+DOUBT = 4             # lines under a name that boilerplate words are only a part of weigh a quarter
+
+
+def _named(value: str, words: frozenset) -> int:
+    """What the names in a class or id say: 2 if one of them means ``words``, 1 if one only mentions them, else 0."""
+    most = 0
+    for name in value.split():
+        own = {w.lower() for w in WORD.findall(name) if len(w) > 1}
+        if own & words:
+            most = max(most, 2 if own <= words | BOX_WORDS else 1)
+    return most
+
 
+FORM = "form"
 
-def _verdict(tag: str, attributes: str, in_content: bool) -> tuple[bool, bool]:
-    """(boilerplate, article) of a container by its element and attributes."""
-    if tag in BOILER or (tag == "header" and not in_content):
-        return True, False
-    content = tag in CONTENT
+
+def _verdict(tag: str, attributes: str, in_content: bool) -> tuple[int, bool]:
+    """(2 boilerplate, 1 perhaps, 0 not; article) of a container by its element and attributes."""
+    if (tag in BOILER and tag != FORM) or (tag == "header" and not in_content):
+        return 2, False
+    content, doubt = tag in CONTENT, 0
     if attributes:
         for name, value in MARKED.findall(attributes):
             value = value.strip("\"'")
             name = name.lower()
             if name == "role":
-                if value.lower() in BOILER_ROLES:
-                    return True, False
+                if value.lower() in BOILER_ROLES - {FORM}:
+                    return 2, False
                 content |= value.lower() in CONTENT
             elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-                return True, False
+                return 2, False
             elif name == "itemprop":
                 content |= value.lower() == "articlebody"
             elif tag not in ("html", "body"):
-                words = {w.lower() for w in WORD.findall(value)}
-                if words & (NOT_ARTICLE_WORDS if content else BOILER_WORDS) or (not content and not in_content and words & HEADER_WORDS):
-                    return True, False
-    return False, content
+                says = _named(value, NOT_ARTICLE_WORDS if content else BOILER_WORDS)
+                if not content and not in_content:
+                    says = max(says, _named(value, HEADER_WORDS))
+                if says == 2:
+                    return 2, False
+                doubt = max(doubt, says)
+    return doubt, content
+
+
+def _is_form(tag: str, attributes: str) -> bool:
+    return tag == FORM or any(n.lower() == "role" and v.strip("\"'").lower() == FORM for n, v in MARKED.findall(attributes or ""))
+
+
+#: What holds for the lines inside an element: they are boilerplate, perhaps boilerplate, in the article, in a form.
+NOTHING = (False, False, False, False)
 
 
-def lines_of(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
-    """Lines (text, length outside links, inside the declared article) and whether the page declares one."""
+def lines_of(html: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
+    """Lines (text, weight, inside the declared article, inside a form) and whether the page declares an article."""
     html = DROP.sub(" ", html)
-    lines: list[tuple[str, int, bool]] = []
+    lines: list[tuple[str, int, bool, bool]] = []
     parts: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []          # (element, gives no lines, inside the article)
+    stack: list[tuple[str, tuple]] = []
     linked = links = at = 0
-    dropped = content = declared = False
+    dropped, doubtful, content, in_form = NOTHING
+    paragraph = 0                                     # verdict of the open p
+    declared = False
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                lines.append((text, max(0, len(text) - linked), content))
+                weight = max(0, len(text) - linked)
+                lines.append((text, weight // DOUBT if (doubtful or paragraph == 1) and not content else weight, content, in_form))
             parts.clear()
         linked = 0
 
     for m in TAG.finditer(html):
-        if m.start() > at and not dropped:
+        if m.start() > at and not dropped and paragraph < 2:
             piece = html[at:m.start()]
             parts.append(piece)
             if links:
@@ -105,7 +143,9 @@ def lines_of(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
                 parts.append(" ")
             continue
         flush()
-        links = 0
+        links = paragraph = 0
+        if tag == "p" and not closing and attributes:
+            paragraph = _verdict(tag, attributes, content)[0]
         if tag in VOID or tag == "p":
             continue
         if closing:
@@ -114,36 +154,44 @@ def lines_of(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
                     pass
         else:
             if tag in CONTENT and not declared:       # the article doesn't lie inside a menu that somebody forgot to close
-                while stack and stack[-1][1]:
+                while stack and stack[-1][1][0]:
                     stack.pop()
-                dropped, content = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+                dropped, doubtful, content, in_form = stack[-1][1] if stack else NOTHING
             boiler, article = _verdict(tag, attributes, content)
             declared |= article
-            stack.append((tag, dropped or boiler, content or article))
-        dropped, content = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-    if not dropped:
+            stack.append((tag, (dropped or boiler == 2, doubtful or boiler == 1, content or article, in_form or _is_form(tag, attributes))))
+        dropped, doubtful, content, in_form = stack[-1][1] if stack else NOTHING
+    if not dropped and paragraph < 2:
         parts.append(html[at:])
     flush()
     return lines, declared
 
 
-def main_lines(weights: list[int], window: int = WINDOW_LINES, surge: int = SURGE) -> list[bool]:
-    """Which lines lie between a surge point and the dive point after it."""
+def main_lines(weights: list[int], window: int = WINDOW_LINES, surge: int = SURGE, anchored: bool = False) -> list[bool]:
+    """Which lines lie between a surge point and the dive point after it.
+
+    ``anchored``: the lines begin where the text does, so a surge reaches back
+    over the lines of text right before it.
+    """
     n = len(weights)
     sums = [sum(weights[i:i + window]) for i in range(n)]
+    surge = max(1, min(surge, max(sums, default=0) // 2))
     keep = [False] * n
-    i = 0
+    i = done = 0
     while i < n:
         if sums[i] < surge or not weights[i]:
             i += 1
             continue
-        end = i
+        start = end = i
+        if anchored:
+            start = next((j + 1 for j in range(i - 1, done - 1, -1) if not sums[j]), done)
+            start = next(j for j in range(start, i + 1) if weights[j])
         while end < n and sums[end]:                  # dives where a whole window holds nothing
             end += 1
         while not weights[end - 1]:
             end -= 1
-        keep[i:end] = [True] * (end - i)
-        i = end
+        keep[start:end] = [True] * (end - start)
+        i = done = end
     return keep
 
 
@@ -156,20 +204,29 @@ def largest(weights: list[int]) -> int:
     return most
 
 
+def chosen(lines: list[tuple[str, int, bool]], declared: bool) -> list[bool]:
+    """Which of the lines (text, weight, inside the article) are the main text."""
+    if not declared:
+        return main_lines([w for _, w, _ in lines])
+    inside, outside = [w if i else 0 for _, w, i in lines], [0 if i else w for _, w, i in lines]
+    within = largest(inside) >= largest(outside)
+    own = [k for k, (_, _, i) in enumerate(lines) if i == within]      # a window never reaches over lines of the other side
+    found = main_lines([lines[k][1] for k in own], anchored=within)
+    keep = [False] * len(lines)
+    for k, kept in zip(own, found, strict=True):
+        keep[k] = kept
+    return keep
+
+
 def extract(html: str) -> str:
     """Main text of a page: its kept lines joined by blank lines ('' if there are none)."""
     lines, declared = lines_of(html)
-    weights = [w for _, w, _ in lines]
-    if not declared:
-        kept = main_lines(weights)
-    else:
-        inside = [w if i else 0 for _, w, i in lines]
-        outside = [0 if i else w for _, w, i in lines]
-        within = largest(inside) >= largest(outside)
-        # Lines of text count more where the article is; lines of the other side that a window has bridged go.
-        kept = main_lines([w + SURGE if w else 0 for w in inside] if within else outside)
-        kept = [k and i == within for k, (_, _, i) in zip(kept, lines, strict=True)]
-    return "\n\n".join(text for (text, _, _), k in zip(lines, kept, strict=True) if k)
+    prose = [(text, w, i) for text, w, i, form in lines if not form]
+    kept = chosen(prose, declared)
+    if not any(kept):                                 # nothing but forms: they wrap the page
+        prose = [(text, w, i) for text, w, i, _ in lines]
+        kept = chosen(prose, declared)
+    return "\n\n".join(text for (text, _, _), k in zip(prose, kept, strict=True) if k)
 
 
 def extract_text(df: DataFrame, html_col: str = "html", carry: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
