@@ -1,6 +1,6 @@
 """Deterministic sharded WARC writer and reader.
 
-Writing: records are range-sorted by id, each partition writes files that roll
+Writing: records are range-sorted by id (as text) and digest, each partition writes files that roll
 over at a compressed size, one gzip member per record, with headers and digests
 regenerated from the payload.  A file is written under a temporary name of its
 task attempt and renamed when complete; its final name and its bytes depend on
@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from urllib.parse import quote
 
@@ -34,6 +35,8 @@ from pyspark.sql import functions as F
 from tallyframe.llm.common import written
 
 FILE_BYTES = 64 << 20
+PART_BYTES = 32 << 20        # of payloads, for a task
+SAMPLED_KEYS = 50            # for each partition, on the driver
 MIN_REVISIT_BYTES = 100
 RECORD_DATE = "2000-01-01T00:00:00Z"      # records carry no fetch time; a fixed date keeps files reproducible
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -113,10 +116,37 @@ class _RollingFiles:
         return self.name, self.records, self.size, self.sha.hexdigest(), self.first, self.last
 
 
+def _partition_of(keys: DataFrame, part_bytes: int):  # noqa: ANN202
+    """(number of partitions, their number as a function of id and digest) for the range sort of the records.
+
+    The bounds come from a sample that the rows' own hashes pick, about
+    ``SAMPLED_KEYS`` per partition, so no order or partitioning of the rows changes them.
+    """
+    mix = F.xxhash64("_id", "_digest")
+    n, size = keys.agg(F.count(F.lit(1)), F.coalesce(F.sum("_bytes"), F.lit(0))).first()
+    parts = max(1, -(-size // part_bytes))
+    every = max(1, n // (SAMPLED_KEYS * parts))
+    found = sorted((r[0] is not None, r[0] or "", r[1]) for r in
+                   keys.where(F.pmod(mix, F.lit(every)) == 0).select(F.col("_id").cast("string"), "_digest").distinct().collect()) if parts > 1 else []
+    bounds = keys.sparkSession.sparkContext.broadcast([found[k * len(found) // parts] for k in range(1, parts)] if found else [])
+
+    @F.pandas_udf("int")
+    def part(page_id, digest):  # noqa: ANN001, ANN202
+        import pandas as pd
+
+        return pd.Series([bisect_right(bounds.value, (i is not None, i or "", d)) for i, d in zip(page_id, digest, strict=True)], dtype="int32")
+
+    return parts, part
+
+
 def write_warc(df: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
-               min_bytes: int = MIN_REVISIT_BYTES, file_bytes: int = FILE_BYTES) -> DataFrame:
+               min_bytes: int = MIN_REVISIT_BYTES, file_bytes: int = FILE_BYTES, part_bytes: int = PART_BYTES) -> DataFrame:
     """Write every row as a record below ``folder`` and return the manifest (one row per file).
 
+    A task gets about ``part_bytes`` of payloads (at least one file), cut by id
+    and digest, so a hot id is cut as well.  Rows alone decide the
+    cuts, the order and the bytes: the same rows in any order and partitioning give the same files.
+
     Defined cases: a null payload counts as empty; payloads shorter than
     ``min_bytes`` are always responses; a row whose id is null is always a
     response (written with an empty id); of repeated rows with the smallest id
@@ -125,16 +155,17 @@ def write_warc(df: DataFrame, folder: str, id_col: str = "page_id", url_col: str
     """
     pages = df.select(F.col(id_col).alias("_id"), F.col(url_col).cast("string").alias("_url"),
                       F.coalesce(F.col(payload_col), F.lit("")).cast("binary").alias("_payload"))
-    digests = written(pages.select("_id", F.sha2("_payload", 256).alias("_digest"), F.octet_length("_payload").alias("_bytes"))
-                      .where(f"_id is not null and _bytes >= {min_bytes}").drop("_bytes"), "warc_digests")
+    keys = written(pages.select("_id", F.sha2("_payload", 256).alias("_digest"), F.octet_length("_payload").alias("_bytes")), "warc_digests")
+    digests = keys.where(f"_id is not null and _bytes >= {min_bytes}").drop("_bytes")
     firsts = digests.groupBy("_digest").agg(F.min("_id").alias("_first"), F.max("_id").alias("_other")).where("_first < _other")
     revisits = (digests.join(firsts.select("_digest", "_first"), "_digest").where("_id > _first")
                 .select("_id", F.lit(None).cast("string").alias("_url"), F.lit(None).cast("binary").alias("_payload"),
                         "_digest", F.col("_first").cast("string").alias("_refers")))
-    records = (pages.withColumns({"_digest": F.lit(None).cast("string"), "_refers": F.lit(None).cast("string")})
+    parts, part = _partition_of(keys, part_bytes)
+    records = (pages.withColumns({"_digest": F.sha2("_payload", 256), "_refers": F.lit(None).cast("string")})
                .unionByName(revisits)
-               .repartitionByRange("_id")
-               .sortWithinPartitions("_id", F.col("_payload").isNotNull(), "_digest", "_url")   # revisit notes before the page
+               .repartitionById(parts, part(F.col("_id").cast("string"), F.col("_digest")))
+               .sortWithinPartitions(F.col("_id").cast("string"), "_digest", F.col("_payload").isNotNull(), "_url")   # revisit notes before the page
                .withColumn("_id", F.col("_id").cast("string")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,8 +180,7 @@ def write_warc(df: DataFrame, folder: str, id_col: str = "page_id", url_col: str
                 if refers is not None:
                     notes[digest.as_py()] = refers
                     continue
-                payload = payload.as_py()
-                digest = hashlib.sha256(payload).hexdigest()
+                payload, digest = payload.as_py(), digest.as_py()
                 first = notes.get(digest)
                 record = (response_record(page_id, url.as_py(), payload, digest) if first is None
                           else revisit_record(page_id, url.as_py(), len(payload), digest, first))
