@@ -151,14 +151,15 @@ def pack(pieces: DataFrame, key_cols: tuple[str, ...], length_col: str = "length
          shard_rows: int = SHARD_ROWS) -> DataFrame:
     """``pieces`` with ``sequence_id`` (long) and ``offset`` (long, gapless from 0 in each sequence).
 
-    ``key_cols`` name a row (they decide its shard and the order among equal
-    lengths); ``pieces`` should be a written table, as it is counted first.
+    ``key_cols`` and the row's place in the table decide its shard, so that
+    rows with equal keys are spread as well; ``key_cols`` order equal lengths;
+    ``pieces`` should be a written table, as it is counted first.
     Defined cases: lengths must lie between 1 and ``capacity`` (an error
     otherwise); null keys and repeated rows are packed like others; an empty
     table gives an empty result.
     """
     shards = max(1, -(-pieces.count() // shard_rows))
-    rows = pieces.withColumn("_shard", F.pmod(F.xxhash64(*key_cols), F.lit(shards)).cast("long"))
+    rows = pieces.withColumn("_shard", F.pmod(F.xxhash64(*key_cols, F.monotonically_increasing_id()), F.lit(shards)).cast("long"))
     out = rows.withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")}).schema
 
     def run(key: tuple, group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +184,12 @@ def pack_documents(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     an empty table gives an empty result; extra columns are ignored.
     """
     pieces = token_pieces(df, tokenizer_path, id_col, text_col, capacity, with_ids)
-    return pack(written(pieces if with_ids else pieces.drop("ids"), "pieces"), (id_col, "piece"), "length", capacity)
+    if not with_ids:
+        return pack(written(pieces.drop("ids"), "pieces"), (id_col, "piece"), "length", capacity)
+    # A shard holds lengths only; the ids meet their places afterwards.
+    pieces = written(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    packed = pack(pieces.drop("ids"), (id_col, "piece"), "length", capacity)
+    return packed.join(pieces.select("_row", "ids"), "_row").drop("_row")
 
 
 def sequences(packed: DataFrame) -> DataFrame:
