@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tallyframe.llm.common import written
 
 BUCKET_ROWS = 20_000
+HOT_SHARE = 10               # rows equal to more than a tenth of a bucket are spread
 HASH_SPACE = 1 << 31
 OFFSET_SPACE = 1 << 20
 
@@ -43,10 +44,16 @@ def stratified_shards(df: DataFrame, id_col: str = "doc_id", source_col: str = "
         (F.octet_length(text) + F.lit(1)).cast("long").alias("_size"), F.crc32(text.cast("binary")).alias("_crc"))
     rows = rows.withColumns({
         "_mix": F.xxhash64(F.lit(seed), "_id", "_crc"),                                # the seeded shuffle
-        "_stratum": F.coalesce(F.concat(F.lit("s"), "_source"), F.lit("n"))})          # null is a stratum too
+        "_stratum": F.coalesce(F.concat(F.lit("s"), "_source"), F.lit("n")),           # null is a stratum too
+        "_row": F.monotonically_increasing_id()})
     rows = written(rows, "shard_rows")        # narrow rows: no later step reads the texts again
     n_rows = rows.count()
     buckets = max(1, -(-n_rows // bucket_rows))
+    # Equal rows share a place in the shuffle; many of them are spread by their row numbers.  At most
+    # HOT_SHARE * buckets hashes are that frequent.
+    hot = (rows.groupBy("_mix").agg(F.count(F.lit(1)).alias("_n_equal")).where(F.col("_n_equal") > bucket_rows // HOT_SHARE).select("_mix", F.lit(True).alias("_hot")))
+    rows = (rows.join(F.broadcast(hot), "_mix", "left")
+            .withColumn("_mix", F.when(F.col("_hot"), F.xxhash64("_mix", "_row")).otherwise(F.col("_mix"))).drop("_hot", "_row"))
 
     # 1. Rank inside the source: offset of the hash bucket + row number in it.
     rows = rows.withColumn("_bucket", F.expr(f"pmod(_mix, {HASH_SPACE}L) * {buckets}L div {HASH_SPACE}L"))
