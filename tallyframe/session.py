@@ -96,7 +96,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current.rsplit("/", 1)[0]
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):      # local-cluster has executors of its own
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="tallyframe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
