@@ -149,15 +149,20 @@ def stream_sessions(spark, sf_dir):
 
 
 # ----------------------------------------------------------------- feeds with resent, delayed and broken messages
-FEED_SLICES = 6
+FEED_SLICES = 6                  # at least; a slice is one file and one micro-batch
+ROWS_PER_SLICE = 1_000_000
 LATE_SLICES = 8
 SILENCE = "5 days"
 LEVELS = {"total": None, "region": "event_type", "box": "user_id"}
 
 
+def _slices(events) -> int:
+    return max(FEED_SLICES, -(-events.count() // ROWS_PER_SLICE))
+
+
 def _feed(spark, sf_dir, delivery, slices, name, columns=("event_id", "ts", "user_id", "event_type", "value")):
     events = read_table(spark, sf_dir, "events", list(columns))
-    folder = staged_feed(events, "ts", slices, delivery, name)
+    folder = staged_feed(events, "ts", slices or _slices(events), delivery, name)
     schema = ", ".join(f for f in EVENTS_SCHEMA.split(", ") if f.split()[0] in columns)
     if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "Z"):
         spark = spark.newSession()
@@ -168,7 +173,7 @@ def _feed(spark, sf_dir, delivery, slices, name, columns=("event_id", "ts", "use
 @query
 def stream_dedup_totals(spark, sf_dir):
     # Every message is sent again one micro-batch later; the totals count it once.
-    feed = _feed(spark, sf_dir, sent_twice, FEED_SLICES, "resent")
+    feed = _feed(spark, sf_dir, sent_twice, None, "resent")
     return _run(live.dedup_totals(feed, ["event_id"], LEVELS, WINDOW, DELAY, value="value"), "dedup_totals")
 
 
@@ -206,7 +211,8 @@ def raw_messages(spark, sf_dir):
 
 @query
 def stream_message_intake(spark, sf_dir):
-    folder = staged_feed(raw_messages(spark, sf_dir), "ts", FEED_SLICES, name="messages")
+    messages = raw_messages(spark, sf_dir)
+    folder = staged_feed(messages, "ts", _slices(messages), name="messages")
     parsed = live.parse_messages(feed_stream(spark, folder, "ts TIMESTAMP_NTZ, line STRING"))
     s = parsed.select(live.ntz("timestamp").alias("sent_at"), "mesa_id", "municipio_id", "mesa_participacion", "total_municipio",
                       F.col("raw").isNotNull().alias("kept_raw"), "reason", "status")
