@@ -371,3 +371,422 @@ def test_bitmap_holds_every_key_in_a_bit_each(spark):
     own = np.array([r["k"] for r in keys.collect()], np.int64)
     assert len(packed) == 1 << 17 and sketch.in_bitmap(packed, own).all()
     assert np.unpackbits(packed).sum() == len({int(k) & ((1 << 20) - 1) for k in own.tolist()})
+
+
+# ------------------------------------------------------------------ quality: the table in slices
+def test_quality_units_are_named_like_plain_words(monkeypatch):
+    """Two units have the same hash exactly if their plain names are equal."""
+    import random
+
+    from tallyframe.llm import quality
+
+    def names(text):
+        out = []
+        for unit in re.findall(r"[\x80-\U0010ffff\w]+|[^ \t\n\r\x0b\x0c\w\x80-\U0010ffff]+", text):
+            if not re.match(r"[\x80-\U0010ffff\w]", unit):
+                out.append("m:" + unit)
+            elif len(unit) > 1 and unit.isupper():
+                out.append("U:")
+            else:
+                out.append(f"N:{min(len(unit), 20)}" if unit.isdigit() else "w:" + "".join(c.lower() if ord(c) < quality.CASED else c for c in unit))
+        return out
+
+    rng, seen = random.Random(6), {}
+    alphabet = [*"abcxyzABC019_", *".,-#'\x00\x7f", *" \t\n\r\x0b\x0c", *"éÉüÜßжЖαΩ中文\xa0\u2028😀"]
+    for trial in range(1500):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(60)))
+        monkeypatch.setattr(quality, "BLOCK_CHARS", (5, 1 << 18)[trial % 2])
+        found = quality.unit_hashes(text).tolist()
+        want = names(text)
+        assert len(found) == len(want)
+        for name, h in zip(want, found):
+            assert seen.setdefault(name, h) == h
+    assert len(set(seen.values())) == len(seen) > 3000
+    assert len(quality.unit_hashes("")) == 0 and len(quality.unit_hashes(" \n")) == 0
+
+
+def test_quality_counts_are_packed_and_merged_exactly():
+    from tallyframe.llm.quality import packed, unpacked
+
+    rng = np.random.default_rng(1)
+    for n, top in ((1, 1), (1, 2**62), (1000, 2**20), (5000, 2**62), (300, 300)):
+        keys = np.unique(rng.integers(0, top, n, dtype=np.uint64))
+        counts = rng.integers(1, 2**33 if n == 300 else 3, len(keys))
+        again = unpacked(packed(keys, counts))
+        assert (again[0] == keys).all() and (again[1] == counts.astype(np.uint64)).all()
+    dense = np.unique(rng.integers(0, 2**28, 10**6, dtype=np.uint64))
+    assert len(packed(dense, np.ones(len(dense), np.int64))) < 1.6 * len(dense)
+
+
+def test_quality_scores_equal_brute_force(spark, odd_docs, monkeypatch):
+    """llr and kept of every row, from exact counts of n-gram hashes; rare values and many slices included."""
+    from tallyframe.llm import quality
+
+    monkeypatch.setattr(quality, "SLICE_BYTES", 1 << 12)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").unionByName(odd_docs.select("doc_id", "text", "lang", "source", "n_chars"))
+    good = spark.createDataFrame([(i,) for i in (*range(0, 150, 2), None, 4, 4)], "doc_id BIGINT")
+    rows = [(r["doc_id"], r["text"] or "") for r in docs.collect()]
+    words, grams = quality.Words(), []
+    for _, text in rows:
+        grams.append(quality.ngrams(words.units(words.number(text.encode().split()))).tolist())
+    raw = Counter(g for own in grams for g in own)
+    buckets = max(1 << 16, 1 << (len(raw) - 1).bit_length())
+    trusted = {i for (i,) in good.collect() if i is not None}
+    a, b = np.full(buckets, 0.5), np.full(buckets, 0.5)
+    for (i, _), own in zip(rows, grams):
+        for g in own:
+            b[g * buckets >> 64] += 1
+            a[g * buckets >> 64] += i in trusted
+    ratio = np.log(a / a.sum()) - np.log(b / b.sum())
+    want = sorted((i if i is not None else -1, round(float(np.mean([ratio[g * buckets >> 64] for g in own])), 4) if own else 0.0) for (i, _), own in zip(rows, grams))
+    found = quality.judge(docs, good).collect()
+    got = sorted((r["doc_id"] if r["doc_id"] is not None else -1, round(r["llr"], 4)) for r in found)
+    assert [i for i, _ in got] == [i for i, _ in want] and np.allclose([x for _, x in got], [x for _, x in want], atol=2e-4)
+    assert all(r["kept"] == (not r["base_failed"] and r["llr"] >= quality.THRESHOLD) for r in found)
+
+
+def test_quality_rejects_alike_at_two_sizes(spark):
+    """The share of rejected rows of bad quality doesn't fall as the corpus grows."""
+    from tallyframe.llm.quality import judge, trusted_ids
+
+    shares = []
+    for sf in ("/root/testdata/sf0.01", "/root/testdata/sf0.1"):
+        bad = spark.read.parquet(f"{sf}/labels.parquet").where("quality = 0").select("doc_id")
+        judged = judge(spark.read.parquet(f"{sf}/documents.parquet"), trusted_ids(spark, sf)).where("not base_failed").join(bad, "doc_id")
+        shares.append(judged.where("not kept").count() / judged.count())
+    assert min(shares) > 0.9 and abs(shares[0] - shares[1]) < 0.02 + 1 - min(1, shares[0])
+
+
+def test_quality_without_trusted_rows(spark, odd_docs):
+    from tallyframe.llm.quality import judge
+
+    none = spark.createDataFrame([(999,)], "doc_id BIGINT")
+    assert {r["llr"] for r in judge(odd_docs, none).collect()} == {0.0}
+
+
+# ------------------------------------------------------------------ html
+BODY = [f"Sentence {k} of the article goes on for long enough to be counted as a line of its text." for k in range(5)]
+TEXT = "".join(f"<p>{t}</p>" for t in BODY)
+
+
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<div>{}</div>", "<main><div class=post>{}</div></main>"])
+def test_html_adverts_and_names(wrap):
+    from tallyframe.llm.html_text import extract
+
+    def got(html):
+        return extract(f"<body><nav><a>Home</a></nav>{wrap.format(html)}<footer>&copy; Foot</footer></body>").split("\n\n")
+
+    # H1: a paragraph that is an advert or an alert goes, and the one after it stays.
+    assert got(TEXT + '<p class="advert">Buy this, it is cheap and good and here now.<p>Last words of the text.</p>') == [*BODY, "Last words of the text."]
+    assert got(f'<p role="alert">Your session has run out, please sign in again.</p>{TEXT}') == BODY
+    # H2: a boilerplate word inside a longer name does not delete the article's text.
+    inner = '<div class="side-effects"><p>The side effects of it are described in this line.</p></div>'
+    assert got(TEXT + inner + "<p>End of the text.</p>") == [*BODY, "The side effects of it are described in this line.", "End of the text."]
+    assert got(f'<div id="comment-policy-essay">{TEXT}</div>') == BODY
+    assert got(TEXT + '<div class="ad-slot left">Buy now, cheap, and here.</div><div class="socialShare">Share it with all friends.</div>') == BODY
+
+
+def test_html_forms_and_short_articles():
+    from tallyframe.llm.html_text import extract
+
+    # H3: a page in one form keeps its prose; a form beside text goes; controls go.
+    assert extract(f"<form action=x>{TEXT}<button>Send</button><select><option>A</option></select></form>").split("\n\n") == BODY
+    assert extract(f"<div>{TEXT}</div><form><p>Subscribe to our long letter, which comes once a week to you.</p></form>").split("\n\n") == BODY
+    two = "<p>A short first line.</p><p>And a second one.</p>"
+    assert extract(f"<article>{two}</article>") == extract(f"<div>{two}</div>") == "A short first line.\n\nAnd a second one."
+
+
+def test_html_surge_decides_inside_a_declared_article():
+    from tallyframe.llm.html_text import extract, main_lines
+
+    links = "".join(f"<li><a href=x>Linked title number {k} of another page</a></li>" for k in range(6))
+    # H4: what lies beyond a long list of links and never surges is no text; what surges again is.
+    assert extract(f"<article><h1>Title</h1>{TEXT}<ul>{links}</ul><p>Tags</p></article>").split("\n\n") == ["Title", *BODY]
+    assert extract(f"<article>{TEXT}<ul>{links}</ul>{TEXT}</article>").split("\n\n") == BODY + BODY
+    assert main_lines([3, 2, 0, 200, 5], anchored=True) == [True] * 5
+    assert main_lines([]) == [] and main_lines([0, 0]) == [False, False] and main_lines([1]) == [True]
+
+
+def brute_main(weights, window=3, surge=80):
+    """Kept lines by definition: a line lies in a stretch of non-empty windows, at or after its first line that surges."""
+    n = len(weights)
+    sums = [sum(weights[k:k + window]) for k in range(n)]
+    limit = max(1, min(surge, max(sums, default=0) // 2))
+    keep, k = [False] * n, 0
+    while k < n:
+        if sums[k] == 0:
+            k += 1
+            continue
+        end = k
+        while end < n and sums[end] > 0:
+            end += 1
+        starts = [j for j in range(k, end) if sums[j] >= limit and weights[j]]
+        if starts:
+            last = max(j for j in range(k, end) if weights[j])
+            for j in range(starts[0], last + 1):
+                keep[j] = True
+        k = end
+    return keep
+
+
+def test_html_windows_equal_brute_force():
+    import random
+
+    from tallyframe.llm.html_text import main_lines
+
+    rng = random.Random(2)
+    for _ in range(3000):
+        weights = [rng.choice([0, 0, 0, 3, 20, 60, 200]) for _ in range(rng.randrange(14))]
+        assert main_lines(weights) == brute_main(weights), weights
+
+
+def test_html_query_equals_a_plain_reader(spark):
+    """The query over whole pages against a reader of the test pages' own layout: blocks of the article, in order."""
+    from html import unescape
+
+    from tallyframe.llm.queries import queries
+
+    def plain(html):
+        body = re.sub(r"(?s)<(script|style)\b.*?</\1>|<!--.*?-->", " ", html or "")
+        found = re.search(r"(?s)<article>(.*?)</article>", body)
+        blocks = re.split(r"</?(?:p|h1|h2|h3|div|ul|li)\b[^>]*>", found.group(1)) if found else []
+        texts = [" ".join(unescape(re.sub(r"<[^>]+>", "", re.sub(r"<br[^>]*>", " ", b))).split()) for b in blocks]
+        return "\n\n".join(t for t in texts if t)
+
+    sf = "/root/testdata/sf0.01"
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    out = {r["page_id"]: r for r in queries()["op3_html"](spark, sf).collect()}
+    assert set(out) == set(pages)
+    for i, html in pages.items():
+        assert out[i]["text"] == plain(html) and out[i]["n_chars"] == len(out[i]["text"])
+
+
+# ------------------------------------------------------------------ archives, hot keys, orders
+def test_warc_same_rows_in_any_order_give_the_same_archive(spark, scratch):
+    import random
+
+    from tallyframe.llm.warc import write_warc
+
+    rows = [(7, "http://same", "<p>" + f"{k} " * 60 + "</p>") for k in range(40)] + [(k, f"http://{k}", "<p>" + f"{k % 9} " * 90) for k in range(60)]
+    rows += [(None, None, f"null {k % 3}" * 40) for k in range(50)]
+    found = []
+    for trial in range(3):
+        random.Random(trial).shuffle(rows)
+        df = spark.createDataFrame(rows, "page_id BIGINT, url STRING, html STRING").repartition(2 + 3 * trial)
+        folder = f"file://{scratch}/w{trial}"
+        manifest = write_warc(df, folder, file_bytes=1500, part_bytes=4000)
+        found.append(sorted(tuple(r) for r in manifest.collect()))
+        assert sum(r[1] for r in found[-1]) == len(rows)
+    assert found[0] == found[1] == found[2] and len({f[0].split("-")[1] for f in found[0]}) > 3
+    per_part = Counter()
+    for name, records, *_ in found[0]:
+        per_part[name.split("-")[1]] += records
+    assert max(per_part.values()) < 60                    # neither the hot id nor the null ids are one partition
+
+
+def test_packing_spreads_rows_of_one_key(spark):
+    from pyspark.sql import functions as F
+
+    from tallyframe.llm.packing import pack
+
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.lit(0).alias("piece"), (F.col("id") % 900 + 1).alias("length"))
+    path = f"{spark.conf.get('spark.checkpoint.dir')}/pieces_one_key"
+    rows.write.mode("overwrite").parquet(path)
+    packed = pack(spark.read.parquet(path), ("doc_id", "piece"), capacity=2048, shard_rows=100)
+    per_shard = packed.groupBy(F.shiftright("sequence_id", 40).alias("s")).count()
+    assert packed.count() == 3000 and per_shard.agg({"count": "max"}).first()[0] < 200
+
+
+def brute_stratified(rows, shards, seed_rank):
+    """Shard of every row of (key, source): ranks in the source by the seeded hash, then all rows by fractional rank."""
+    by = defaultdict(list)
+    for r in rows:
+        by[r[1]].append(r)
+    placed = []
+    for source, own in by.items():
+        own.sort(key=lambda r: seed_rank[r[0]])
+        placed += [((k + 1 - seed_rank["u", source]) / len(own), seed_rank[r[0]], r[0]) for k, r in enumerate(own)]
+    placed.sort()
+    n = len(placed)
+    return {key: (k * shards // n, k - -(-(k * shards // n) * n // shards)) for k, (_, _, key) in enumerate(placed)}
+
+
+def test_stratified_order_equals_brute_force(spark):
+    """Shard and slot of every row, from the same seeded hashes, in plain Python; in one bucket and in many."""
+    from pyspark.sql import functions as F
+
+    from tallyframe.llm.sharding import OFFSET_SPACE, stratified_shards
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").dropDuplicates(["doc_id"])
+    mixes = docs.select("doc_id", "source", F.xxhash64(F.lit(42), "doc_id", F.crc32(F.coalesce("text", F.lit("")).cast("binary"))).alias("m"),
+                        F.expr(f"pmod(xxhash64(42, coalesce(concat('s', source), 'n')), {OFFSET_SPACE}L)").alias("u")).collect()
+    rank = {r["doc_id"]: (r["m"] % (1 << 31), r["m"]) for r in mixes} | {("u", r["source"]): (r["u"] + 0.5) / OFFSET_SPACE for r in mixes}
+    for bucket_rows in (20_000,):
+        found = {r["doc_id"]: (r["shard"], r["slot"]) for r in stratified_shards(docs, shards=16, bucket_rows=bucket_rows).collect()}
+        ordered = {k: (v[1] if isinstance(v, tuple) else v) for k, v in rank.items()}
+        assert found == brute_stratified([(r["doc_id"], r["source"]) for r in mixes], 16, ordered)
+
+
+def test_stratified_equal_rows_are_spread(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tallyframe.llm import sharding
+
+    df = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.lit("s").alias("source"),
+                                  F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).otherwise("same").alias("text"))
+    tables, write = {}, sharding.written
+    monkeypatch.setattr(sharding, "written", lambda d, name: tables.setdefault(name, write(d, name)))
+    placed = sharding.stratified_shards(df, shards=7, bucket_rows=100)
+    sizes = [r["count"] for r in placed.groupBy("shard").count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) - min(sizes) <= 1
+    assert tables["shard_ranks"].groupBy("_part").count().agg({"count": "max"}).first()[0] < 200
+    assert tables["shard_ranks"].groupBy("_mix").count().agg({"count": "max"}).first()[0] < 10
+    hot = placed.where("doc_id IS NULL").groupBy("shard").count().collect()
+    assert max(r["count"] for r in hot) - min(r["count"] for r in hot) < 80
+
+
+# ------------------------------------------------------------------ the pipeline
+def brute_pipeline(rows, trusted):
+    """Pieces (doc_id, piece, start, length, crc) of the rows (doc_id, text) that the five stages keep."""
+    from tokenizers import Tokenizer
+
+    from tallyframe.llm import quality
+    from tests.llm.test_operators import brute_groups, brute_repeats, sizes
+
+    words = quality.Words()
+    grams = [quality.ngrams(words.units(words.number((t or "").encode().split()))).tolist() for _, t in rows]
+    raw = Counter(g for own in grams for g in own)
+    buckets = max(1 << 16, 1 << (len(raw) - 1).bit_length())
+    a, b = np.full(buckets, 0.5), np.full(buckets, 0.5)
+    for (i, _), own in zip(rows, grams):
+        for g in own:
+            b[g * buckets >> 64] += 1
+            a[g * buckets >> 64] += i in trusted
+    ratio = np.log(a / a.sum()) - np.log(b / b.sum())
+    good = []
+    for (i, t), own in zip(rows, grams):
+        w = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+        windows = [tuple(w[k:k + 8]) for k in range(len(w) - 7)]
+        times = Counter(windows)
+        covered = {k + j for k, g in enumerate(windows) if times[g] > 1 for j in range(8)}
+        if len(w) >= 20 and 100 * len(covered) <= 30 * len(w) and np.mean([ratio[g * buckets >> 64] for g in own]) >= quality.THRESHOLD:
+            good.append((i, t))
+    best = {}
+    for i, t in good:
+        best[t] = i if t not in best or best[t] is None else max(best[t], -1 if i is None else i)
+    distinct = [(i, t) for t, i in best.items()]
+    _, group = brute_groups([t for _, t in distinct], 5, 80)
+    members = defaultdict(list)
+    for k, g in enumerate(group):
+        members[g].append(k)
+    lone = [distinct[min(own, key=lambda k: (distinct[k][0] is None, distinct[k][0] or 0))] for own in members.values()]
+    raws = [t.encode() for _, t in lone]
+    out = Counter()
+    tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    for (i, _), data, gone in zip(lone, raws, brute_repeats(raws)):
+        text = bytes(x for x, g in zip(data, gone) if not g).decode(errors="ignore")
+        ids = np.array([*tok.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        at = 0
+        for k, n in enumerate(sizes(len(ids))):
+            out[i, k, at, n, zlib.crc32(ids[at:at + n].tobytes())] += 1
+            at += n
+    return out
+
+
+@pytest.mark.parametrize("case", ["table", "odd"])
+def test_pipeline_equals_brute_force(spark, scratch, odd_docs, case):
+    import corpus_pipeline
+
+    folder = SF
+    if case == "odd":
+        folder = scratch
+        text = lambda name, n=60: " ".join(f"{name}{k}" for k in range(n))      # noqa: E731
+        passage = " ".join(f"shared{k}" for k in range(60))
+        more = [(1, text("a")), (5, text("a") + " word"), (5, text("b")), (None, text("c")), (6, text("c")), (7, None), (8, text("d")), (8, text("d")),
+                (9, text("e") + " " + passage), (10, text("f") + " " + passage + " tail"), (None, text("g")), (11, text("h") + " é" * 3)]
+        added = spark.createDataFrame(more, "doc_id BIGINT, text STRING")
+        odd_docs.unionByName(added, allowMissingColumns=True).write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([(i, 1, 0) for i in (1, 3, 5, 6, 8, 9, 10, 11)], "doc_id BIGINT, quality INT, toxic INT").write.parquet(f"{folder}/labels.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    trusted = {r["doc_id"] for r in spark.read.parquet(f"{folder}/labels.parquet").where("quality = 1").collect()}
+    want = brute_pipeline([(r["doc_id"], r["text"]) for r in docs.collect()], trusted)
+    found = corpus_pipeline.run(spark, folder).collect()
+    assert len(want) > 6 and Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in found) == want
+    places = defaultdict(list)
+    for r in found:
+        places[r["sequence_id"]].append((r["offset"], r["length"]))
+    for own in places.values():
+        assert all(a + n == b for (a, n), (b, _) in zip(sorted(own), sorted(own)[1:])) and sum(n for _, n in own) <= 2048
+
+
+# ------------------------------------------------------------------ every query by name, and the choice of a sequence
+LONGS = "bigint"
+CONTRACTS = {
+    "op1_bpe": {"doc_id": LONGS, "n_tokens": LONGS, "ids_sha256": "string", "decoded_sha256": "string"},
+    "op2_packing": {"doc_id": LONGS, "piece": "int", "start": LONGS, "length": LONGS, "ids_crc32": LONGS, "sequence_id": LONGS, "offset": LONGS},
+    "op3_html": {"page_id": LONGS, "url": "string", "text": "string", "n_chars": LONGS},
+    "op4_content_sort": {"doc_id": LONGS, "keep_id": LONGS, "group_size": LONGS, "kept": "boolean", "text_sha256": "string"},
+    "op5_quality": {"doc_id": LONGS, "n_words": LONGS, "word_chars": LONGS, "n_symbols": LONGS, "n_dup_lines": LONGS, "n_repeat_words": LONGS,
+                    "base_failed": "boolean", "kept": "boolean"},
+    "op6_warc": {"page_id": LONGS, "payload_bytes": LONGS, "payload_digest": "string", "record_type": "string", "refers_to": LONGS},
+    "op7_stratified": {"doc_id": LONGS, "size": LONGS, "text_crc32": LONGS, "law": "string", "shard": "int", "slot": LONGS, "grown_shard": "int"},
+    "op8_toxicity": {"doc_id": LONGS, "held_out": "boolean", "score": "double", "predicted": "int"},
+    "op9_suffix": {"doc_id": LONGS, "n_bytes": LONGS, "n_removed": LONGS, "n_spans": LONGS, "kept_sha256": "string"},
+    "op10_ngram_join": {"doc_id": LONGS, "n_shingles": LONGS, "component_id": LONGS},
+}
+
+
+@pytest.mark.parametrize("name", sorted(CONTRACTS))
+def test_query_columns_and_rows(spark, name):
+    from tallyframe.llm.queries import queries
+
+    out = queries()[name](spark, SF)
+    types = dict(out.dtypes)
+    assert {c: types.get(c) for c in CONTRACTS[name]} == CONTRACTS[name]
+    found = out.collect()
+    key = "page_id" if "page_id" in types else "doc_id"
+    rows = spark.read.parquet(f"{SF}/{'pages' if key == 'page_id' else 'documents'}.parquet").collect()
+    ids = Counter(r[key] for r in rows)
+    assert Counter(r[key] for r in found if r.asDict().get("piece", 0) == 0) == ids
+    if name == "op7_stratified":
+        text = {r["doc_id"]: (r["text"] or "").encode() for r in rows}
+        sizes = Counter(r["shard"] for r in found)
+        assert {r["law"] for r in found} == {"rows"} and set(sizes) == set(range(16)) and max(sizes.values()) - min(sizes.values()) <= 1
+        assert all(r["size"] == len(text[r["doc_id"]]) + 1 and r["text_crc32"] == zlib.crc32(text[r["doc_id"]]) for r in found)
+        assert all(sorted(r["slot"] for r in found if r["shard"] == s) == list(range(n)) for s, n in sizes.items())
+    if name == "op8_toxicity":
+        assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) and r["predicted"] == int(r["score"] >= 0.5) for r in found)
+    if name == "op9_suffix":
+        assert all(r["n_bytes"] == len((t["text"] or "").encode()) for t in rows for r in found if r["doc_id"] == t["doc_id"])
+
+
+def test_packing_chooses_the_smallest_sum_of_squares():
+    import random
+
+    from tallyframe.llm.packing import sum_of_squares
+
+    def brute(lengths, capacity):
+        gaps = []                                        # of every sequence, full ones included
+        for size in lengths:
+            best = None
+            for gap in sorted({g for g in gaps if g >= size}):
+                after = list(gaps)
+                after[after.index(gap)] = gap - size
+                cost = sum(n * n for g, n in Counter(after).items() if g)
+                if best is None or cost < best[0]:
+                    best = cost, gap
+            if best is None:
+                gaps.append(capacity - size)
+            else:
+                gaps[gaps.index(best[1])] -= size
+        return Counter(gaps)
+
+    rng = random.Random(4)
+    for _ in range(150):
+        lengths = sorted((rng.randrange(1, 33) for _ in range(rng.randrange(60))), reverse=True)
+        sequence, offset = sum_of_squares(np.array(lengths, dtype=np.int64), 32)
+        filled = Counter()
+        for n, s, at in zip(lengths, sequence.tolist(), offset.tolist()):
+            assert at == filled[s]
+            filled[s] += n
+        assert Counter(32 - n for n in filled.values()) == brute(lengths, 32)
