@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from tallyframe.llm import sketch
 from tallyframe.session import shared_dir
 
+BATCH_BYTES = 4 << 20        # of rows that go to a Python worker at once
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data folder (a single file or a folder of part files)."""
@@ -19,7 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def reach_workers(spark: SparkSession) -> None:
-    """Let Python workers import this package when it is only on the driver's path (a checkout in local mode)."""
+    """Let Python workers import this package when it is only on the driver's path (a checkout in local mode).
+
+    Rows go to them in batches of ``BATCH_BYTES``, unless the session has a limit of its own: 10,000 whole texts
+    at once take tens of MB in each worker, and as much again in the executor that fills the batch.
+    """
+    if spark.conf.get(_BATCH_CONF, None) is None:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)

@@ -514,21 +514,17 @@ class NgramJoin:
         asked = self.context.broadcast(sketch.bitmap(keys, sketch.bits_for(keys.count(), most=KEY_BITS)))
         words, seed = self.words, self.seed
 
-        @F.pandas_udf("boolean")
-        def may_be(key):  # noqa: ANN001, ANN202
-            import pandas as pd
-
-            return pd.Series(sketch.in_bitmap(asked.value, key.to_numpy()))
-
+        # The task that cuts the texts also asks the filter: a function of its own would take a second worker beside it.
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             make = Shingles(words)
             for batch in batches:
+                batch = batch.filter(pa.array(sketch.in_bitmap(asked.value, batch.column(1).to_numpy())))
                 for part in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
                     found = [s.tobytes() for s in map(make, part.column(0).to_pylist()) if len(s)]
                     node = [(xxhash.xxh3_128_intdigest(s, seed=seed) & (2**64 - 1)) - 2**63 for s in found]
                     yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(found, pa.binary())], ["node", "set"])
 
-        scan = self.texts.select("_text").where(may_be(F.xxhash64("_text"))).mapInArrow(run, "node long, set binary")
+        scan = self.texts.select("_text", F.xxhash64("_text").alias("key")).mapInArrow(run, "node long, set binary")
         return scan.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("set").alias("set"))
 
     def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:

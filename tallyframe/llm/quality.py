@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import SparkFiles
+from pyspark import Broadcast, SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -237,8 +237,11 @@ class Grid:
         return Grid(max(20, (2 * text_bytes).bit_length() + 2), max(6, (text_bytes // SLICE_BYTES).bit_length()))
 
 
-def _count(grid: Grid):  # noqa: ANN202
-    """Task function: (slice, packed counts) of the n-grams; the lowest bit of a key tells whether its text is trusted."""
+def _count(grid: Grid, marks=None):  # noqa: ANN001, ANN202
+    """Task function: (slice, packed counts) of the n-grams; the lowest bit of a key tells whether its text is trusted.
+
+    With ``marks`` (a broadcast bitmap), rows whose third column may be in it are left out.
+    """
     def sent(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         keys, counts = np.unique(np.concatenate(held), return_counts=True)
         shift = np.uint64(grid.bits + 1 - grid.slice_bits)
@@ -250,6 +253,8 @@ def _count(grid: Grid):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, waiting = [], 0
         for batch in batches:
+            if marks is not None:
+                batch = batch.filter(pa.array(~sketch.in_bitmap(marks.value, batch.column(2).to_numpy())))
             for text, trusted in zip(batch.column(0), batch.column(1), strict=True):
                 found = ngrams(unit_hashes(text.as_py()))
                 held.append((found >> np.uint64(64 - grid.bits) << np.uint64(1)) | np.uint64(trusted.as_py()))
@@ -362,14 +367,24 @@ class Ratios:
         return out
 
 
-def fit_ratios(texts: DataFrame, text_col: str, trusted_col: str, text_bytes: int | None = None, buckets: int | None = None) -> Ratios | None:
-    """Log ratios from every row of ``texts``; rows with a true ``trusted_col`` also count as target.  None without any of these."""
+def fit_ratios(texts: DataFrame, text_col: str, trusted_col: str, text_bytes: int | None = None, buckets: int | None = None,
+               others: tuple[DataFrame, str, Broadcast] | None = None) -> Ratios | None:
+    """Log ratios from every row of ``texts``; rows with a true ``trusted_col`` also count as target.  None without any of these.
+
+    ``others`` (table, key column, bitmap; then with ``text_bytes`` of all) holds more texts, none of them trusted:
+    those rows count whose key isn't in the bitmap.  The task that counts them asks the bitmap.
+    """
     spark = texts.sparkSession
     rows = texts.select(F.coalesce(F.col(text_col), F.lit("")).alias("t"), F.coalesce(F.col(trusted_col), F.lit(False)).alias("trusted"))
     if text_bytes is None:
         text_bytes = rows.agg(F.sum(F.octet_length("t").cast("long"))).first()[0] or 0
     grid = Grid.of(text_bytes)
-    grams = written(rows.mapInArrow(_count(grid), "slice long, counts binary").groupBy("slice")
+    counts = rows.mapInArrow(_count(grid), "slice long, counts binary")
+    if others is not None:
+        more, key, marks = others
+        counts = counts.unionAll(more.select(F.coalesce(F.col(text_col), F.lit("")), F.lit(False), F.col(key))
+                                 .mapInArrow(_count(grid, marks), "slice long, counts binary"))
+    grams = written(counts.groupBy("slice")
                     .applyInArrow(_sum, "slice long, n long, raw long, target long, counts binary"), "quality_grams")
     n, all_raw, all_target = grams.agg(F.sum("n"), F.sum("raw"), F.sum("target")).first()
     if not all_target:
@@ -451,12 +466,10 @@ def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
 
         return pd.Series(sketch.in_bitmap(marks.value, mix.to_numpy()))
 
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).withColumn("_maybe", may_be(F.xxhash64("_id")))
-    sure = rows.where("not _maybe").select("_text", F.lit(False).alias("_trusted"))
-    asked = rows.where("_maybe").join(good.hint("merge"), F.col("_id") == F.col("_trusted_id"), "left").select("_text", "_trusted")
-    flagged = sure.unionByName(asked)
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.xxhash64(id_col).alias("_mix"))
+    asked = rows.where(may_be("_mix")).join(good.hint("merge"), F.col("_id") == F.col("_trusted_id"), "left").select("_text", "_trusted")
     text_bytes = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
-    ratios = fit_ratios(flagged, "_text", "_trusted", text_bytes)
+    ratios = fit_ratios(asked, "_text", "_trusted", text_bytes, others=(rows, "_mix", marks))
     rows = docs.select(F.col(id_col).alias("_id"), *[F.col(c).alias(f"_carry{i}") for i, c in enumerate(carry)],
                        F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]

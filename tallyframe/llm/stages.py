@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import free_name, without_rows, written
+from tallyframe.llm.common import free_name, reach_workers, without_rows, written
 
 
 def _others(docs: DataFrame) -> tuple[str, ...]:
@@ -20,6 +20,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     from tallyframe.llm.quality import judge, trusted_ids
 
+    reach_workers(spark)
     others = _others(docs)
     renamed = docs.select("doc_id", *[F.col(c).alias(f"own_{c}") for c in others])
     judged = judge(renamed, trusted_ids(spark, sf_dir), text_col="own_text", carry=tuple(f"own_{c}" for c in others)).where("kept")
@@ -34,6 +35,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     from tallyframe.llm.exact_dedup import content_sort_dedup
 
+    reach_workers(spark)
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
     renamed = docs.select("doc_id", "text", *[F.col(c).alias(f"own_{c}") for c in others])
     kept = content_sort_dedup(renamed, keep="max", carry=tuple(f"own_{c}" for c in others), text_as="text").where("kept")
@@ -80,15 +82,11 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     from tallyframe.llm.substring_dedup import remove_repeats
 
-    @F.pandas_udf("string")
-    def decoded(raw):  # noqa: ANN001, ANN202
-        return raw.map(lambda b: bytes(b).decode(errors="ignore"))
-
+    reach_workers(spark)
     others = tuple(c for c in docs.columns if c not in ("text", "n_chars"))
     renamed = docs.select("text", *[F.col(c).alias(f"own_{c}") for c in others])
-    cut = remove_repeats(renamed, carry=tuple(f"own_{c}" for c in others))
-    text = F.when(F.col("n_removed") > 0, decoded("kept")).otherwise(F.col("kept").cast("string"))
-    cut = cut.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long"))
+    cut = remove_repeats(renamed, carry=tuple(f"own_{c}" for c in others), whole_characters=True)
+    cut = cut.withColumn("text", F.col("kept").cast("string")).withColumn("n_chars", F.char_length("text").cast("long"))
     return cut.select(*[c if c in ("text", "n_chars") else F.col(f"own_{c}").alias(c) for c in docs.columns])
 
 
@@ -97,4 +95,5 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     from tallyframe.llm.packing import pack_documents
     from tallyframe.llm.queries import tokenizer_file
 
+    reach_workers(spark)
     return pack_documents(docs, tokenizer_file("byte_bpe_50k.json"))

@@ -276,9 +276,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, group_rows: int = GROU
 
 
 def remove_repeats(df: DataFrame, text_col: str = "text", length: int = LENGTH, carry: tuple[str, ...] = ("doc_id",),
-                   group_rows: int = GROUP_ROWS) -> DataFrame:
+                   group_rows: int = GROUP_ROWS, whole_characters: bool = False) -> DataFrame:
     """The ``carry`` columns, n_bytes, n_removed, n_spans and ``kept`` (the remaining bytes) per row.
 
+    With ``whole_characters``, ``kept`` loses what is left of characters cut in
+    two; the counts stay.
+
     Defined cases: a null text counts as empty; texts shorter than ``length``
     lose nothing; a text of ``length`` or more bytes that occurs twice (repeated
     rows included) is removed whole; overlapping occurrences count; removal may
@@ -319,13 +322,15 @@ def remove_repeats(df: DataFrame, text_col: str = "text", length: int = LENGTH,
                         at = z
                     keep.append(data[at:])
                     kept = b"".join(keep)
-                    out.append((len(data), len(data) - len(kept), len(runs), kept))
+                    shown = kept.decode(errors="ignore").encode() if whole_characters and len(kept) < len(data) else kept
+                    out.append((len(data), len(data) - len(kept), len(runs), shown))
                 cols = zip(*out, strict=True) if out else ((),) * 4
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(f"_carry{i}") for i in range(len(carry))], *[pa.array(x, t) for x, t in zip(cols, kinds, strict=True)]], names)
 
-    touched = marked.where("touched").drop("touched").join(per_text, ["d1", "d2"], "left").drop("d1", "d2").mapInArrow(cut, schema)
+    # A sort-merge join at every size: the filter and the cut run in different stages, each with one worker a task.
+    touched = marked.where("touched").drop("touched").join(per_text.hint("merge"), ["d1", "d2"], "left").drop("d1", "d2").mapInArrow(cut, schema)
     whole = (marked.where("not touched").withColumns({
         "n_bytes": F.octet_length("data").cast("long"), "n_removed": F.lit(0).cast("long"), "n_spans": F.lit(0).cast("long")})
         .withColumnRenamed("data", "kept"))
